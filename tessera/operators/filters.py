@@ -27,7 +27,8 @@ def drop_components(df: DataFrame, id_col: str = "id", period_col: str = "season
     require_columns(df, [id_col, period_col, team_col], "drop_components input")
     w = Window.partitionBy(id_col, period_col)
     multi = F.col(id_col).isNotNull() & F.coalesce(F.min(team_col).over(w) != F.max(team_col).over(w), F.lit(False))
-    return df.where(~(multi & ~is_aggregate_group(team_col)))
+    return (df.withColumn("__drop", multi & ~is_aggregate_group(team_col))
+            .where(~F.col("__drop")).drop("__drop"))
 
 
 def filter_not_equal_keep_null(df: DataFrame, col: str = "years_in_nba", value=0) -> DataFrame:

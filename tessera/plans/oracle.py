@@ -105,3 +105,145 @@ prev_dim AS (
 
 def with_ctes(*blocks: str, body: str) -> str:
     return "WITH " + ",\n".join(b.strip() for b in blocks) + "\n" + body.strip()
+
+
+# ------------------------------------------------------------------ operator SQL
+# Each generator returns CTE text "dst AS (...)" (possibly several CTEs)
+# reading the relation ``src``.
+
+def is_agg_sql(team: str = "Team") -> str:
+    return f"coalesce(ends_with(upper({team}), 'TM') OR upper({team}) = 'TOT', false)"
+
+
+def gap_fill_sql(src: str, dst: str) -> str:
+    return f"""
+{dst}_ranges AS (
+  SELECT id, min(season_start) AS lo, max(season_start) AS hi FROM {src} WHERE id IS NOT NULL GROUP BY id),
+{dst}_grid AS (
+  SELECT id, CAST(unnest(range(CAST(lo AS BIGINT), CAST(hi AS BIGINT) + 1)) AS INTEGER) AS season_start
+  FROM {dst}_ranges),
+{dst} AS (
+  SELECT g.id, g.season_start, p.* EXCLUDE (id, season_start, G), coalesce(p.G, 0.0) AS G,
+         coalesce(p.G, 0.0) > 0 AS did_play
+  FROM {dst}_grid g LEFT JOIN {src} p ON p.id = g.id AND p.season_start = g.season_start)"""
+
+
+def static_sql(src: str, dst: str, cols=("Player", "Pos")) -> str:
+    picks = ", ".join(f"arg_max({c}, struct_pack(s := season_start, o := ord)) FILTER (WHERE {c} IS NOT NULL) AS s_{c}"
+                      for c in cols)
+    sets = ", ".join(f"s.s_{c} AS {c}" for c in cols)
+    return f"""
+{dst}_s AS (SELECT id, {picks} FROM {src} GROUP BY id),
+{dst} AS (SELECT f.* EXCLUDE ({", ".join(cols)}), {sets} FROM {src} f LEFT JOIN {dst}_s s ON s.id = f.id)"""
+
+
+def anchor_sql(src: str, dst: str, col: str = "Age") -> str:
+    key = "struct_pack(s := season_start, o := ord)"
+    return f"""
+{dst}_a AS (
+  SELECT id, arg_min(season_start, {key}) FILTER (WHERE {col} IS NOT NULL) AS a_season,
+         arg_min({col}, {key}) FILTER (WHERE {col} IS NOT NULL) AS a_val
+  FROM {src} GROUP BY id),
+{dst} AS (SELECT f.* EXCLUDE ({col}), a.a_val + (f.season_start - a.a_season) AS {col}
+          FROM {src} f LEFT JOIN {dst}_a a ON a.id = f.id)"""
+
+
+def clock_sql(src: str, dst: str) -> str:
+    return f"""
+{dst} AS (SELECT f.*, CAST(row_number() OVER (PARTITION BY id ORDER BY season_start, ord) - 1 AS INTEGER)
+                 AS years_in_nba FROM {src} f)"""
+
+
+def career_sql(src: str, dst: str, stats, wrap=lambda e: e) -> str:
+    totals = ", ".join(f"{c} * G AS total_{c}" for c in stats)
+    rates = ", ".join(
+        f"CASE WHEN id IS NOT NULL AND {c} * G IS NOT NULL THEN "
+        + wrap(f"coalesce(sum({c} * G) OVER w, 0) / nullif(sum(G) OVER w, 0)")
+        + f" END AS career_{c}_pg" for c in stats)
+    return f"""
+{dst} AS (SELECT f.*, {totals}, {rates} FROM {src} f
+          WINDOW w AS (PARTITION BY id ORDER BY season_start, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+SCORE_EXPR = "PTS * 1.0 + AST * 1.5 + TRB * 1.2 + BLK * 2.0 + STL * 2.0 + TOV * -1.0"
+
+
+def score_sql(src: str, dst: str) -> str:
+    return f"{dst} AS (SELECT f.*, {SCORE_EXPR} AS fantasy_points_per_game FROM {src} f)"
+
+
+def _rep(c: str, alias: str) -> str:
+    return (f"arg_min({c}, struct_pack(a := CASE WHEN {is_agg_sql()} THEN 0 ELSE 1 END, o := ord)) "
+            f"FILTER (WHERE {c} IS NOT NULL) AS {alias}")
+
+
+def lag_sql(src: str, dst: str, cols) -> str:
+    reps = ", ".join(_rep(c, f"r_{c}") for c in cols)
+    lags = ", ".join(f"lag(r_{c}) OVER (PARTITION BY id ORDER BY season_start) AS lag1_{c}" for c in cols)
+    return f"""
+{dst}_r AS (SELECT id, season_start, {reps} FROM {src} GROUP BY id, season_start),
+{dst}_l AS (SELECT id, season_start, {lags} FROM {dst}_r),
+{dst} AS (SELECT f.*, {", ".join(f"l.lag1_{c}" for c in cols)}
+          FROM {src} f LEFT JOIN {dst}_l l ON l.id = f.id AND l.season_start = f.season_start)"""
+
+
+def team_flag_sql(src: str, dst: str) -> str:
+    return f"""
+{dst}_st AS (SELECT id, season_start, {_rep("Team", "st")}, count(Team) AS n_team
+             FROM {src} GROUP BY id, season_start),
+{dst}_p AS (
+  SELECT id, season_start, n_team,
+         last_value(st IGNORE NULLS) OVER (PARTITION BY id ORDER BY season_start
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_team
+  FROM {dst}_st),
+{dst} AS (
+  SELECT t.*,
+         CASE WHEN p.prev_team IS NULL THEN NULL
+              WHEN {is_agg_sql("t.Team")} THEN false
+              WHEN p.n_team = 1 AND t.Team IS NOT NULL THEN t.Team <> p.prev_team END AS new_team
+  FROM {src} t LEFT JOIN {dst}_p p ON p.id = t.id AND p.season_start = t.season_start)"""
+
+
+def coach_flag_sql(src: str, dst: str) -> str:
+    """Needs cur_dim and prev_dim (STAFF_CTES) in scope."""
+    return f"""
+{dst}_t0 AS (SELECT s.*, (s.Team IS NOT NULL AND {is_agg_sql("s.Team")}) AS c_agg FROM {src} s),
+{dst}_fo AS (SELECT id, season_start, Team, min(ord) AS fo FROM {dst}_t0
+             WHERE NOT c_agg AND Team IS NOT NULL GROUP BY id, season_start, Team),
+{dst}_ls AS (SELECT id, season_start, list(Team ORDER BY fo) AS tl FROM {dst}_fo GROUP BY id, season_start),
+{dst}_pl AS (SELECT id, season_start, tl, lag(tl) OVER (PARTITION BY id ORDER BY season_start) AS ptl
+             FROM {dst}_ls),
+{dst}_t1 AS (
+  SELECT t.*, p.tl, p.ptl, CASE WHEN t.c_agg AND p.tl IS NOT NULL THEN p.tl[1] ELSE t.Team END AS comp
+  FROM {dst}_t0 t LEFT JOIN {dst}_pl p ON p.id = t.id AND p.season_start = t.season_start),
+{dst}_h AS (SELECT DISTINCT id, comp, season_start FROM {dst}_t1 WHERE id IS NOT NULL AND comp IS NOT NULL),
+{dst}_hp AS (SELECT id, comp, season_start,
+                    lag(season_start) OVER (PARTITION BY id, comp ORDER BY season_start) AS ps FROM {dst}_h),
+{dst}_t2 AS (
+  SELECT t.*, h.ps FROM {dst}_t1 t
+  LEFT JOIN {dst}_hp h ON h.id = t.id AND h.comp = t.comp AND h.season_start = t.season_start),
+{dst}_t3 AS (
+  SELECT t.*, c.Coach AS cur_coach,
+         CASE WHEN p.Tm IS NOT NULL THEN p.Coach
+              WHEN t.comp IS NOT NULL AND coalesce(list_contains(t.ptl, t.comp), false) AND f.Tm IS NOT NULL
+              THEN f.Coach END AS prev_coach
+  FROM {dst}_t2 t
+  LEFT JOIN cur_dim c ON c.Tm = t.comp AND c.season_year = t.season_start
+  LEFT JOIN prev_dim p ON p.Tm = t.comp AND p.season_year = t.ps
+  LEFT JOIN prev_dim f ON f.Tm = t.comp AND f.season_year = t.season_start - 1),
+{dst} AS (
+  SELECT * EXCLUDE (c_agg, tl, ptl, comp, ps, cur_coach, prev_coach),
+         CASE WHEN cur_coach IS NOT NULL AND prev_coach IS NOT NULL THEN cur_coach <> prev_coach END AS new_coach
+  FROM {dst}_t3)"""
+
+
+def drop_components_sql(src: str, dst: str) -> str:
+    return f"""
+{dst}_n AS (SELECT id, season_start, count(DISTINCT Team) AS nd FROM {src} GROUP BY id, season_start),
+{dst} AS (SELECT s.* FROM {src} s LEFT JOIN {dst}_n n ON n.id = s.id AND n.season_start = s.season_start
+          WHERE NOT (s.id IS NOT NULL AND coalesce(n.nd, 0) > 1 AND NOT {is_agg_sql("s.Team")}))"""
+
+
+def round_even_sql(expr: str, d: int = 1) -> str:
+    s = 10 ** d
+    return f"round_even(({expr}) * {s}.0, 0) / {s}.0"

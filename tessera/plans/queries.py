@@ -189,3 +189,187 @@ def _round_sql(cols, d=1) -> str:
 SELECT id, season_start, Team, ord, Player, Pos, {_round_sql(["Age", "G", *STATS])} FROM panel"""))
 def q_round_floats(spark, sf):
     return shp.round_floats(season_panel(spark, sf), 1)
+
+
+# ---------------------------------------------------------------- staffing dimension
+from tessera.plans import oracle as osql  # noqa: E402
+from tessera.plans.pipeline import MODEL_FEATURES, RENAME_MAP, feature_pipeline, modelling_columns  # noqa: E402
+from tessera.session import scratch_dir  # noqa: E402
+from tessera.sources import io as tio  # noqa: E402
+from tessera.sources.testdata_panel import season_label  # noqa: E402
+
+
+def staff_dedup(spark, sf):
+    return stf.distinct_by_first(staffing_rows(spark, sf))
+
+
+def staff_dims(spark, sf):
+    return stf.staffing_dimensions(staffing_rows(spark, sf))
+
+
+@register("parse_season_label", with_ctes(STAFF_CTES, body=f"""
+SELECT Coach, Tm, G, Season, {osql.season_year_sql("Season")} AS season_year FROM staff_raw"""))
+def q_parse_season_label(spark, sf):
+    return staffing_rows(spark, sf).select("Coach", "Tm", "G", "Season",
+                                           parse_season_label("Season").alias("season_year"))
+
+
+@register("distinct_by_first", with_ctes(STAFF_CTES, body="SELECT Tm, Season, Coach, G FROM staff"))
+def q_distinct_by_first(spark, sf):
+    return staff_dedup(spark, sf).select("Tm", "Season", "Coach", "G")
+
+
+@register("staff_summary", with_ctes(STAFF_CTES, body="""
+SELECT Tm, Season, string_agg(Coach, ', ' ORDER BY k, Coach, ls) AS Coaches FROM staff GROUP BY Tm, Season"""))
+def q_staff_summary(spark, sf):
+    return stf.staff_summary(staff_dedup(spark, sf))
+
+
+@register("first_by_group", with_ctes(STAFF_CTES, body="SELECT Tm, Season, Coach FROM staff_first"))
+def q_first_by_group(spark, sf):
+    return stf.first_by_group(staff_dedup(spark, sf))
+
+
+@register("max_by_group", with_ctes(STAFF_CTES, body="SELECT Tm, Season, Coach, Games FROM staff_max"))
+def q_max_by_group(spark, sf):
+    return stf.max_by_group(staff_dedup(spark, sf), games_col="G").withColumnRenamed("G", "Games")
+
+
+@register("read_staffing", with_ctes(STAFF_CTES, body="SELECT Coach, Tm, G, Season FROM staff_raw"))
+def q_read_staffing(spark, sf):
+    path = scratch_dir(spark, "staffing")
+    tio.write_table(staffing_rows(spark, sf).select("Coach", "Tm", "G", "Season"), path,
+                    partition_by=["Season"])
+    return tio.read_staffing(spark, path, filename="*.csv").select("Coach", "Tm", "G", "Season")
+
+
+@register("changed_attribute_flag", with_ctes(FILLED_CTES, STAFF_CTES, osql.coach_flag_sql("filled", "flagged"),
+                                              body="SELECT * FROM flagged"))
+def q_changed_attribute_flag(spark, sf):
+    cur, prev = staff_dims(spark, sf)
+    return fe.changed_attribute_flag(filled(spark, sf), cur, prev)
+
+
+# ---------------------------------------------------------------- filters
+@register("filter_min", with_ctes(PANEL_CTES, body="SELECT * FROM panel WHERE G >= 2"))
+def q_filter_min(spark, sf):
+    return flt.filter_min(season_panel(spark, sf), 2, "G")
+
+
+@register("drop_components", with_ctes(PANEL_CTES, osql.drop_components_sql("panel", "kept"),
+                                       body="SELECT * FROM kept"))
+def q_drop_components(spark, sf):
+    return flt.drop_components(season_panel(spark, sf))
+
+
+@register("filter_not_equal_keep_null", with_ctes(CLOCKED_CTES, body="""
+SELECT * FROM clocked WHERE years_in_nba IS DISTINCT FROM 0"""))
+def q_filter_not_equal_keep_null(spark, sf):
+    return flt.filter_not_equal_keep_null(clocked(spark, sf), "years_in_nba")
+
+
+@register("filter_in_list", with_ctes(PANEL_CTES, body="""
+SELECT * FROM panel WHERE id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"""))
+def q_filter_in_list(spark, sf):
+    ids = spark.read.parquet(f"{sf}/customer.parquet").where(F.col("c_mktsegment") == "BUILDING") \
+        .select("c_custkey")
+    return flt.filter_in_list(season_panel(spark, sf), ids, "id")
+
+
+# ---------------------------------------------------------------- shape / keys
+@register("rename_strict", with_ctes(PANEL_CTES, body="""
+SELECT * EXCLUDE (Pos, G), Pos AS position, G AS games FROM panel"""))
+def q_rename_strict(spark, sf):
+    return shp.rename_strict(season_panel(spark, sf), {"Pos": "position", "G": "games"})
+
+
+@register("select_features", with_ctes(PANEL_CTES, body="""
+SELECT id, season_start, Team, Age, Pos, G, PTS FROM panel"""))
+def q_select_features(spark, sf):
+    return shp.select_features(season_panel(spark, sf), ["id", "season_start", "Team", "Age", "Pos", "G", "PTS"])
+
+
+@register("split_features_target", with_ctes(PANEL_CTES, body=f"""
+SELECT * EXCLUDE (id, season_start), {osql.SCORE_EXPR} AS fantasy_points_per_game FROM panel"""))
+def q_split_features_target(spark, sf):
+    kept, _features, _target = shp.split_features_target(
+        fe.weighted_score(season_panel(spark, sf)), "fantasy_points_per_game", ["id", "season_start", "unknown"])
+    return kept
+
+
+@register("validate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_validate_keys(spark, sf):
+    from tessera.operators.joins import duplicate_keys
+    return duplicate_keys(spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_orderkey", "l_linenumber"])
+
+
+@register("join_one_to_one", with_ctes(PANEL_CTES, body=f"""
+SELECT p.*, s.fantasy_points_per_game FROM panel p
+LEFT JOIN (SELECT id, season_start, Team, {osql.SCORE_EXPR} AS fantasy_points_per_game FROM panel) s
+ON p.id IS NOT DISTINCT FROM s.id AND p.season_start IS NOT DISTINCT FROM s.season_start
+   AND p.Team IS NOT DISTINCT FROM s.Team"""))
+def q_join_one_to_one(spark, sf):
+    from tessera.operators.joins import join_one_to_one
+    p = season_panel(spark, sf)
+    right = fe.weighted_score(p).select("id", "season_start", "Team", "fantasy_points_per_game")
+    return join_one_to_one(p, right, ["id", "season_start", "Team"])
+
+
+# ---------------------------------------------------------------- sources / sinks (round trips)
+_PANEL_NO_ORD = "SELECT * EXCLUDE (ord) FROM panel"
+
+
+@register("read_seasons", with_ctes(PANEL_CTES, body=_PANEL_NO_ORD))
+def q_read_seasons(spark, sf):
+    p = season_panel(spark, sf)
+    path = scratch_dir(spark, "seasons")
+    tio.write_table(p.withColumn("label", season_label("season_start")).drop("season_start", "ord"),
+                    path, partition_by=["label"])
+    return tio.read_seasons(spark, path, filename="*.csv", schema=p.schema).drop("ord")
+
+
+@register("write_table", with_ctes(PANEL_CTES, body="SELECT * FROM panel"))
+def q_write_table(spark, sf):
+    path = scratch_dir(spark, "table")
+    tio.write_table(season_panel(spark, sf), path, fmt="parquet")
+    return spark.read.parquet(path)
+
+
+@register("read_model_table", with_ctes(PANEL_CTES, body="SELECT * FROM panel"))
+def q_read_model_table(spark, sf):
+    p = season_panel(spark, sf)
+    path = scratch_dir(spark, "model_table")
+    tio.write_table(p, path, fmt="csv")
+    return tio.read_model_table(spark, path, schema=p.schema)
+
+
+# ---------------------------------------------------------------- the composed pipeline
+PIPELINE_MIN_GAMES = 2
+
+
+def _pipeline_sql() -> str:
+    blocks = [PANEL_CTES, STAFF_CTES,
+              osql.gap_fill_sql("panel", "f1"), osql.static_sql("f1", "f2"), osql.anchor_sql("f2", "f3"),
+              osql.clock_sql("f3", "f4"), osql.career_sql("f4", "f5", CAREER_STATS), osql.score_sql("f5", "f6"),
+              osql.lag_sql("f6", "f7", LAG_COLS), osql.coach_flag_sql("f7", "f8"), osql.team_flag_sql("f8", "f9"),
+              osql.drop_components_sql("f9", "f10"),
+              f"f11 AS (SELECT * FROM f10 WHERE years_in_nba IS DISTINCT FROM 0 AND G >= {PIPELINE_MIN_GAMES})"]
+    doubles = {"lag1_Age", "lag1_G", "lag1_FTA", "lag1_PTS", "lag1_AST", "lag1_TRB", "lag1_BLK", "lag1_STL",
+               "lag1_TOV", "fantasy_points_per_game", *[f"career_{c}_pg" for c in CAREER_STATS]}
+    sel = []
+    for c in modelling_columns("id", "season_start"):
+        e = osql.round_even_sql(c) if c in doubles else c
+        sel.append(f"{e} AS {RENAME_MAP.get(c, c)}")
+    return with_ctes(*blocks, body="SELECT " + ", ".join(sel) + " FROM f11")
+
+
+def pipeline_outputs(spark, sf, **kw):
+    cur, prev = staff_dims(spark, sf)
+    return feature_pipeline(season_panel(spark, sf), cur, prev, min_games=PIPELINE_MIN_GAMES, **kw)
+
+
+@register("feature_pipeline", _pipeline_sql())
+def q_feature_pipeline(spark, sf):
+    return pipeline_outputs(spark, sf).modelling
