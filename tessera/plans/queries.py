@@ -373,3 +373,117 @@ def pipeline_outputs(spark, sf, **kw):
 @register("feature_pipeline", _pipeline_sql())
 def q_feature_pipeline(spark, sf):
     return pipeline_outputs(spark, sf).modelling
+
+
+# ---------------------------------------------------------------- model layer
+from pyspark.ml.feature import SQLTransformer  # noqa: E402
+
+from tessera.operators import model as mdl  # noqa: E402
+
+NUM_IMPUTE = ["Age", "FTA", "PTS", "AST"]
+NUM_SCALE = ["Age", "G", "PTS", "AST"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+FIXED_PREDICTION = "10.0 + 0.5 * PTS"
+# Small boosting settings for the driver check only (the library default is the reference's 500 trees).
+CHECK_GBT = dict(maxIter=10, maxDepth=3)
+
+
+@register("impute_numeric", with_ctes(FILLED_CTES, body="SELECT * REPLACE (" + ", ".join(
+    f"{sql_r6(f'coalesce({c}, (SELECT median({c}) FROM filled))')} AS {c}" for c in NUM_IMPUTE) + ") FROM filled"))
+def q_impute_numeric(spark, sf):
+    return r6(mdl.impute_numeric(filled(spark, sf), NUM_IMPUTE), NUM_IMPUTE)
+
+
+@register("standardize", with_ctes(PANEL_CTES, body="SELECT * REPLACE (" + ", ".join(
+    sql_r6(f"({c} - (SELECT avg({c}) FROM panel)) / (SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1 "
+           f"ELSE stddev_pop({c}) END FROM panel)") + f" AS {c}" for c in NUM_SCALE) + ") FROM panel"))
+def q_standardize(spark, sf):
+    return r6(mdl.standardize(season_panel(spark, sf), NUM_SCALE), NUM_SCALE)
+
+
+@register("impute_categorical", with_ctes(FILLED_CTES, body="""
+SELECT * REPLACE (coalesce(Pos, (SELECT Pos FROM filled WHERE Pos IS NOT NULL GROUP BY Pos
+                                 ORDER BY count(*) DESC, Pos LIMIT 1)) AS Pos) FROM filled"""))
+def q_impute_categorical(spark, sf):
+    return mdl.impute_categorical(filled(spark, sf), ["Pos"])
+
+
+@register("one_hot", with_ctes(PANEL_CTES, body="SELECT * EXCLUDE (Pos), " + ", ".join(
+    f"CASE WHEN Pos = '{v}' THEN 1.0 ELSE 0.0 END AS Pos_{v}" for v in SEGMENTS) + " FROM panel"))
+def q_one_hot(spark, sf):
+    return mdl.one_hot(season_panel(spark, sf), "Pos")
+
+
+def _fold_sql() -> str:
+    p = 2147483647
+    h = "CAST(42 AS BIGINT)"
+    for i, c in enumerate(["id", "season_start"]):
+        h = f"(({h}) * 48271 + (CAST({c} AS BIGINT) % {p}) * {16807 + i}) % {p}"
+    return f"CAST(({h}) % 5 AS INTEGER)"
+
+
+@register("assign_folds", with_ctes(PANEL_CTES, body=f"SELECT p.*, {_fold_sql()} AS fold FROM panel p"))
+def q_assign_folds(spark, sf):
+    return mdl.assign_folds(season_panel(spark, sf), ["id", "season_start"], 5, 42, method="arith")
+
+
+@register("regression_metrics", with_ctes(PANEL_CTES, f"""
+scored AS (SELECT {osql.SCORE_EXPR} AS y, {FIXED_PREDICTION} AS prediction FROM panel)""", body=f"""
+SELECT {sql_r6("sqrt(avg((y - prediction) * (y - prediction)))")} AS rmse,
+       {sql_r6("avg(abs(y - prediction))")} AS mae,
+       {sql_r6("1.0 - sum((y - prediction) * (y - prediction)) / (var_pop(y) * count(y))")} AS r2,
+       count(*) AS n_rows
+FROM scored WHERE y IS NOT NULL AND prediction IS NOT NULL"""))
+def q_regression_metrics(spark, sf):
+    scored = fe.weighted_score(season_panel(spark, sf), out_col="y") \
+        .withColumn("prediction", F.expr(FIXED_PREDICTION))
+    return r6(mdl.regression_metrics(scored, "y"), ["rmse", "mae", "r2"])
+
+
+@register("score_with_residual", with_ctes(PANEL_CTES, f"""
+scored AS (SELECT p.*, {osql.SCORE_EXPR} AS fantasy_points_per_game FROM panel p)""", body=f"""
+SELECT s.*, {FIXED_PREDICTION} AS prediction, fantasy_points_per_game - ({FIXED_PREDICTION}) AS residual
+FROM scored s"""))
+def q_score_with_residual(spark, sf):
+    model = SQLTransformer(statement=f"SELECT *, {FIXED_PREDICTION} AS prediction FROM __THIS__")
+    return mdl.score_with_residual(model, fe.weighted_score(season_panel(spark, sf)), "fantasy_points_per_game")
+
+
+def modelling_table(spark, sf):
+    from tessera.plans.training import trainable_rows
+    return trainable_rows(pipeline_outputs(spark, sf).modelling, "fantasy_points_per_game")
+
+
+def _features_of(table):
+    return [c for c in table.columns if c not in ("id", "season_start", "fantasy_points_per_game")]
+
+
+@register("gbt_pipeline")
+def q_gbt_pipeline(spark, sf):
+    table = modelling_table(spark, sf).persist()
+    model = mdl.gbt_pipeline(table, _features_of(table), "fantasy_points_per_game", 42, **CHECK_GBT).fit(table)
+    return model.transform(table).select("id", "season_start", "fantasy_points_per_game", "prediction")
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf):
+    table = modelling_table(spark, sf)
+    feats = _features_of(table)
+    cv = mdl.cross_validate(table, lambda d: mdl.gbt_pipeline(d, feats, "fantasy_points_per_game", 42, **CHECK_GBT),
+                            "fantasy_points_per_game", ["id", "season_start"], k=5, seed=42)
+    rows = [(i, float(r), float(cv["rmse_mean"]), float(cv["rmse_std"])) for i, r in enumerate(cv["fold_rmse"])]
+    return spark.createDataFrame(rows, "fold int, rmse double, rmse_mean double, rmse_std double")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    table = modelling_table(spark, sf).persist()
+    model = mdl.gbt_pipeline(table, _features_of(table), "fantasy_points_per_game", 42, **CHECK_GBT).fit(table)
+    return mdl.feature_importance(model, 25)
+
+
+@register("train_and_export")
+def q_train_and_export(spark, sf):
+    from tessera.plans.training import train_and_export
+    out = train_and_export(modelling_table(spark, sf), gbt_params=CHECK_GBT, k=3)
+    return out["pred_df"]
