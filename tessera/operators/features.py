@@ -46,8 +46,10 @@ def experience_clock(df: DataFrame, id_col: str = "id", period_col: str = "seaso
     advance the clock.  ``distinct_periods=True`` counts periods instead.
     """
     require_columns(df, [id_col, period_col], "experience_clock input")
-    w = Window.partitionBy(id_col).orderBy(*_order(df, period_col, ord_col))
-    n = (F.dense_rank() if distinct_periods else F.row_number()).over(w) - 1
+    if distinct_periods:
+        n = F.dense_rank().over(Window.partitionBy(id_col).orderBy(F.col(period_col))) - 1
+    else:
+        n = F.row_number().over(Window.partitionBy(id_col).orderBy(*_order(df, period_col, ord_col))) - 1
     return df.withColumn(out_col, F.when(F.col(id_col).isNotNull(), n))
 
 

@@ -77,3 +77,10 @@ def staffing_dimensions(staff: DataFrame, group_col: str = "Tm", label_col: str
     prev = max_by_group(dedup, group_col, label_col, person_col, games_col, ord_col) \
         .select(F.col(group_col).alias("Tm"), year, F.col(person_col).alias("Coach"))
     return cur, prev
+
+
+def lookup_from_labels(df: DataFrame, group_col: str = "Tm", label_col: str = "Season",
+                       value_col: str = "Coach") -> DataFrame:
+    """(Tm, season_year, Coach) lookup from a (group, period label, value) table."""
+    return df.select(F.col(group_col).alias("Tm"), parse_season_label(label_col).alias("season_year"),
+                     F.col(value_col).alias("Coach"))
