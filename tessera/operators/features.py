@@ -197,7 +197,10 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
         real = ~is_agg & team.isNotNull()
         w_season = (Window.partitionBy(id_col, "__p")
                     .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        entries = F.collect_list(F.when(real, F.struct(F.col(ord_col).alias("o"), team.alias("t")))).over(w_season)
+        # first row of each real team in the period; the set holds one entry per
+        # distinct team, so a hot (id, period) cannot grow it beyond its teams
+        first_ord = F.min(F.col(ord_col)).over(Window.partitionBy(id_col, "__p", team_col))
+        entries = F.collect_set(F.when(real, F.struct(first_ord.alias("o"), team.alias("t")))).over(w_season)
         teams = F.array_distinct(F.transform(F.array_sort(entries), lambda e: e["t"]))
         out = out.withColumn("__list", F.when(F.size(teams) > 0, teams))
         prev_list = F.last("__list", ignorenulls=True).over(_prev_period_frame([id_col], "__p"))
@@ -214,12 +217,16 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     prev_season = F.max("__p").over(_prev_period_frame(hist_keys, "__p"))
     out = out.withColumn("__prev_p", F.when(valid_hist, prev_season))
 
-    def dim(d: DataFrame, tag: str) -> DataFrame:
-        d = d.select(F.col(dim_team).alias(f"__{tag}_t"), F.col(dim_period).cast("int").alias(f"__{tag}_p"),
-                     F.col(dim_value).alias(f"__{tag}_v"), F.lit(True).alias(f"__{tag}_m"))
+    def checked(d: DataFrame) -> DataFrame:
+        d = d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"),
+                     F.col(dim_value).alias("v"), F.lit(True).alias("m"))
         return broadcast_if_small(d, broadcast_rows)
 
-    cur, prv, fb = dim(current_dim, "c"), dim(previous_dim, "p"), dim(previous_dim, "f")
+    def tag(d: DataFrame, t: str) -> DataFrame:
+        return d.select(*[F.col(c).alias(f"__{t}_{c}") for c in ("t", "p", "v", "m")])
+
+    cur_d, prev_d = checked(current_dim), checked(previous_dim)
+    cur, prv, fb = tag(cur_d, "c"), tag(prev_d, "p"), tag(prev_d, "f")
     out = (out
            .join(cur, (F.col("__comp") == F.col("__c_t")) & (F.col("__p") == F.col("__c_p")), "left")
            .join(prv, (F.col("__comp") == F.col("__p_t")) & (F.col("__prev_p") == F.col("__p_p")), "left")

@@ -63,19 +63,29 @@ def top_k_by_group(df: DataFrame, k: int, group_cols, order_cols) -> DataFrame:
 
 
 def staffing_dimensions(staff: DataFrame, group_col: str = "Tm", label_col: str = "Season",
-                        person_col: str = "Coach", games_col: str = "G", ord_col: str = "ord"):
+                        person_col: str = "Coach", games_col: str = "G", ord_col: str = "ord",
+                        materialize: bool = True):
     """(current, previous) lookups for ``changed_attribute_flag``.
 
-    current = first person per (group, period), previous = most-games person;
-    both keyed by (Tm, season_year) with the year parsed from the label.
+    current = first person per (group, period), previous = most-games person
+    (ties to the earlier row); both keyed by (Tm, season_year) with the year
+    parsed from the label.  Both come out of one aggregation, which is
+    checkpointed (when ``materialize``) so the raw staffing rows are read
+    once however many joins use the lookups.
     """
     dedup = distinct_by_first(staff.select(group_col, label_col, person_col, games_col, ord_col),
                               (group_col, label_col, person_col), ord_col)
-    year = parse_season_label(label_col).alias("season_year")
-    cur = first_by_group(dedup, group_col, label_col, person_col, ord_col) \
-        .select(F.col(group_col).alias("Tm"), year, F.col(person_col).alias("Coach"))
-    prev = max_by_group(dedup, group_col, label_col, person_col, games_col, ord_col) \
-        .select(F.col(group_col).alias("Tm"), year, F.col(person_col).alias("Coach"))
+    both = dedup.groupBy(group_col, label_col).agg(
+        F.min_by(person_col, ord_col).alias("__cur"),
+        F.min_by(person_col, F.struct((-F.col(games_col)).alias("ng"), F.col(ord_col).alias("o"))).alias("__prev"))
+    both = both.select(F.col(group_col).alias("Tm"), parse_season_label(label_col).alias("season_year"),
+                       "__cur", "__prev")
+    if materialize:
+        from tessera.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(both.sparkSession)
+        both = both.checkpoint(eager=True)
+    cur = both.select("Tm", "season_year", F.col("__cur").alias("Coach"))
+    prev = both.select("Tm", "season_year", F.col("__prev").alias("Coach"))
     return cur, prev
 
 

@@ -36,6 +36,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint dir of the session; a private temp folder only when unset (tests)."""
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return sc.getCheckpointDir() or base
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
@@ -43,10 +54,5 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     checkpoint dir).  Only when neither is set -- local tests -- a private
     temporary folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+    base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + (name or "t") + "-" + uuid.uuid4().hex[:12]

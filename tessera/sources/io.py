@@ -50,22 +50,23 @@ def folder_label_col(file_path: Column) -> Column:
     return F.regexp_replace(name, r"^[^=]*=", "")
 
 
-def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """First line of each file, in one job.
+def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str | None]:
+    """First line of each file, read through the session's FileSystem.
 
-    Only the split starting at byte 0 holds a file's first line, and within
-    a split rows arrive in file order, so ``first`` is the header.
+    Only the first bytes of each file are read (no Spark job, no full scan);
+    the cost is one small read per file.
     """
-    if not files:
-        return {}
-    txt = spark.read.text(files).select(F.col("_metadata.file_path").alias("f"),
-                                        F.col("_metadata.file_block_start").alias("b"), "value")
-    rows = txt.where(F.col("b") == 0).groupBy("f").agg(F.first("value").alias("h")).collect()
-    by_path = {r["f"]: r["h"] for r in rows}
-    out = {}
+    jvm = spark.sparkContext._jvm
+    out: dict[str, str | None] = {}
     for f in files:
-        key = next((k for k in by_path if k == f or k.endswith(f.split(":", 1)[-1])), None)
-        out[f] = by_path.get(key) if key else None
+        fs, p = _fs(spark, f)
+        stream = fs.open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        out[f] = line.lstrip("\ufeff") if line is not None else None
     return out
 
 
