@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.expressions import (
     is_aggregate_group,
@@ -33,7 +34,7 @@ def _order(df: DataFrame, period_col: str, ord_col: str) -> list[Column]:
 
 def _prev_period_frame(id_cols: Sequence[str], period_col: str):
     """All rows of strictly earlier periods of the same id."""
-    return (Window.partitionBy(*id_cols).orderBy(F.col(period_col).cast("long"))
+    return (Window.partitionBy(*id_cols).orderBy(F.col(period_col))
             .rangeBetween(Window.unboundedPreceding, -1))
 
 
@@ -107,12 +108,15 @@ def weighted_score(df: DataFrame, weights: Mapping[str, float] | None = None,
 
 def _representative(df: DataFrame, c: str, id_col: str, period_col: str, team_col: str,
                     ord_col: str) -> Column:
-    """First non-null value of ``c`` in the (id, period), aggregate row first."""
-    agg_first = F.when(is_aggregate_group(team_col), 0).otherwise(1)
-    order = [agg_first] + ([F.col(ord_col)] if ord_col in df.columns else [])
-    w = (Window.partitionBy(id_col, period_col).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return F.first(c, ignorenulls=True).over(w)
+    """First non-null value of ``c`` in the (id, period), aggregate row first, then row order.
+
+    An order-free ``min_by`` over (id, period): its only ordering requirement
+    is (id, period), a prefix of the panel's (id, period, ord) sort, so it
+    shares that sort with the other windows instead of adding its own.
+    """
+    agg_rank = F.when(is_aggregate_group(team_col), 0).otherwise(1)
+    key = F.struct(agg_rank.alias("a"), *([F.col(ord_col).alias("o")] if ord_col in df.columns else []))
+    return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), key)).over(Window.partitionBy(id_col, period_col))
 
 
 def previous_period_lag(df: DataFrame, lag_cols: Sequence[str], id_col: str = "id",
@@ -183,10 +187,12 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
 
     require_columns(df, [team_col, period_col], "changed_attribute_flag input")
     has_id = bool(id_col) and id_col in df.columns
-    period = F.col(period_col).cast("int")
     team = F.col(team_col)
     is_agg = team.isNotNull() & is_aggregate_group(team_col)
-    out = df.withColumn("__p", period)
+    if isinstance(df.schema[period_col].dataType, (T.IntegerType, T.LongType, T.ShortType)):
+        out, pc = df, period_col   # keep the panel's sort on (id, period, ord) usable
+    else:
+        out, pc = df.withColumn("__p", F.col(period_col).cast("int")), "__p"
     if ord_col not in out.columns:
         out = out.withColumn(ord_col, F.monotonically_increasing_id())
         drop_ord = True
@@ -195,17 +201,16 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
 
     if has_id:
         real = ~is_agg & team.isNotNull()
-        w_season = (Window.partitionBy(id_col, "__p")
+        w_season = (Window.partitionBy(id_col, pc)
                     .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        # first row of each real team in the period; the set holds one entry per
-        # distinct team, so a hot (id, period) cannot grow it beyond its teams
-        first_ord = F.min(F.col(ord_col)).over(Window.partitionBy(id_col, "__p", team_col))
-        entries = F.collect_set(F.when(real, F.struct(first_ord.alias("o"), team.alias("t")))).over(w_season)
-        teams = F.array_distinct(F.transform(F.array_sort(entries), lambda e: e["t"]))
-        out = out.withColumn("__list", F.when(F.size(teams) > 0, teams))
-        prev_list = F.last("__list", ignorenulls=True).over(_prev_period_frame([id_col], "__p"))
+        # The period's real groups as a set (bounded by distinct groups, order-free:
+        # it is only used for membership) and its first real group by row order.
+        teams = F.collect_set(F.when(real, team)).over(w_season)
+        first_team = F.min_by(team, F.when(real, F.col(ord_col))).over(w_season)
+        out = out.withColumn("__list", F.when(F.size(teams) > 0, teams)).withColumn("__first", first_team)
+        prev_list = F.last("__list", ignorenulls=True).over(_prev_period_frame([id_col], pc))
         out = out.withColumn("__prev_list", F.when(F.col("__list").isNotNull() & F.col(id_col).isNotNull(), prev_list))
-        comp = F.when(is_agg & F.col("__list").isNotNull(), F.col("__list")[0]).otherwise(team)
+        comp = F.when(is_agg & F.col("__first").isNotNull(), F.col("__first")).otherwise(team)
         out = out.withColumn("__comp", comp)
         hist_keys = [id_col, "__comp"]
         valid_hist = F.col(id_col).isNotNull() & F.col("__comp").isNotNull()
@@ -214,7 +219,7 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
         hist_keys = ["__comp"]
         valid_hist = F.col("__comp").isNotNull()
 
-    prev_season = F.max("__p").over(_prev_period_frame(hist_keys, "__p"))
+    prev_season = F.max(pc).over(_prev_period_frame(hist_keys, pc))
     out = out.withColumn("__prev_p", F.when(valid_hist, prev_season))
 
     def checked(d: DataFrame) -> DataFrame:
@@ -228,9 +233,9 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     cur_d, prev_d = checked(current_dim), checked(previous_dim)
     cur, prv, fb = tag(cur_d, "c"), tag(prev_d, "p"), tag(prev_d, "f")
     out = (out
-           .join(cur, (F.col("__comp") == F.col("__c_t")) & (F.col("__p") == F.col("__c_p")), "left")
+           .join(cur, (F.col("__comp") == F.col("__c_t")) & (F.col(pc) == F.col("__c_p")), "left")
            .join(prv, (F.col("__comp") == F.col("__p_t")) & (F.col("__prev_p") == F.col("__p_p")), "left")
-           .join(fb, (F.col("__comp") == F.col("__f_t")) & ((F.col("__p") - 1) == F.col("__f_p")), "left"))
+           .join(fb, (F.col("__comp") == F.col("__f_t")) & ((F.col(pc) - 1) == F.col("__f_p")), "left"))
     if has_id:
         allowed = F.coalesce(F.array_contains(F.col("__prev_list"), F.col("__comp")), F.lit(False))
     else:
