@@ -29,11 +29,30 @@ def distinct_by_first(df: DataFrame, keys=("Tm", "Season", "Coach"), ord_col: st
     return out.select(*keys, *[F.col("__r")[c].alias(c) for c in rest], ord_col)
 
 
+def staff_listing(df: DataFrame, group_col: str = "Tm", period_col: str = "Season",
+                  person_col: str = "Coach", ord_col: str = "ord") -> DataFrame:
+    """The summary in long form: one row per person, globally sorted by group,
+    period and first appearance.  A range-partitioned sort, so any group size
+    is spread over many tasks."""
+    require_columns(df, [group_col, period_col, person_col, ord_col], "staff_listing input")
+    return df.select(group_col, period_col, ord_col, person_col).orderBy(group_col, period_col, ord_col)
+
+
 def staff_summary(df: DataFrame, group_col: str = "Tm", period_col: str = "Season",
                   person_col: str = "Coach", ord_col: str = "ord",
-                  out_col: str = "Coaches", sep: str = ", ") -> DataFrame:
-    """One row per (group, period): the people in first-seen order, joined by ``sep``."""
+                  out_col: str = "Coaches", sep: str = ", ", max_group: int = 1_000_000) -> DataFrame:
+    """One row per (group, period): the people in first-seen order, joined by ``sep``.
+
+    Each output value holds a whole group, so the group is first checked to
+    hold at most ``max_group`` people (one cheap aggregate, a row per group);
+    beyond that the string would not fit one task and ``staff_listing`` --
+    the same content in long form -- is the way to go.
+    """
     require_columns(df, [group_col, period_col, person_col, ord_col], "staff_summary input")
+    biggest = df.groupBy(group_col, period_col).count().agg(F.max("count")).first()[0] or 0
+    if biggest > max_group:
+        raise ValueError(f"a ({group_col}, {period_col}) group holds {biggest} people (> {max_group}); "
+                         "use staff_listing for the long form")
     entries = F.array_sort(F.collect_list(F.struct(F.col(ord_col).alias("o"), F.col(person_col).alias("p"))))
     return df.groupBy(group_col, period_col).agg(
         F.array_join(F.transform(entries, lambda e: e["p"]), sep).alias(out_col))
