@@ -183,8 +183,6 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     bounded row-count check and joined three times with a ``matched`` marker,
     since "key found" and "value non-null" differ in the fallback rule.
     """
-    from tessera.operators.joins import broadcast_if_small
-
     require_columns(df, [team_col, period_col], "changed_attribute_flag input")
     has_id = bool(id_col) and id_col in df.columns
     team = F.col(team_col)
@@ -222,6 +220,18 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     prev_season = F.max(pc).over(_prev_period_frame(hist_keys, pc))
     out = out.withColumn("__prev_p", F.when(valid_hist, prev_season))
 
+    return attach_attribute_flag(out, current_dim, previous_dim, pc, has_id, out_col=out_col,
+                                 dim_team=dim_team, dim_period=dim_period, dim_value=dim_value,
+                                 broadcast_rows=broadcast_rows, drop=[ord_col] if drop_ord else [])
+
+
+def attach_attribute_flag(out: DataFrame, current_dim: DataFrame, previous_dim: DataFrame, pc: str,
+                          has_id: bool, out_col: str = "new_coach", dim_team: str = "Tm",
+                          dim_period: str = "season_year", dim_value: str = "Coach",
+                          broadcast_rows: int = 1_000_000, drop=()) -> DataFrame:
+    """Lookups and flag of ``changed_attribute_flag`` given ``__comp``, ``__prev_list``, ``__prev_p``."""
+    from tessera.operators.joins import broadcast_if_small
+
     def checked(d: DataFrame) -> DataFrame:
         d = d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"),
                      F.col(dim_value).alias("v"), F.lit(True).alias("m"))
@@ -245,5 +255,4 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     current = F.col("__c_v")
     flag = F.when(current.isNotNull() & previous.isNotNull(), current != previous)
     out = out.withColumn(out_col, flag)
-    drop = [c for c in out.columns if c.startswith("__")] + ([ord_col] if drop_ord else [])
-    return out.drop(*drop)
+    return out.drop(*([c for c in out.columns if c.startswith("__")] + list(drop)))

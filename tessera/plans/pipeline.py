@@ -78,7 +78,8 @@ def _checkpoint(df: DataFrame, path: str | None) -> DataFrame:
 def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: DataFrame, *,
                      id_col: str = "id", period_col: str = "season_start", team_col: str = "Team",
                      ord_col: str = "ord", min_games: float = 30, decimals: int = 1,
-                     imputed_path: str | None = None, features_path: str | None = None) -> PipelineOutputs:
+                     imputed_path: str | None = None, features_path: str | None = None,
+                     skew_safe: bool = False) -> PipelineOutputs:
     """Run the reference's feature pipeline on a panel.
 
     Order: gap fill -> static fill (Player, Pos) -> age anchor -> [imputed]
@@ -86,22 +87,47 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
     lags -> coach flag -> team flag -> [features] -> drop split-period
     components -> drop clock 0 -> games >= ``min_games`` -> select, round,
     rename (filtered view with the team column, modelling table without).
+
+    ``skew_safe=True`` uses the period-grain forms (``operators.period_grain``):
+    no window spans an id's rows, so an id holding a large share of all rows
+    is spread over its periods.  Those forms read their input twice (summary
+    and join back), so each step's output is ``checkpoint()``ed into the
+    session's checkpoint dir: the plan stays linear in the number of steps
+    and a lost executor resumes from the last step.
     """
+    if skew_safe:
+        from tessera.operators import period_grain as imp_  # noqa: F811
+        from tessera.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(panel.sparkSession)
+        fe_ = imp_
+
+        def cut(d: DataFrame) -> DataFrame:
+            return d.checkpoint(eager=True)
+    else:
+        imp_, fe_ = imp, fe
+
+        def cut(d: DataFrame) -> DataFrame:
+            return d
     keys = dict(id_col=id_col, period_col=period_col, ord_col=ord_col)
-    imputed = (panel
-               .transform(imp.fill_gap_periods, **keys)
-               .transform(imp.fill_static, STATIC_COLS, **keys)
-               .transform(imp.anchor_linear, "Age", **keys))
+    imputed = (cut(panel)
+               .transform(imp_.fill_gap_periods, **keys)
+               .transform(cut)
+               .transform(imp_.fill_static, STATIC_COLS, **keys)
+               .transform(cut)
+               .transform(imp_.anchor_linear, "Age", **keys))
     imputed = _checkpoint(imputed, imputed_path)
 
-    feats = (imputed
-             .transform(fe.experience_clock, **keys)
-             .transform(fe.career_rate_to_date, CAREER_STATS, **keys)
+    feats = (cut(imputed)
+             .transform(fe_.experience_clock, **keys)
+             .transform(cut)
+             .transform(fe_.career_rate_to_date, CAREER_STATS, **keys)
              .transform(fe.weighted_score)
-             .transform(fe.previous_period_lag, LAG_COLS, team_col=team_col, **keys))
-    feats = fe.changed_attribute_flag(feats, current_dim, previous_dim, team_col=team_col,
-                                      period_col=period_col, id_col=id_col, ord_col=ord_col)
-    feats = feats.transform(fe.changed_group_flag, id_col=id_col, team_col=team_col,
+             .transform(cut)
+             .transform(fe_.previous_period_lag, LAG_COLS, team_col=team_col, **keys)
+             .transform(cut))
+    feats = cut(fe_.changed_attribute_flag(feats, current_dim, previous_dim, team_col=team_col,
+                                           period_col=period_col, id_col=id_col, ord_col=ord_col))
+    feats = feats.transform(fe_.changed_group_flag, id_col=id_col, team_col=team_col,
                             period_col=period_col, ord_col=ord_col)
     feats = _checkpoint(feats, features_path)
 

@@ -487,3 +487,9 @@ def q_train_and_export(spark, sf):
     from tessera.plans.training import train_and_export
     out = train_and_export(modelling_table(spark, sf), gbt_params=CHECK_GBT, k=3)
     return out["pred_df"]
+
+
+@register("feature_pipeline_skew_safe", _pipeline_sql())
+def q_feature_pipeline_skew_safe(spark, sf):
+    """The same modelling table through the period-grain (hot-id resistant) operators."""
+    return pipeline_outputs(spark, sf, skew_safe=True).modelling
