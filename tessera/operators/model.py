@@ -289,7 +289,12 @@ GBT_DEFAULTS = dict(maxIter=500, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
 def gbt_pipeline(df: DataFrame, feature_cols: Sequence[str], target_col: str, seed: int = 42,
                  **overrides) -> Pipeline:
     """Preprocessor + ``GBTRegressor`` as one estimator (refitted per fold)."""
-    params = {**GBT_DEFAULTS, **overrides}
+    # GBT checkpoints its running predictions every ``checkpointInterval``
+    # iterations when a checkpoint dir exists, which keeps a 500-tree lineage
+    # short; cached node ids avoid re-walking deep trees on every level.
+    from tessera.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    params = {**GBT_DEFAULTS, "checkpointInterval": 10, "cacheNodeIds": True, **overrides}
     gbt = GBTRegressor(featuresCol="features", labelCol=target_col, predictionCol="prediction",
                        seed=seed, **params)
     return Pipeline(stages=[build_preprocessor(df, feature_cols), gbt])
