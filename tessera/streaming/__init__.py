@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch pipeline over per-period files: it has no stream
+sources, watermarks, event-time windows or stateful operators, so there is
+nothing here to rebuild.  New period folders are picked up by re-running
+``tessera.plans.jobs.run_feature_pipeline`` (the history features of every
+id depend on all its periods, so a new period is a batch recomputation, not
+an append).
+"""
