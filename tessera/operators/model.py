@@ -45,43 +45,59 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
     if not cols:
         return out
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols]).first().asDict()
-    brackets = {}  # column -> (lo, hi, values below lo)
+    state = {}  # column -> [lo, hi, values below lo, values inside, accuracy]
     for c in cols:
-        n = counts[c]
-        if not n:
+        if not counts[c]:
             out[c] = None
-            continue
-        x = F.col(f"`{c}`").cast("double")
-        r1, r2 = (n - 1) // 2, n // 2          # 0-based middle ranks
-        lo, hi, below, inside = None, None, 0, n  # bracket: values in [lo, hi]
-        acc = accuracy
-        while inside > final_limit and not (lo is not None and lo == hi):
-            sub = df.select(x.alias("x")).where(F.col("x").isNotNull())
-            if lo is not None:
-                sub = sub.where((F.col("x") >= lo) & (F.col("x") <= hi))
+        else:
+            state[c] = [None, None, 0, counts[c], accuracy]
+
+    def x(c):
+        return F.col(f"`{c}`").cast("double")
+
+    def open_cols():
+        return [c for c, (lo, hi, _b, inside, acc) in state.items()
+                if inside > final_limit and not (lo is not None and lo == hi) and acc <= 10_000_000]
+
+    # Each round handles every open column in two jobs: approximate quantiles
+    # inside each bracket, then exact counts below / inside the new brackets.
+    active = open_cols()
+    while active:
+        qs = []
+        for c in active:
+            lo, hi, below, inside, acc = state[c]
+            n = counts[c]
+            r1, r2 = (n - 1) // 2, n // 2
             p_lo = max((r1 - below) / inside - 2.0 / acc, 0.0)
             p_hi = min((r2 - below) / inside + 2.0 / acc, 1.0)
-            q = sub.agg(F.percentile_approx("x", [p_lo, p_hi], acc).alias("q")).first()["q"]
-            new_lo, new_hi = q[0], q[1]
-            st = df.select(x.alias("x")).agg(
-                F.count_if(F.col("x") < new_lo).alias("b"),
-                F.count_if((F.col("x") >= new_lo) & (F.col("x") <= new_hi)).alias("i")).first()
-            valid = st["b"] <= r1 and st["b"] + st["i"] > r2
-            if valid and (st["i"] < inside or new_lo == new_hi):
-                lo, hi, below, inside = new_lo, new_hi, st["b"], st["i"]
+            v = x(c) if lo is None else F.when((x(c) >= lo) & (x(c) <= hi), x(c))
+            qs.append(F.percentile_approx(v, [p_lo, p_hi], acc).alias(c))
+        q = df.agg(*qs).first().asDict()
+        cnt = []
+        for c in active:
+            new_lo, new_hi = q[c][0], q[c][1]
+            cnt += [F.count_if(x(c) < new_lo).alias(f"b_{c}"),
+                    F.count_if((x(c) >= new_lo) & (x(c) <= new_hi)).alias(f"i_{c}")]
+        st = df.agg(*cnt).first().asDict()
+        for c in active:
+            lo, hi, below, inside, acc = state[c]
+            n = counts[c]
+            r1, r2 = (n - 1) // 2, n // 2
+            new_lo, new_hi = q[c][0], q[c][1]
+            b, i = st[f"b_{c}"], st[f"i_{c}"]
+            if b <= r1 and b + i > r2 and (i < inside or new_lo == new_hi):
+                state[c] = [new_lo, new_hi, b, i, acc]
             else:
-                acc *= 4  # the approximate step missed or did not shrink: tighten
-                if acc > 10_000_000:
-                    break
-        brackets[c] = (lo, hi, below)
+                state[c][4] = acc * 4  # the approximate step missed or did not shrink: tighten
+        active = open_cols()
+    brackets = {c: (v[0], v[1], v[2]) for c, v in state.items()}
     if not brackets:
         return out
     # One job for all columns: the values left in each bracket, counted by value.
     entries = []
     for c, (lo, hi, _) in brackets.items():
-        x = F.col(f"`{c}`").cast("double")
-        keep = x.isNotNull() if lo is None else (x >= lo) & (x <= hi)
-        entries.append(F.when(keep, F.struct(F.lit(c).alias("k"), x.alias("x"))))
+        keep = x(c).isNotNull() if lo is None else (x(c) >= lo) & (x(c) <= hi)
+        entries.append(F.when(keep, F.struct(F.lit(c).alias("k"), x(c).alias("x"))))
     pairs = df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull()).select("e.k", "e.x")
     grouped: dict[str, list] = {}
     for row in pairs.groupBy("k", "x").count().collect():
