@@ -12,6 +12,7 @@ changes the last bits.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +20,16 @@ from tessera.functions.expressions import is_aggregate_group, parse_season_label
 from tessera.operators import features as fe
 from tessera.operators import filters as flt
 from tessera.operators import impute as imp
+from tessera.operators import model as mdl
 from tessera.operators import shape as shp
 from tessera.operators import staffing as stf
+from tessera.plans import oracle as osql
 from tessera.plans.oracle import PANEL_CTES, STAFF_CTES, STATS, with_ctes
+from tessera.plans.pipeline import RENAME_MAP, feature_pipeline, modelling_columns
 from tessera.plans.registry import register
-from tessera.sources.testdata_panel import season_panel, staffing_rows
+from tessera.session import scratch_dir
+from tessera.sources import io as tio
+from tessera.sources.testdata_panel import season_label, season_panel, staffing_rows
 
 CAREER_STATS = ["PTS", "AST", "TRB", "BLK", "STL", "TOV"]
 LAG_COLS = ["FTA", "PTS", "AST", "TRB", "BLK", "STL", "TOV", "G", "Age", "years_in_nba"]
@@ -192,11 +198,6 @@ def q_round_floats(spark, sf):
 
 
 # ---------------------------------------------------------------- staffing dimension
-from tessera.plans import oracle as osql  # noqa: E402
-from tessera.plans.pipeline import MODEL_FEATURES, RENAME_MAP, feature_pipeline, modelling_columns  # noqa: E402
-from tessera.session import scratch_dir  # noqa: E402
-from tessera.sources import io as tio  # noqa: E402
-from tessera.sources.testdata_panel import season_label  # noqa: E402
 
 
 def staff_dedup(spark, sf):
@@ -376,9 +377,6 @@ def q_feature_pipeline(spark, sf):
 
 
 # ---------------------------------------------------------------- model layer
-from pyspark.ml.feature import SQLTransformer  # noqa: E402
-
-from tessera.operators import model as mdl  # noqa: E402
 
 NUM_IMPUTE = ["Age", "FTA", "PTS", "AST"]
 NUM_SCALE = ["Age", "G", "PTS", "AST"]
