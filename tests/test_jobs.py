@@ -51,7 +51,7 @@ def test_feature_pipeline_from_files(spark, tmp_path):
     make_tree(root)
     tables = export_staffing_tables(spark, f"{root}/raw", f"{root}/interim")
     assert tables["coaches_by_team_first_only"].count() == 8
-    out = run_feature_pipeline(spark, f"{root}/raw", f"{root}/out/nba.csv", min_games=30)
+    out = run_feature_pipeline(spark, f"{root}/raw", f"{root}/out/panel.csv", min_games=30)
     model = spark.read.option("header", True).csv(f"{root}/processed/data")
     assert model.columns == [
         "Player-additional", "season_start", "age_prev_season", "position", "games_available_prev_season",
@@ -73,7 +73,7 @@ def test_feature_pipeline_from_files(spark, tmp_path):
     assert feats[("kay01", 2021, "BRK")].new_coach is False  # Nash both seasons
     assert feats[("kay01", 2020, "BRK")].Age == 32.0  # anchored on 2018 age 30
     assert feats[("jay01", 2019, "LAL")].years_in_nba == 1
-    assert os.path.isdir(f"{root}/out/nba_imputed") and os.path.isdir(f"{root}/out/nba_filtered")
+    assert os.path.isdir(f"{root}/out/panel_imputed") and os.path.isdir(f"{root}/out/panel_filtered")
     eye = eye_test_export(spark, f"{root}/processed/data", ids=["kay01"])
     assert {r["Player-additional"] for r in spark.read.option("header", True).csv(eye).collect()} == {"kay01"}
 
