@@ -210,3 +210,151 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     hist = hist.withColumn("__prev_p", F.lag(period_col).over(Window.partitionBy(id_col, "__comp").orderBy(period_col)))
     out = _join_back(out, hist, [id_col, "__comp", period_col])
     return fe.attach_attribute_flag(out, current_dim, previous_dim, period_col, True, out_col=out_col, **kw)
+
+
+def history_features(df: DataFrame, current_dim: DataFrame, previous_dim: DataFrame,
+                     stat_cols: Sequence[str], lag_cols: Sequence[str], id_col: str = "id",
+                     period_col: str = "season_start", team_col: str = "Team", ord_col: str = "ord",
+                     games_col: str = "G", clock_col: str = "years_in_nba", weights=None,
+                     score_col: str = "fantasy_points_per_game") -> DataFrame:
+    """Clock, career rates, weighted score, lags, coach flag and team flag in one fused plan.
+
+    Same results as chaining ``experience_clock``, ``career_rate_to_date``,
+    ``weighted_score``, ``previous_period_lag``, ``changed_attribute_flag``
+    and ``changed_group_flag``, but the rows are shuffled once, by
+    (id, period), and every per-id quantity comes from windows over a
+    one-row-per-(id, period) summary:
+
+    * rows: position, running totals and the representative row inside the
+      (id, period) -- windows that follow the row exchange;
+    * summary S (grouped on the same partitioning, no exchange): counts,
+      sums, representatives, team sets;
+    * per-id windows on S: rows before, sums before, previous
+      representatives (the previous period's clock is rebuilt as
+      ``before - lag(n) + lag(rep_pos) - 1``), previous team, previous team
+      set;
+    * (id, comparison team) history on a narrow table exploded from S,
+      folded back per (id, period);
+    * one join of the summary back to the rows on (id, period).
+
+    An id holding a third of all rows is spread over its periods; no window
+    or collection spans an id's rows.
+    """
+    from tessera.operators import features as fe
+
+    require_columns(df, [id_col, period_col, team_col, games_col, *stat_cols], "history_features input")
+    lag_base = [c for c in lag_cols if c != clock_col]
+    team = F.col(team_col)
+    is_agg = team.isNotNull() & is_aggregate_group(team_col)
+    real = ~is_agg & team.isNotNull()
+    o = _ord(df, ord_col) or [F.lit(0)]
+    key = F.struct(F.when(is_aggregate_group(team_col), 0).otherwise(1).alias("a"), *o)
+
+    rows = _shared(df, id_col, period_col).withColumns(
+        {f"total_{c}": F.col(c) * F.col(games_col) for c in stat_cols})
+    w_in = Window.partitionBy(id_col, period_col).orderBy(*o)
+    w_in_before = w_in.rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(id_col, period_col)
+    rows = rows.withColumns({
+        "__pos": F.row_number().over(w_in),
+        "__gw": F.sum(games_col).over(w_in_before),
+        **{f"__tw_{c}": F.sum(f"total_{c}").over(w_in_before) for c in stat_cols},
+        "__is_rep": key.eqNullSafe(F.min(key).over(w_all)),
+    })
+
+    summary = rows.where(F.col(id_col).isNotNull()).groupBy(id_col, period_col).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.sum(games_col).alias("__g"),
+        *[F.sum(f"total_{c}").alias(f"__t_{c}") for c in stat_cols],
+        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"__r_{c}") for c in lag_base],
+        F.max(F.when(F.col("__is_rep"), F.col("__pos"))).alias("__rep_pos"),
+        F.min_by(team, F.when(team.isNotNull(), key)).alias("__st"),
+        F.count(team_col).alias("__n_team"),
+        F.collect_set(F.when(real, team)).alias("__set"),
+        F.collect_set(F.when(is_agg, team)).alias("__agg_set"),
+        F.min_by(team, F.when(real, F.struct(*o))).alias("__first"))
+
+    w = Window.partitionBy(id_col).orderBy(period_col)
+    wb = w.rowsBetween(Window.unboundedPreceding, -1)
+    lst = F.when(F.size("__set") > 0, F.col("__set"))
+    per = summary.select(
+        id_col, period_col, "__n_team", "__first", "__set", "__agg_set",
+        F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__before"),
+        F.sum("__g").over(wb).alias("__gb"),
+        *[F.sum(f"__t_{c}").over(wb).alias(f"__tb_{c}") for c in stat_cols],
+        *[F.lag(f"__r_{c}").over(w).alias(f"lag1_{c}") for c in lag_base],
+        (F.coalesce(F.sum("__n").over(wb), F.lit(0)) - F.lag("__n").over(w) + F.lag("__rep_pos").over(w) - 1)
+        .cast("int").alias("__lag_clock"),
+        F.last("__st", ignorenulls=True).over(wb).alias("__prev_team"),
+        F.when(lst.isNotNull(), F.last(lst, ignorenulls=True).over(wb)).alias("__prev_list"))
+
+    # comparison teams of each (id, period): its real teams, or its aggregate
+    # teams when it has none; previous period of each (id, team) on that
+    # narrow table, folded back to one array per (id, period).
+    comps = F.when(F.col("__first").isNotNull(), F.col("__set")).otherwise(F.array_union("__set", "__agg_set"))
+    hist = per.select(id_col, period_col, F.explode(comps).alias("__comp"))
+    hist = hist.withColumn("__prev_p", F.lag(period_col).over(Window.partitionBy(id_col, "__comp").orderBy(period_col)))
+    hist = hist.groupBy(id_col, period_col).agg(
+        F.collect_list(F.struct(F.col("__comp").alias("c"), F.col("__prev_p").alias("p"))).alias("__hist"))
+    per = per.drop("__set", "__agg_set").join(hist, [id_col, period_col], "left")
+
+    out = rows.join(per, [id_col, period_col], "left")
+
+    def plus(a, b):
+        return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+    has_id = F.col(id_col).isNotNull()
+    g = F.col(games_col)
+    games_before = plus(F.col("__gb"), F.col("__gw"))
+    cols = {clock_col: F.when(has_id, (F.col("__before") + F.col("__pos") - 1).cast("int"))}
+    for c in stat_cols:
+        t = F.col(f"total_{c}")
+        total_before = F.coalesce(plus(F.col(f"__tb_{c}"), F.col(f"__tw_{c}")), F.lit(0.0))
+        cols[f"career_{c}_pg"] = F.when(has_id & t.isNotNull() & g.isNotNull(), safe_divide(total_before, games_before))
+    out = out.withColumns(cols)
+    out = fe.weighted_score(out, weights, score_col)
+    if clock_col in lag_cols:
+        out = out.withColumn(f"lag1_{clock_col}", F.col("__lag_clock"))
+    prev = F.col("__prev_team")
+    has_prev = has_id & prev.isNotNull()
+    out = out.withColumn("new_team", F.when(has_prev & is_aggregate_group(team_col), F.lit(False))
+                         .when(has_prev & (F.col("__n_team") == 1) & team.isNotNull(), team != prev))
+    comp = F.when(is_agg & F.col("__first").isNotNull(), F.col("__first")).otherwise(team)
+    out = out.withColumn("__comp", comp)
+    prev_p = F.try_element_at(F.filter(F.col("__hist"), lambda e: e["c"] == F.col("__comp")), F.lit(1))["p"]
+    out = out.withColumn("__prev_p", F.when(has_id & F.col("__comp").isNotNull(), prev_p))
+    return fe.attach_attribute_flag(out, current_dim, previous_dim, period_col, True, out_col="new_coach")
+
+
+def impute_panel(df: DataFrame, static_cols: Sequence[str], anchor_col: str = "Age", id_col: str = "id",
+                 period_col: str = "season_start", games_col: str = "G", flag_col: str = "did_play",
+                 ord_col: str = "ord") -> DataFrame:
+    """Gap fill, static fill and linear anchor in one plan.
+
+    Same result as ``fill_gap_periods`` -> ``fill_static`` -> ``anchor_linear``.
+    Gap rows carry only id and period, so the per-id latest static values
+    and the anchor are aggregates of the input rows alone: one grouped
+    aggregate per id (partial aggregation), joined once on the id to the
+    observed and gap rows (AQE splits a hot id on the large side of that
+    join).  ``df`` is read three times; pass a checkpointed or cached frame.
+    """
+    require_columns(df, [id_col, period_col, games_col, anchor_col, *static_cols], "impute_panel input")
+    rows = df.where(F.col(id_col).isNotNull())
+    p = F.col(period_col)
+    nxt = F.lead(p).over(Window.partitionBy(id_col).orderBy(p))
+    gaps = (rows.select(id_col, period_col).distinct().withColumn("__next", nxt)
+            .where(F.col("__next") > p + 1)
+            .select(id_col, F.explode(F.sequence(p + 1, F.col("__next") - 1)).alias(period_col)))
+    gap_rows = gaps.select(*[F.col(c) if c in (id_col, period_col)
+                             else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns])
+    key = F.struct(F.col(period_col), *_ord(df, ord_col))
+    v = F.col(anchor_col)
+    per_id = rows.groupBy(id_col).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"__s_{c}") for c in static_cols],
+        F.min_by(F.struct(F.col(period_col).alias("p"), v.alias("v")), F.when(v.isNotNull(), key)).alias("__a"))
+    out = rows.unionByName(gap_rows).join(per_id, [id_col], "left")
+    g = F.coalesce(F.col(games_col), F.lit(0).cast(df.schema[games_col].dataType))
+    age = (F.col("__a.v") + (F.col(period_col) - F.col("__a.p"))).cast(df.schema[anchor_col].dataType)
+    out = out.withColumns({games_col: g, flag_col: g > 0, anchor_col: age,
+                           **{c: F.col(f"__s_{c}") for c in static_cols}})
+    return out.drop("__a", *[f"__s_{c}" for c in static_cols])

@@ -90,10 +90,11 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
 
     ``skew_safe=True`` uses the period-grain forms (``operators.period_grain``):
     no window spans an id's rows, so an id holding a large share of all rows
-    is spread over its periods.  Those forms read their input twice (summary
-    and join back), so each step's output is ``checkpoint()``ed into the
-    session's checkpoint dir: the plan stays linear in the number of steps
-    and a lost executor resumes from the last step.
+    is spread over its periods.  The panel is ``checkpoint()``ed into the
+    session's checkpoint dir once (both fused stages read their input more
+    than once, and a lost executor resumes from there); imputation is one
+    plan (``period_grain.impute_panel``) and the feature block another
+    (``period_grain.history_features``) with a single (id, period) row exchange.
     """
     if skew_safe:
         from tessera.operators import period_grain as imp_  # noqa: F811
@@ -109,26 +110,30 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
         def cut(d: DataFrame) -> DataFrame:
             return d
     keys = dict(id_col=id_col, period_col=period_col, ord_col=ord_col)
-    imputed = (cut(panel)
-               .transform(imp_.fill_gap_periods, **keys)
-               .transform(cut)
-               .transform(imp_.fill_static, STATIC_COLS, **keys)
-               .transform(cut)
-               .transform(imp_.anchor_linear, "Age", **keys))
+    if skew_safe:
+        imputed = imp_.impute_panel(cut(panel), STATIC_COLS, "Age", **keys)
+    else:
+        imputed = (panel
+                   .transform(imp.fill_gap_periods, **keys)
+                   .transform(imp.fill_static, STATIC_COLS, **keys)
+                   .transform(imp.anchor_linear, "Age", **keys))
     imputed = _checkpoint(imputed, imputed_path)
 
-    feats = (cut(imputed)
-             .transform(fe_.experience_clock, **keys)
-             .transform(cut)
-             .transform(fe_.career_rate_to_date, CAREER_STATS, **keys)
-             .transform(fe.weighted_score)
-             .transform(cut)
-             .transform(fe_.previous_period_lag, LAG_COLS, team_col=team_col, **keys)
-             .transform(cut))
-    feats = cut(fe_.changed_attribute_flag(feats, current_dim, previous_dim, team_col=team_col,
-                                           period_col=period_col, id_col=id_col, ord_col=ord_col))
-    feats = feats.transform(fe_.changed_group_flag, id_col=id_col, team_col=team_col,
-                            period_col=period_col, ord_col=ord_col)
+    if skew_safe:
+        # one (id, period) row exchange; every per-id quantity from summary windows
+        base = imputed if imputed_path else cut(imputed)  # the written table already cuts the lineage
+        feats = fe_.history_features(base, current_dim, previous_dim, CAREER_STATS, LAG_COLS,
+                                     id_col=id_col, period_col=period_col, team_col=team_col, ord_col=ord_col)
+    else:
+        feats = (imputed
+                 .transform(fe.experience_clock, **keys)
+                 .transform(fe.career_rate_to_date, CAREER_STATS, **keys)
+                 .transform(fe.weighted_score)
+                 .transform(fe.previous_period_lag, LAG_COLS, team_col=team_col, **keys))
+        feats = fe.changed_attribute_flag(feats, current_dim, previous_dim, team_col=team_col,
+                                          period_col=period_col, id_col=id_col, ord_col=ord_col)
+        feats = feats.transform(fe.changed_group_flag, id_col=id_col, team_col=team_col,
+                                period_col=period_col, ord_col=ord_col)
     feats = _checkpoint(feats, features_path)
 
     kept = (feats

@@ -80,3 +80,34 @@ def test_coach_flag(spark, panel):
     assert got == rows(fe.changed_attribute_flag(a, dim, prev), cols)
     assert any(r[-1] is True for r in got) and any(r[-1] is False for r in got)
     assert not math.isnan(len(got))
+
+
+def test_fused_history_features(spark, panel):
+    from tessera.operators.features import weighted_score
+    a = imp.fill_gap_periods(panel)
+    seasons = range(1985, 2035)
+    dim = spark.createDataFrame([(t, y, f"{t}-{y // 4}") for t in ("AAA", "BBB", "CCC", "DDD") for y in seasons],
+                                "Tm string, season_year int, Coach string")
+    prev = spark.createDataFrame([(t, y, f"{t}-{y // 4}") for t in ("AAA", "BBB", "CCC", "DDD") for y in seasons
+                                  if y % 5], "Tm string, season_year int, Coach string")
+    w = {"PTS": 1.0, "AST": 1.5}
+    lags = ["PTS", "G", "Age", "years_in_nba"]
+    ref = fe.experience_clock(a)
+    ref = fe.career_rate_to_date(ref, ["PTS", "AST"])
+    ref = weighted_score(ref, w)
+    ref = fe.previous_period_lag(ref, lags)
+    ref = fe.changed_attribute_flag(ref, dim, prev)
+    ref = fe.changed_group_flag(ref)
+    got = pg.history_features(a, dim, prev, ["PTS", "AST"], lags, weights=w)
+    cols = ["id", "season_start", "Team", "ord", "years_in_nba", "total_PTS", "career_PTS_pg", "career_AST_pg",
+            "fantasy_points_per_game", "lag1_PTS", "lag1_G", "lag1_Age", "lag1_years_in_nba", "new_coach", "new_team"]
+    assert sorted(got.columns) == sorted(ref.columns)
+    assert rows(got, cols) == rows(ref, cols)
+
+
+def test_fused_imputation(panel):
+    cols = ["id", "season_start", "Team", "ord", "Player", "Pos", "Age", "G", "PTS", "did_play"]
+    ref = imp.anchor_linear(imp.fill_static(imp.fill_gap_periods(panel), ["Player", "Pos"]), "Age")
+    got = pg.impute_panel(panel, ["Player", "Pos"], "Age")
+    assert sorted(got.columns) == sorted(ref.columns)
+    assert rows(got, cols) == rows(ref, cols)
