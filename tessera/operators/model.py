@@ -13,7 +13,7 @@ import json
 import math
 from collections.abc import Sequence
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -44,6 +44,19 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
     out: dict[str, float | None] = {}
     if not cols:
         return out
+    # The statistic takes several passes: keep just these columns, as doubles,
+    # persisted (memory, spilling to disk) for the duration instead of
+    # recomputing the input's whole lineage on every pass.
+    narrow = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_medians(narrow, list(cols), accuracy, final_limit, out)
+    finally:
+        narrow.unpersist()
+
+
+def _exact_medians(df: DataFrame, cols: list[str], accuracy: int, final_limit: int,
+                   out: dict[str, float | None]) -> dict[str, float | None]:
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols]).first().asDict()
     state = {}  # column -> [lo, hi, values below lo, values inside, accuracy]
     for c in cols:
