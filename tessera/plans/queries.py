@@ -407,7 +407,7 @@ def q_impute_categorical(spark, sf):
 
 
 @register("one_hot", with_ctes(PANEL_CTES, body="SELECT * EXCLUDE (Pos), " + ", ".join(
-    f"CASE WHEN Pos = '{v}' THEN 1.0 ELSE 0.0 END AS Pos_{v}" for v in SEGMENTS) + " FROM panel"))
+    f"CAST(CASE WHEN Pos = '{v}' THEN 1 ELSE 0 END AS DOUBLE) AS Pos_{v}" for v in SEGMENTS) + " FROM panel"))
 def q_one_hot(spark, sf):
     return mdl.one_hot(season_panel(spark, sf), "Pos")
 
