@@ -50,11 +50,13 @@ def round_half_even(c: ColumnOrName, decimals: int = 1) -> Column:
 
     Spark's ``round`` rounds half up on the decimal representation
     (0.25 -> 0.3); ``rint`` on the scaled double gives 0.2 as numpy does.
+    A result of zero is always +0.0.
     """
     if decimals < 0:
         raise ValueError("decimals must be non-negative")
     scale = float(10 ** decimals)
-    return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (equal values, one canonical sign)
+    return F.rint(col(c) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
 def two_digit_year(label: ColumnOrName) -> Column:
