@@ -55,3 +55,17 @@ def test_feature_plan_shape(spark):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
     assert len(re.findall(r"FileScan", plan)) <= 3
     assert "l_comment" not in plan and "o_comment" not in plan  # pruned columns never read
+
+
+@pytest.mark.skipif(not os.path.exists(SMOKE), reason="driver test data not present")
+def test_shuffled_panel_same_result(spark):
+    """Row order in the input does not matter: ties are broken by ord, never by position."""
+    from tessera.plans.pipeline import feature_pipeline
+    from tessera.plans.queries import staff_dims
+    from tessera.sources.testdata_panel import season_panel
+    cur, prev = staff_dims(spark, SMOKE)
+    panel = season_panel(spark, SMOKE)
+    a = feature_pipeline(panel, cur, prev, min_games=2).features
+    b = feature_pipeline(panel.repartition(7), cur, prev, min_games=2).features
+    key = lambda r: repr(tuple(r))
+    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
