@@ -233,8 +233,11 @@ def attach_attribute_flag(out: DataFrame, current_dim: DataFrame, previous_dim:
     from tessera.operators.joins import broadcast_if_small
 
     def checked(d: DataFrame) -> DataFrame:
-        d = d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"),
-                     F.col(dim_value).alias("v"), F.lit(True).alias("m"))
+        # one row per (group, period): labels that parse to the same year must
+        # not multiply panel rows in the joins below (the largest value wins)
+        d = (d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"),
+                      F.col(dim_value).alias("v"))
+             .groupBy("t", "p").agg(F.max("v").alias("v"), F.lit(True).alias("m")))
         return broadcast_if_small(d, broadcast_rows)
 
     def tag(d: DataFrame, t: str) -> DataFrame:

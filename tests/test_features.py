@@ -199,3 +199,12 @@ def test_no_python_udf_in_feature_plan(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+def test_new_coach_duplicate_lookup_keys_do_not_multiply_rows(spark):
+    df = frame(spark, [("a", "X", 2021), ("a", "X", 2022)], "id string, Team string, season_start int")
+    cur, prev = dims(spark, [("X", "21_22", "Old"), ("X", "2021_22", "Old")],
+                     [("X", "22_23", "New"), ("X", "2022_23", "New")])
+    out = changed_attribute_flag(df, cur, prev).collect()
+    assert len(out) == 2
+    assert {r.season_start: r.new_coach for r in out} == {2021: None, 2022: True}
