@@ -420,9 +420,3 @@ def feature_importance(model: PipelineModel, top: int = 25) -> DataFrame:
     spark = SparkSession.getActiveSession()
     df = spark.createDataFrame(list(zip(names, map(float, imp))), "feature string, importance double")
     return df.orderBy(F.desc("importance"), F.asc("feature")).limit(top)
-
-
-def top_rows(df: DataFrame, k: int, order_cols) -> DataFrame:
-    """Global top-k (``orderBy().limit()`` plans a TakeOrderedAndProject)."""
-    return df.orderBy(*order_cols).limit(k)
-

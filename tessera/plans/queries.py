@@ -33,7 +33,6 @@ from tessera.sources.testdata_panel import season_label, season_panel, staffing_
 
 CAREER_STATS = ["PTS", "AST", "TRB", "BLK", "STL", "TOV"]
 LAG_COLS = ["FTA", "PTS", "AST", "TRB", "BLK", "STL", "TOV", "G", "Age", "years_in_nba"]
-PANEL_COLS = ["id", "season_start", "Team", "ord", "Player", "Pos", "Age", "G", *STATS]
 
 
 def r6(df: DataFrame, cols) -> DataFrame:
