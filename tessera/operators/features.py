@@ -234,10 +234,11 @@ def attach_attribute_flag(out: DataFrame, current_dim: DataFrame, previous_dim:
 
     def checked(d: DataFrame) -> DataFrame:
         # one row per (group, period): labels that parse to the same year must
-        # not multiply panel rows in the joins below (the largest value wins)
+        # not multiply panel rows in the joins below (the largest value wins;
+        # collect_set keeps it a hash aggregate, strings would force a sort one)
         d = (d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"),
                       F.col(dim_value).alias("v"))
-             .groupBy("t", "p").agg(F.max("v").alias("v"), F.lit(True).alias("m")))
+             .groupBy("t", "p").agg(F.array_max(F.collect_set("v")).alias("v"), F.lit(True).alias("m")))
         return broadcast_if_small(d, broadcast_rows)
 
     def tag(d: DataFrame, t: str) -> DataFrame:
