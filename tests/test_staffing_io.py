@@ -77,3 +77,13 @@ def test_model_table_reader_and_writer(spark, tmp_path):
     path = write_table(df, f"{tmp_path}/out")
     back = read_model_table(spark, path, schema=df.schema).collect()
     assert [tuple(r) for r in back] == [(1, None, True)]
+
+
+def test_staff_summary_bound_and_listing(spark):
+    from tessera.operators.staffing import staff_listing
+    rows = [("T", "21_22", f"c{i}", 1, (i,)) for i in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "Tm string, Season string, Coach string, G int, ord struct<k:int>")
+    assert staff_summary(df).first().Coaches == "c1, c2, c3"
+    with pytest.raises(ValueError, match="staff_listing"):
+        staff_summary(df, max_group=2)
+    assert [r.Coach for r in staff_listing(df).collect()] == ["c1", "c2", "c3"]
