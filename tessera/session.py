@@ -22,12 +22,19 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
-    """Return a session with the library's defaults (for tests, bench, scripts)."""
-    master = master or os.environ.get("TESSERA_MASTER", "local[8]")
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Return a session with the library's defaults (for tests, bench, scripts).
+
+    The master and the number of shuffle partitions are set only when asked
+    for, so a submitted job keeps what the cluster gave it.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master or os.environ.get("TESSERA_MASTER"):
+        builder = builder.master(master or os.environ["TESSERA_MASTER"])
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
-    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if "TESSERA_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ["TESSERA_DRIVER_MEMORY"]
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -37,10 +44,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint dir of the session; a private temp folder only when unset (tests)."""
+    """The checkpoint dir of the session.
+
+    Only a local master without one gets a private temporary folder (tests);
+    on a cluster the executors would write to disks nobody else can read, so
+    a missing setting is an error there.
+    """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
