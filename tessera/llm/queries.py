@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import pieces, simhash
+from tessera.llm import pieces, quality, simhash, toxicity
 
 QUERIES = {
+    "op3_toxicity": toxicity.op3_toxicity,
     "op6_pieces": pieces.op6_pieces,
     "op8_simhash": simhash.op8_simhash,
+    "op10_quality": quality.op10_quality,
 }
 SQL: dict[str, str] = {}
