@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tessera.llm import pieces, quality, simhash, toxicity
+from tessera.llm import chat, language, pieces, quality, simhash, topk, toxicity
 
 QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_chat": chat.op4_chat,
+    "op5_topk": topk.op5_topk,
     "op6_pieces": pieces.op6_pieces,
     "op8_simhash": simhash.op8_simhash,
+    "op9_language": language.op9_language,
     "op10_quality": quality.op10_quality,
 }
-SQL: dict[str, str] = {}
+SQL = {"op4_chat": chat.SQL_CHAT, "op5_topk": topk.SQL_TOPK}
