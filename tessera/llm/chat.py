@@ -139,7 +139,7 @@ WITH t AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 e AS (
   SELECT *, length(replace(replace(text, '\\', '\\\\'), '<|', '<\\|'))
-    + length(replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), chr(10), '\\n')) + 25 AS chars FROM t),
+    + length(replace(replace(replace(role, '\\', '\\\\'), '<|', '<\\|'), chr(10), '\\n')) + 24 AS chars FROM t),
 g AS (
   SELECT conv_id, count(*) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,

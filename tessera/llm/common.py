@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_dir
 
-#: Runs of the characters that are not in a word (digits, ASCII letters and everything beyond ASCII are).
-NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Runs of the characters that are not in a word (digits, ASCII letters of either case and everything beyond ASCII are).
+NON_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A side is broadcast only if its written table has at most so many bytes.
 BROADCAST_BYTES = 64 << 20
 
@@ -48,15 +48,6 @@ def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def words_of(text: Column) -> Column:
-    """Words of a text, in lower case beyond ASCII too; NULL has none.
-
-    ``lower`` keeps the words' borders, and texts that agree after lowering
-    A-Z alone agree after it, so it serves to look for candidates.
-    """
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NON_WORD), "")
-
-
 def text_key(text: Column) -> Column:
     """SHA-256 of a text: names a distinct text, and joins copies to the work done once for all."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, language, pieces, quality, simhash, topk, toxicity
+from tessera.llm import chat, decontaminate, language, licenses, pieces, quality, simhash, topk, toxicity
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat": chat.op4_chat,
     "op5_topk": topk.op5_topk,
     "op6_pieces": pieces.op6_pieces,
+    "op7_licenses": licenses.op7_licenses,
     "op8_simhash": simhash.op8_simhash,
     "op9_language": language.op9_language,
     "op10_quality": quality.op10_quality,
 }
-SQL = {"op4_chat": chat.SQL_CHAT, "op5_topk": topk.SQL_TOPK}
+SQL = {"op1_decontaminate": decontaminate.SQL_DECONTAMINATE, "op4_chat": chat.SQL_CHAT, "op5_topk": topk.SQL_TOPK}
