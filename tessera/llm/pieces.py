@@ -162,8 +162,13 @@ def encode_pieces(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", t
         run, f"id {kind}, ids array<int>, ends array<int>, decoded string")
 
 
-def op6_pieces(spark, sf_dir: str) -> DataFrame:
-    out = encode_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def piece_digests(docs: DataFrame) -> DataFrame:
+    """Per row: its number of pieces, and SHA-256 of their comma-joined ids and of the text that these decode to."""
+    out = encode_pieces(docs)
     return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_pieces(spark, sf_dir: str) -> DataFrame:
+    return piece_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))

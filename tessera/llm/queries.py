@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, decontaminate, language, licenses, pieces, quality, simhash, topk, toxicity
+from tessera.llm import chat, decontaminate, language, licenses, passages, pieces, quality, simhash, topk, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_passages": passages.op2_passages,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat": chat.op4_chat,
     "op5_topk": topk.op5_topk,
