@@ -39,6 +39,16 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def packed(df: DataFrame) -> Column:
+    """A row's columns as one struct, so that columns added beside it can't clash with any of them."""
+    return F.struct(*columns(df)).alias("row")
+
+
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast of a saved table whose counted rows take at most ``limit`` bytes.
 

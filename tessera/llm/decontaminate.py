@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NON_WORD, discard, read_table, saved, sized, text_key
+from tessera.llm.common import NON_WORD, discard, packed, read_table, saved, sized, text_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a window and of a shingle.
@@ -129,8 +129,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text holds a window of an item."""
     keys = saved(found_windows(docs, benchmark).select("key"), "contaminated")
-    return docs.withColumn("_key", text_key(docs["text"])).join(
-        sized(keys.withColumnRenamed("key", "_key"), 48), "_key", "left_anti").select(docs.columns)
+    rows = docs.select(packed(docs), text_key(F.col("text")).alias("key"))
+    return rows.join(sized(keys, 48), "key", "left_anti").select("row.*")
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -79,14 +79,15 @@ class CrossParser:
         for lang in self.langs:
             symbols = self.encode(samples[lang].lower())[:SAMPLE_SYMBOLS].tolist()
             nxt, n = suffix_automaton(symbols)
-            go = np.full((n, SYMBOLS), -1, np.int64)
+            go = np.full((n + 1, SYMBOLS), -1, np.int64)
             for s, row in enumerate(nxt):
                 for c, t in row.items():
                     go[s, c] = t * SYMBOLS * 2
-            again = np.where(go[0] >= 0, go[0], 0) + 1
-            go = np.where(go >= 0, go, again[None, :])
-            go[0] = np.where(go[0] & 1, 1, go[0])
-            go[:, PAD] = np.arange(n) * SYMBOLS * 2
+            alone = n * SYMBOLS * 2  # after a symbol that the sample lacks, which is a phrase by itself
+            begin = np.where(go[0] >= 0, go[0], alone)
+            go = np.where(go >= 0, go, begin + 1)
+            go[0] = begin
+            go[:, PAD] = np.arange(n + 1) * SYMBOLS * 2
             self.step.append(go.astype(np.int32).ravel())
             self.cost.append(log2(max(2, len(symbols))))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, saved
+from tessera.llm.common import columns, discard, saved
 from tessera.llm.components import connected_components
 
 SEED = 42
@@ -61,10 +61,11 @@ def _keyed(fps: DataFrame, masks: list[int]) -> DataFrame:
 def bucket_links(fps: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
     """Links that connect the fingerprints of a bucket exactly as all close pairs would."""
     left, links = np.sort(fps.astype(np.int64)), []
+    apart = lambda x: np.bitwise_count((left ^ x).view(np.uint64))  # noqa: E731  of signed numbers it counts the absolute value's
     while len(left):
         root, left, front = left[0], left[1:], [left[0]]
         while front and len(left):
-            close = np.bitwise_count(left ^ front.pop()) <= max_distance
+            close = apart(front.pop()) <= max_distance
             if close.any():
                 found, left = left[close], left[~close]
                 links.extend((int(f), int(root)) for f in found)
@@ -132,7 +133,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     groups = simhash_groups(docs, id_col, text_col, shingle, max_distance)
     keep = groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias(id_col)).distinct()
     one = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return one.select(docs.columns).union(docs.where(F.col(id_col).isNull()))
+    return one.select(columns(docs)).union(docs.where(F.col(id_col).isNull()))
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
