@@ -121,12 +121,14 @@ def detections(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     tried only on texts that hold its own.  The words where a rule matches are
     marked by a character that no word has; their places are the starts.
     """
-    some = reduce(or_, [F.col("norm").contains(k) for k in dict.fromkeys(r.keyword for r in rules)])
+    keywords = list(dict.fromkeys(r.keyword for r in rules))
+    # Bound to a variable, the words are made once a text; a plain filter would make them again for each keyword.
+    some = F.exists(F.array(spaced(F.col("text"))), lambda n: reduce(or_, [F.contains(n, F.lit(k)) for k in keywords]))
     table = F.array(*[F.struct(
         F.lit(i).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
         F.lit(f"(?<= )(?:{r.regex})(?= )").alias("regex"), F.lit(r.priority).alias("priority"),
         F.lit(r.weight).alias("weight"), F.lit(r.base).alias("base")) for i, r in enumerate(rules)])
-    texts = docs.select(text_key(F.col("text")).alias("key"), spaced(F.col("text")).alias("norm")).where(some)
+    texts = docs.where(some).select(text_key(F.col("text")).alias("key"), spaced(F.col("text")).alias("norm"))
     tried = F.filter(table, lambda r: F.when(F.contains(F.col("norm"), r["keyword"]), F.rlike(F.col("norm"), r["regex"])))
     hits = texts.select("key", "norm", F.explode(tried).alias("r"))
     marked = F.split(F.regexp_replace("norm", F.col("r.regex"), F.lit(MARK + "$0")), " ")
