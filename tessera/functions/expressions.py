@@ -36,8 +36,8 @@ def is_aggregate_group(team: ColumnOrName) -> Column:
 
 
 def to_number(c: ColumnOrName) -> Column:
-    """Coerce to DOUBLE; anything that does not parse becomes NULL."""
-    return col(c).try_cast("double")
+    """Coerce to DOUBLE; anything that does not parse, and NaN, becomes NULL."""
+    return F.nanvl(col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def safe_divide(num: ColumnOrName, den: ColumnOrName) -> Column:

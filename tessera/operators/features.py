@@ -63,7 +63,8 @@ def weighted_total(df: DataFrame, stat_cols: Sequence[str], games_col: str = "G"
 
 def career_rate_to_date(df: DataFrame, stat_cols: Sequence[str], games_col: str = "G",
                         id_col: str = "id", period_col: str = "season_start",
-                        ord_col: str = "ord", exclude_components: bool = False) -> DataFrame:
+                        ord_col: str = "ord", exclude_components: bool = False,
+                        team_col: str = "Team") -> DataFrame:
     """Career per-game rate over all earlier rows of the id.
 
     ``career_<c>_pg = sum(total_c) / sum(games)`` over the rows before the
@@ -79,7 +80,6 @@ def career_rate_to_date(df: DataFrame, stat_cols: Sequence[str], games_col: str
          .rowsBetween(Window.unboundedPreceding, -1))
     g = F.col(games_col)
     if exclude_components:
-        team_col = "Team"
         comp = ~is_aggregate_group(team_col) & (
             F.min(team_col).over(Window.partitionBy(id_col, period_col))
             != F.max(team_col).over(Window.partitionBy(id_col, period_col)))
@@ -166,7 +166,7 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
                            id_col: str | None = "id", ord_col: str = "ord",
                            out_col: str = "new_coach", dim_team: str = "Tm",
                            dim_period: str = "season_year", dim_value: str = "Coach",
-                           broadcast_rows: int = 1_000_000) -> DataFrame:
+                           dim_ord: str = "ord") -> DataFrame:
     """Did the group's attribute (e.g. a team's coach) change since the id was last there?
 
     ``current_dim``/``previous_dim`` map (group, period) to the attribute:
@@ -179,9 +179,10 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
     ``current <> previous`` when both are known, else NULL.  Without an id
     column the history is per group and the fallback is always allowed.
 
-    The dimensions are small (groups x periods); they are broadcast after a
-    bounded row-count check and joined three times with a ``matched`` marker,
-    since "key found" and "value non-null" differ in the fallback rule.
+    Of lookup rows that repeat a key the last one by ``dim_ord`` counts (the
+    largest value, without that column); a blank value is an unknown one.  The
+    lookups are joined three times with a ``matched`` marker, since "key found"
+    and "value known" differ in the fallback rule.
     """
     require_columns(df, [team_col, period_col], "changed_attribute_flag input")
     has_id = bool(id_col) and id_col in df.columns
@@ -222,24 +223,25 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
 
     return attach_attribute_flag(out, current_dim, previous_dim, pc, has_id, out_col=out_col,
                                  dim_team=dim_team, dim_period=dim_period, dim_value=dim_value,
-                                 broadcast_rows=broadcast_rows, drop=[ord_col] if drop_ord else [])
+                                 dim_ord=dim_ord, keep=[c for c in df.columns],
+                                 drop=[ord_col] if drop_ord else [])
 
 
 def attach_attribute_flag(out: DataFrame, current_dim: DataFrame, previous_dim: DataFrame, pc: str,
                           has_id: bool, out_col: str = "new_coach", dim_team: str = "Tm",
                           dim_period: str = "season_year", dim_value: str = "Coach",
-                          broadcast_rows: int = 1_000_000, drop=()) -> DataFrame:
-    """Lookups and flag of ``changed_attribute_flag`` given ``__comp``, ``__prev_list``, ``__prev_p``."""
-    from tessera.operators.joins import broadcast_if_small
+                          dim_ord: str = "ord", keep=(), drop=()) -> DataFrame:
+    """Lookups and flag of ``changed_attribute_flag`` given ``__comp``, ``__prev_list``, ``__prev_p``.
 
+    Helper columns (two leading underscores) go, but for those in ``keep``.
+    """
     def checked(d: DataFrame) -> DataFrame:
         # one row per (group, period): labels that parse to the same year must
-        # not multiply panel rows in the joins below (the largest value wins;
-        # collect_set keeps it a hash aggregate, strings would force a sort one)
-        d = (d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"),
-                      F.col(dim_value).alias("v"))
-             .groupBy("t", "p").agg(F.array_max(F.collect_set("v")).alias("v"), F.lit(True).alias("m")))
-        return broadcast_if_small(d, broadcast_rows)
+        # not multiply panel rows in the joins below
+        o = F.col(dim_ord) if dim_ord in d.columns else F.lit(0)
+        d = d.select(F.col(dim_team).alias("t"), F.col(dim_period).cast("int").alias("p"), F.struct(
+            o.alias("o"), F.when(F.trim(F.col(dim_value)) != "", F.col(dim_value)).alias("v")).alias("r"))
+        return d.groupBy("t", "p").agg(F.max("r")["v"].alias("v"), F.lit(True).alias("m"))
 
     def tag(d: DataFrame, t: str) -> DataFrame:
         return d.select(*[F.col(c).alias(f"__{t}_{c}") for c in ("t", "p", "v", "m")])
@@ -259,4 +261,4 @@ def attach_attribute_flag(out: DataFrame, current_dim: DataFrame, previous_dim:
     current = F.col("__c_v")
     flag = F.when(current.isNotNull() & previous.isNotNull(), current != previous)
     out = out.withColumn(out_col, flag)
-    return out.drop(*([c for c in out.columns if c.startswith("__")] + list(drop)))
+    return out.drop(*([c for c in out.columns if c.startswith("__") and c not in keep] + list(drop)))

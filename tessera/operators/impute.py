@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.expressions import require_columns
 
@@ -35,10 +36,10 @@ def fill_gap_periods(df: DataFrame, id_col: str = "id", period_col: str = "seaso
         if ord_col in df.columns else Window.partitionBy(id_col).orderBy(period_col)
     p = F.col(period_col)
     nxt = F.lead(p).over(w)
-    gaps = F.when(nxt > p + 1, F.sequence(p + 1, nxt - 1)).otherwise(F.array().cast("array<int>"))
+    gaps = F.when(nxt > p + 1, F.sequence(p + 1, nxt - 1)).otherwise(F.array())
     exploded = (
         df.where(F.col(id_col).isNotNull())
-        .withColumn("__periods", F.concat(F.array(p.cast("int")), gaps.cast("array<int>")))
+        .withColumn("__periods", F.concat(F.array(p), gaps).cast(T.ArrayType(df.schema[period_col].dataType)))
         .select(id_col, F.posexplode("__periods").alias("__pos", "__period"), *others)
     )
     keep = F.col("__pos") == 0

@@ -1,4 +1,4 @@
-"""Join helpers: broadcast behind a size check, checked one-to-one joins."""
+"""Join helpers: duplicate keys, checked one-to-one joins."""
 
 from __future__ import annotations
 
@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 from tessera.functions.expressions import require_columns
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only when the side is proven to hold <= ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is cheap even when the side turns out to be large.  Beyond
-    the bound the plain DataFrame is returned and Spark plans a shuffle join
-    (AQE may still switch to a broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once, with their count.
 
@@ -34,9 +22,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def validate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Raise unless ``keys`` uniquely identify each row; return ``df`` unchanged."""
-    if duplicate_keys(df, keys).limit(1).count() > 0:
-        raise ValueError("Identifier columns do not uniquely identify each row; "
-                         "cannot safely merge predictions.")
+    if not duplicate_keys(df, keys).isEmpty():
+        raise ValueError(f"more than one row shares a value of the keys {list(keys)}")
     return df
 
 

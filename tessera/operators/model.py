@@ -2,9 +2,8 @@
 
 Fitted statistics (medians, means, modes, category lists) and metrics are
 one small row each; everything else stays distributed.  The exact median
-never buffers a whole column in one task: it narrows a bracket around the
-middle rank with ``percentile_approx`` until the few values left can be
-ranked exactly (see ``exact_medians``).
+never buffers a whole column in one task: counted values are dealt by range
+and ranked by running sums (see ``exact_medians``).
 """
 
 from __future__ import annotations
@@ -19,116 +18,47 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.expressions import to_number
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 # ------------------------------------------------------------------ statistics
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000,
-                  final_limit: int = 200_000) -> dict[str, float | None]:
-    """Exact median of each column (mean of the two middle values), NULLs ignored.
-
-    Per column: count the values; while the candidate range [lo, hi] holds
-    more than ``final_limit`` values, take approximate quantiles just below
-    and above the middle ranks (``percentile_approx``, rank error <=
-    n/accuracy), then count how many values fall below the new bracket and
-    inside it, and keep the bracket only if it provably still contains both
-    middle ranks (else widen to the old one).  Each round shrinks the range
-    by about accuracy/4, so 10^12 values need three scans.  The last round
-    groups the remaining values by value (partial aggregation) and ranks the
-    small result exactly.  Nothing unbounded reaches one task or the driver.
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    """Exact median of each column (mean of the two middle values), NULL and NaN ignored.
+
+    (column, value) pairs are counted with partial aggregation and dealt by
+    range, so equal columns and neighbouring values stand together.  A sum per
+    partition gives the number of values before it, a running sum inside each
+    partition the rank of every value, and the rows that hold the two middle
+    ranks -- at most two a column -- are all that reaches the driver.
     """
-    out: dict[str, float | None] = {}
+    out: dict[str, float | None] = dict.fromkeys(cols)
     if not cols:
         return out
-    # The statistic takes several passes: keep just these columns, as doubles,
-    # persisted (memory, spilling to disk) for the duration instead of
-    # recomputing the input's whole lineage on every pass.
-    narrow = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    pair = [F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols]
+    pairs = df.select(F.explode(F.array(*pair)).alias("e")).select("e.*").where("x is not null and not isnan(x)")
+    counted = pairs.groupBy("k", "x").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("k", "x")
+    counted = counted.withColumn("part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact_medians(narrow, list(cols), accuracy, final_limit, out)
+        parts = counted.groupBy("k", "part").agg(F.sum("n").alias("m"))
+        by_part = Window.partitionBy("k").orderBy("part")
+        parts = parts.select("k", "part", (F.sum("m").over(by_part) - F.col("m")).alias("before"),
+                             F.sum("m").over(Window.partitionBy("k")).alias("all"))
+        inside = Window.partitionBy("part", "k").orderBy("x")
+        ranked = counted.join(parts, ["k", "part"]).withColumn("end", F.col("before") + F.sum("n").over(inside))
+        first = F.col("end") - F.col("n")
+        low, high = F.floor((F.col("all") - 1) / 2), F.floor(F.col("all") / 2)
+        holds = lambda r: (first <= r) & (r < F.col("end"))
+        middle = ranked.groupBy("k").agg(F.max(F.when(holds(low), F.col("x"))).alias("a"),
+                                         F.max(F.when(holds(high), F.col("x"))).alias("b"))
+        out.update({r["k"]: (r["a"] + r["b"]) / 2.0 for r in middle.collect()})
     finally:
-        narrow.unpersist()
-
-
-def _exact_medians(df: DataFrame, cols: list[str], accuracy: int, final_limit: int,
-                   out: dict[str, float | None]) -> dict[str, float | None]:
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols]).first().asDict()
-    state = {}  # column -> [lo, hi, values below lo, values inside, accuracy]
-    for c in cols:
-        if not counts[c]:
-            out[c] = None
-        else:
-            state[c] = [None, None, 0, counts[c], accuracy]
-
-    def x(c):
-        return F.col(f"`{c}`").cast("double")
-
-    def open_cols():
-        return [c for c, (lo, hi, _b, inside, acc) in state.items()
-                if inside > final_limit and not (lo is not None and lo == hi) and acc <= 10_000_000]
-
-    # Each round handles every open column in two jobs: approximate quantiles
-    # inside each bracket, then exact counts below / inside the new brackets.
-    active = open_cols()
-    while active:
-        qs = []
-        for c in active:
-            lo, hi, below, inside, acc = state[c]
-            n = counts[c]
-            r1, r2 = (n - 1) // 2, n // 2
-            p_lo = max((r1 - below) / inside - 2.0 / acc, 0.0)
-            p_hi = min((r2 - below) / inside + 2.0 / acc, 1.0)
-            v = x(c) if lo is None else F.when((x(c) >= lo) & (x(c) <= hi), x(c))
-            qs.append(F.percentile_approx(v, [p_lo, p_hi], acc).alias(c))
-        q = df.agg(*qs).first().asDict()
-        cnt = []
-        for c in active:
-            new_lo, new_hi = q[c][0], q[c][1]
-            cnt += [F.count_if(x(c) < new_lo).alias(f"b_{c}"),
-                    F.count_if((x(c) >= new_lo) & (x(c) <= new_hi)).alias(f"i_{c}")]
-        st = df.agg(*cnt).first().asDict()
-        for c in active:
-            lo, hi, below, inside, acc = state[c]
-            n = counts[c]
-            r1, r2 = (n - 1) // 2, n // 2
-            new_lo, new_hi = q[c][0], q[c][1]
-            b, i = st[f"b_{c}"], st[f"i_{c}"]
-            if b <= r1 and b + i > r2 and (i < inside or new_lo == new_hi):
-                state[c] = [new_lo, new_hi, b, i, acc]
-            else:
-                state[c][4] = acc * 4  # the approximate step missed or did not shrink: tighten
-        active = open_cols()
-    brackets = {c: (v[0], v[1], v[2]) for c, v in state.items()}
-    if not brackets:
-        return out
-    # One job for all columns: the values left in each bracket, counted by value.
-    entries = []
-    for c, (lo, hi, _) in brackets.items():
-        keep = x(c).isNotNull() if lo is None else (x(c) >= lo) & (x(c) <= hi)
-        entries.append(F.when(keep, F.struct(F.lit(c).alias("k"), x(c).alias("x"))))
-    pairs = df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull()).select("e.k", "e.x")
-    grouped: dict[str, list] = {}
-    for row in pairs.groupBy("k", "x").count().collect():
-        grouped.setdefault(row["k"], []).append((row["x"], row["count"]))
-    for c, (_lo, _hi, below) in brackets.items():
-        n = counts[c]
-        r1, r2 = (n - 1) // 2, n // 2
-        a = b = None
-        seen = below
-        for v, cnt in sorted(grouped.get(c, [])):
-            nxt = seen + cnt
-            if a is None and r1 < nxt:
-                a = v
-            if r2 < nxt:
-                b = v
-                break
-            seen = nxt
-        out[c] = (a + b) / 2.0
+        counted.unpersist()
     return out
 
 
@@ -136,8 +66,9 @@ def mean_std(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None
     """Mean and population std per column in one job; zero std reported as 1."""
     if not cols:
         return {}
-    row = df.agg(*[e for c in cols for e in (F.avg(f"`{c}`").alias(f"m_{c}"),
-                                              F.stddev_pop(f"`{c}`").alias(f"s_{c}"))]).first()
+    known = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in cols}
+    row = df.agg(*[e for c, x in known.items() for e in (F.avg(x).alias(f"m_{c}"),
+                                                         F.stddev_pop(x).alias(f"s_{c}"))]).first()
     out = {}
     for c in cols:
         m, s = row[f"m_{c}"], row[f"s_{c}"]
@@ -172,13 +103,10 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict:
     return out
 
 
-def categories(df: DataFrame, col: str, max_categories: int = 100_000) -> list:
-    """Sorted distinct non-null values (bounded: raises beyond ``max_categories``)."""
-    vals = (df.select(F.col(f"`{col}`").alias("v")).where(F.col("v").isNotNull()).distinct()
-            .limit(max_categories + 1).collect())
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    return sorted(r["v"] for r in vals)
+def categories(df: DataFrame, col: str) -> list:
+    """Sorted distinct non-null values: one one-hot column each, so they have to fit the schema anyway."""
+    rows = df.select(F.col(f"`{col}`").alias("v")).where(F.col("v").isNotNull()).distinct().collect()
+    return sorted(r["v"] for r in rows)
 
 
 # ------------------------------------------------------------------ column operators
@@ -189,7 +117,7 @@ def impute_numeric(df: DataFrame, cols: Sequence[str], medians: dict | None = No
     empty = [c for c in cols if medians.get(c) is None]
     if empty:
         report(f"Dropping numeric columns without any value: {empty}")
-    fills = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(medians[c])) for c in cols if c not in empty}
+    fills = {c: F.coalesce(to_number(f"`{c}`"), F.lit(medians[c])) for c in cols if c not in empty}
     return df.withColumns(fills).drop(*empty)
 
 
@@ -254,7 +182,7 @@ class PanelPreprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultPar
     def _fit(self, df: DataFrame) -> "PanelPreprocessorModel":
         num, cat = self.getOrDefault("numericCols"), self.getOrDefault("categoricalCols")
         if not num and not cat:
-            raise ValueError("No usable feature columns found for preprocessing.")
+            raise ValueError("the preprocessor needs a numeric, text or boolean column")
         med = exact_medians(df, num)
         num = [c for c in num if med[c] is not None]
         imputed = impute_numeric(df, num, med, report=lambda *_: None)
@@ -289,14 +217,14 @@ class PanelPreprocessorModel(Model, _PreParams, DefaultParamsReadable, DefaultPa
         num, cat = self.getOrDefault("numericCols"), self.getOrDefault("categoricalCols")
         parts = []
         for c in num:
-            x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(st["medians"][c]))
+            x = F.coalesce(to_number(f"`{c}`"), F.lit(st["medians"][c]))
             parts.append(((x - F.lit(st["means"][c])) / F.lit(st["stds"][c])).alias(f"__n_{c}"))
         for c in cat:
             v = F.coalesce(F.col(f"`{c}`"), F.lit(st["modes"][c]))
             parts += [F.when(v == F.lit(k), 1.0).otherwise(0.0).alias(f"__c_{one_hot_name(c, k)}")
                       for k in st["categories"][c]]
         tmp = df.select("*", *parts)
-        inputs = [c for c in tmp.columns if c.startswith("__n_") or c.startswith("__c_")]
+        inputs = tmp.columns[len(df.columns):]
         out = VectorAssembler(inputCols=inputs, outputCol=self.getOrDefault("outputCol")).transform(tmp)
         return out.drop(*inputs)
 
@@ -305,7 +233,7 @@ def build_preprocessor(df: DataFrame, feature_cols: Sequence[str], output_col: s
     """Route by declared type; no usable column raises."""
     num, cat = route_columns(df, feature_cols)
     if not num and not cat:
-        raise ValueError("No usable feature columns found for preprocessing.")
+        raise ValueError("the preprocessor needs a numeric, text or boolean column")
     return PanelPreprocessor(numericCols=num, categoricalCols=cat, outputCol=output_col)
 
 
@@ -335,7 +263,7 @@ def assign_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42,
     """Deterministic fold in [0, k) from the row keys and the seed; no global sort.
 
     ``hash``: xxhash64 of keys and seed.  ``arith``: an integer mix of
-    numeric keys that plain SQL engines reproduce.
+    numeric keys that plain SQL engines reproduce; a NULL key counts as 0.
     """
     if method == "hash":
         h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed))
@@ -343,7 +271,7 @@ def assign_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42,
     p = 2147483647
     h = F.lit(seed).cast("long")
     for i, c in enumerate(keys):
-        h = F.pmod(h * 48271 + F.pmod(F.col(f"`{c}`").cast("long"), F.lit(p)) * (16807 + i), F.lit(p))
+        h = F.pmod(h * 48271 + F.pmod(F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0)), F.lit(p)) * (16807 + i), F.lit(p))
     return df.withColumn(out_col, F.pmod(h, F.lit(k)).cast("int"))
 
 
@@ -376,7 +304,10 @@ def cross_validate(df: DataFrame, estimator_factory, target_col: str, keys: Sequ
         for i in range(k):
             train, test = data.where(F.col("__fold") != i), data.where(F.col("__fold") == i)
             model = estimator_factory(train).fit(train)
-            scores.append(regression_metrics(model.transform(test), target_col).first()["rmse"])
+            score = regression_metrics(model.transform(test), target_col).first()["rmse"]
+            if score is None:
+                raise ValueError(f"fold {i} of {k} has no row with a known {target_col}; take fewer folds")
+            scores.append(score)
     finally:
         data.unpersist()
     mean = sum(scores) / len(scores)
@@ -395,9 +326,12 @@ def score_with_residual(model: Transformer, df: DataFrame, target_col: str | Non
     return out
 
 
-def save_model_and_metrics(model, metrics: dict, model_path: str, metrics_path: str) -> None:
-    """Spark ML model save (overwrite) and a one-row JSON metrics file."""
-    model.write().overwrite().save(model_path)
+def save_model_and_metrics(model, metrics: dict, model_path: str | None, metrics_path: str | None) -> None:
+    """Spark ML model save (overwrite) and a one-row JSON metrics file; a path not given is not written."""
+    if model_path:
+        model.write().overwrite().save(model_path)
+    if not metrics_path:
+        return
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     row = {k: (list(map(float, v)) if isinstance(v, (list, tuple)) else float(v)) for k, v in metrics.items()}
@@ -415,7 +349,7 @@ def feature_importance(model: PipelineModel, top: int = 25) -> DataFrame:
     except Exception:  # noqa: BLE001
         names = [f"f{i}" for i in range(len(imp))]
     if len(names) != len(imp):
-        raise ValueError("Feature name count mismatch with importances.")
+        raise ValueError(f"{len(imp)} importances for {len(names)} feature names")
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     df = spark.createDataFrame(list(zip(names, map(float, imp))), "feature string, importance double")

@@ -209,7 +209,8 @@ def changed_attribute_flag(df: DataFrame, current_dim: DataFrame, previous_dim:
             .select(id_col, "__comp", period_col).distinct())
     hist = hist.withColumn("__prev_p", F.lag(period_col).over(Window.partitionBy(id_col, "__comp").orderBy(period_col)))
     out = _join_back(out, hist, [id_col, "__comp", period_col])
-    return fe.attach_attribute_flag(out, current_dim, previous_dim, period_col, True, out_col=out_col, **kw)
+    return fe.attach_attribute_flag(out, current_dim, previous_dim, period_col, True, out_col=out_col,
+                                    keep=list(df.columns), **kw)
 
 
 def history_features(df: DataFrame, current_dim: DataFrame, previous_dim: DataFrame,
@@ -323,7 +324,8 @@ def history_features(df: DataFrame, current_dim: DataFrame, previous_dim: DataFr
     out = out.withColumn("__comp", comp)
     prev_p = F.try_element_at(F.filter(F.col("__hist"), lambda e: e["c"] == F.col("__comp")), F.lit(1))["p"]
     out = out.withColumn("__prev_p", F.when(has_id & F.col("__comp").isNotNull(), prev_p))
-    return fe.attach_attribute_flag(out, current_dim, previous_dim, period_col, True, out_col="new_coach")
+    return fe.attach_attribute_flag(out, current_dim, previous_dim, period_col, True, out_col="new_coach",
+                                    keep=list(df.columns))
 
 
 def impute_panel(df: DataFrame, static_cols: Sequence[str], anchor_col: str = "Age", id_col: str = "id",

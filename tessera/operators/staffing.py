@@ -40,19 +40,14 @@ def staff_listing(df: DataFrame, group_col: str = "Tm", period_col: str = "Seaso
 
 def staff_summary(df: DataFrame, group_col: str = "Tm", period_col: str = "Season",
                   person_col: str = "Coach", ord_col: str = "ord",
-                  out_col: str = "Coaches", sep: str = ", ", max_group: int = 1_000_000) -> DataFrame:
+                  out_col: str = "Coaches", sep: str = ", ") -> DataFrame:
     """One row per (group, period): the people in first-seen order, joined by ``sep``.
 
-    Each output value holds a whole group, so the group is first checked to
-    hold at most ``max_group`` people (one cheap aggregate, a row per group);
-    beyond that the string would not fit one task and ``staff_listing`` --
-    the same content in long form -- is the way to go.
+    Each output value holds a whole group's names; for groups whose joined
+    string would not fit a task, ``staff_listing`` has the same content in
+    long form.
     """
     require_columns(df, [group_col, period_col, person_col, ord_col], "staff_summary input")
-    biggest = df.groupBy(group_col, period_col).count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_group:
-        raise ValueError(f"a ({group_col}, {period_col}) group holds {biggest} people (> {max_group}); "
-                         "use staff_listing for the long form")
     entries = F.array_sort(F.collect_list(F.struct(F.col(ord_col).alias("o"), F.col(person_col).alias("p"))))
     return df.groupBy(group_col, period_col).agg(
         F.array_join(F.transform(entries, lambda e: e["p"]), sep).alias(out_col))
@@ -82,9 +77,11 @@ def staffing_dimensions(staff: DataFrame, group_col: str = "Tm", label_col: str
 
     current = first person per (group, period), previous = most-games person
     (ties to the earlier row); both keyed by (Tm, season_year) with the year
-    parsed from the label.  Both come out of one aggregation, which is
-    checkpointed (when ``materialize``) so the raw staffing rows are read
-    once however many joins use the lookups.
+    parsed from the label; ``ord`` is the label, so of labels that parse to the
+    same year the last one counts.  Both come out of one aggregation, which is
+    written once (when ``materialize``) to the shared checkpoint folder: the raw
+    staffing rows are read once however many joins use the lookups, and the
+    planner knows the table's size.
     """
     dedup = distinct_by_first(staff.select(group_col, label_col, person_col, games_col, ord_col),
                               (group_col, label_col, person_col), ord_col)
@@ -92,13 +89,14 @@ def staffing_dimensions(staff: DataFrame, group_col: str = "Tm", label_col: str
         F.min_by(person_col, ord_col).alias("__cur"),
         F.min_by(person_col, F.struct((-F.col(games_col)).alias("ng"), F.col(ord_col).alias("o"))).alias("__prev"))
     both = both.select(F.col(group_col).alias("Tm"), parse_season_label(label_col).alias("season_year"),
-                       "__cur", "__prev")
+                       F.col(label_col).alias("ord"), "__cur", "__prev")
     if materialize:
-        from tessera.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(both.sparkSession)
-        both = both.checkpoint(eager=True)
-    cur = both.select("Tm", "season_year", F.col("__cur").alias("Coach"))
-    prev = both.select("Tm", "season_year", F.col("__prev").alias("Coach"))
+        from tessera.session import scratch_dir
+        path = scratch_dir(both.sparkSession, "staffing-dimensions")
+        both.write.parquet(path)
+        both = both.sparkSession.read.schema(both.schema).parquet(path)
+    cur = both.select("Tm", "season_year", F.col("__cur").alias("Coach"), "ord")
+    prev = both.select("Tm", "season_year", F.col("__prev").alias("Coach"), "ord")
     return cur, prev
 
 
@@ -106,4 +104,4 @@ def lookup_from_labels(df: DataFrame, group_col: str = "Tm", label_col: str = "S
                        value_col: str = "Coach") -> DataFrame:
     """(Tm, season_year, Coach) lookup from a (group, period label, value) table."""
     return df.select(F.col(group_col).alias("Tm"), parse_season_label(label_col).alias("season_year"),
-                     F.col(value_col).alias("Coach"))
+                     F.col(value_col).alias("Coach"), F.col(label_col).alias("ord"))

@@ -59,7 +59,7 @@ def export_staffing_tables(spark: SparkSession, data_root: str, out_dir: str,
 def _output_paths(output_path: str) -> dict[str, str]:
     base_dir, base = os.path.split(output_path)
     name, _ext = os.path.splitext(base)
-    processed = os.path.join(os.path.dirname(base_dir.rstrip("/")) or ".", "processed", "data")
+    processed = os.path.join(os.path.dirname(base_dir.rstrip("/")) if base_dir else "..", "processed", "data")
     return {"imputed": os.path.join(base_dir, f"{name}_imputed"),
             "features": os.path.join(base_dir, f"{name}_feature_engineer"),
             "filtered": os.path.join(base_dir, f"{name}_filtered"),
@@ -68,7 +68,7 @@ def _output_paths(output_path: str) -> dict[str, str]:
 
 def run_feature_pipeline(spark: SparkSession, data_root: str, output_path: str,
                          staffing_root: str | None = None, min_games: float = 30,
-                         id_col: str = REFERENCE_ID) -> PipelineOutputs:
+                         id_col: str = REFERENCE_ID, skew_safe: bool = True) -> PipelineOutputs:
     """Season folders -> the four tables of the reference's pipeline.
 
     The imputed and feature tables are written as Parquet checkpoints (they
@@ -78,8 +78,7 @@ def run_feature_pipeline(spark: SparkSession, data_root: str, output_path: str,
     seasons = tio.read_seasons(spark, data_root, schema=player_schema())
     staff = tio.read_staffing(spark, staffing_root or data_root)
     cur, prev = stf.staffing_dimensions(staff)
-    panel = seasons.repartition(id_col)
-    out = feature_pipeline(panel, cur, prev, id_col=id_col, min_games=min_games,
+    out = feature_pipeline(seasons, cur, prev, skew_safe=skew_safe, id_col=id_col, min_games=min_games,
                            imputed_path=paths["imputed"], features_path=paths["features"])
     tio.write_table(out.filtered, paths["filtered"])
     tio.write_table(out.modelling, paths["modelling"])

@@ -79,7 +79,7 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
                      id_col: str = "id", period_col: str = "season_start", team_col: str = "Team",
                      ord_col: str = "ord", min_games: float = 30, decimals: int = 1,
                      imputed_path: str | None = None, features_path: str | None = None,
-                     skew_safe: bool = False) -> PipelineOutputs:
+                     skew_safe: bool = True) -> PipelineOutputs:
     """Run the reference's feature pipeline on a panel.
 
     Order: gap fill -> static fill (Player, Pos) -> age anchor -> [imputed]
@@ -88,7 +88,7 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
     components -> drop clock 0 -> games >= ``min_games`` -> select, round,
     rename (filtered view with the team column, modelling table without).
 
-    ``skew_safe=True`` uses the period-grain forms (``operators.period_grain``):
+    ``skew_safe`` (the default) uses the period-grain forms (``operators.period_grain``):
     no window spans an id's rows, so an id holding a large share of all rows
     is spread over its periods.  The panel is ``checkpoint()``ed into the
     session's checkpoint dir once (both fused stages read their input more

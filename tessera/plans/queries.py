@@ -25,7 +25,7 @@ from tessera.operators import shape as shp
 from tessera.operators import staffing as stf
 from tessera.plans import oracle as osql
 from tessera.plans.oracle import PANEL_CTES, STAFF_CTES, STATS, with_ctes
-from tessera.plans.pipeline import RENAME_MAP, feature_pipeline, modelling_columns
+from tessera.plans.pipeline import MODEL_FEATURES, RENAME_MAP, feature_pipeline, modelling_columns
 from tessera.plans.registry import register
 from tessera.session import scratch_dir
 from tessera.sources import io as tio
@@ -312,7 +312,9 @@ ON p.id IS NOT DISTINCT FROM s.id AND p.season_start IS NOT DISTINCT FROM s.seas
    AND p.Team IS NOT DISTINCT FROM s.Team"""))
 def q_join_one_to_one(spark, sf):
     from tessera.operators.joins import join_one_to_one
-    p = season_panel(spark, sf)
+    path = scratch_dir(spark, "join-input")  # both sides and both key checks read it
+    tio.write_table(season_panel(spark, sf), path, fmt="parquet")
+    p = spark.read.parquet(path)
     right = fe.weighted_score(p).select("id", "season_start", "Team", "fantasy_points_per_game")
     return join_one_to_one(p, right, ["id", "season_start", "Team"])
 
@@ -446,47 +448,139 @@ def q_score_with_residual(spark, sf):
     return mdl.score_with_residual(model, fe.weighted_score(season_panel(spark, sf)), "fantasy_points_per_game")
 
 
+TARGET = "fantasy_points_per_game"
+
+
 def modelling_table(spark, sf):
-    from tessera.plans.training import trainable_rows
-    return trainable_rows(pipeline_outputs(spark, sf).modelling, "fantasy_points_per_game")
+    """The modelling table, written once: the model queries read it many times."""
+    path = scratch_dir(spark, "modelling")
+    tio.write_table(pipeline_outputs(spark, sf).modelling, path, fmt="parquet")
+    return spark.read.parquet(path)
 
 
 def _features_of(table):
-    return [c for c in table.columns if c not in ("id", "season_start", "fantasy_points_per_game")]
+    return [c for c in table.columns if c not in ("id", "season_start", TARGET)]
 
 
-@register("gbt_pipeline")
-def q_gbt_pipeline(spark, sf):
-    table = modelling_table(spark, sf).persist()
-    model = mdl.gbt_pipeline(table, _features_of(table), "fantasy_points_per_game", 42, **CHECK_GBT).fit(table)
-    return model.transform(table).select("id", "season_start", "fantasy_points_per_game", "prediction")
+def _fitted(table):
+    return mdl.gbt_pipeline(table, _features_of(table), TARGET, 42, **CHECK_GBT).fit(
+        table.where(F.col(TARGET).isNotNull()))
 
 
-@register("cross_validate")
-def q_cross_validate(spark, sf):
+def _better_than_mean(scored):
+    """(rmse below that of predicting the mean) as a one-row column."""
+    return scored.agg((F.sqrt(F.avg((F.col(TARGET) - F.col("prediction")) ** 2)) < F.stddev_pop(TARGET)).alias("better"))
+
+
+_MODELLING = _pipeline_sql()
+CATEGORY_COLUMNS = ["new_team", "new_coach", "position"]
+
+
+@register("gbt_pipeline", f"""
+SELECT id, season_start, {TARGET}, true AS predicted, true AS better FROM ({_MODELLING})""")
+def q_gbt_pipeline(spark, sf):
     table = modelling_table(spark, sf)
-    feats = _features_of(table)
-    cv = mdl.cross_validate(table, lambda d: mdl.gbt_pipeline(d, feats, "fantasy_points_per_game", 42, **CHECK_GBT),
-                            "fantasy_points_per_game", ["id", "season_start"], k=5, seed=42)
-    rows = [(i, float(r), float(cv["rmse_mean"]), float(cv["rmse_std"])) for i, r in enumerate(cv["fold_rmse"])]
-    return spark.createDataFrame(rows, "fold int, rmse double, rmse_mean double, rmse_std double")
+    scored = _fitted(table).transform(table)
+    return scored.crossJoin(F.broadcast(_better_than_mean(scored))).select(
+        "id", "season_start", TARGET, F.col("prediction").isNotNull().alias("predicted"), "better")
 
 
-@register("feature_importance")
+@register("cross_validate", f"""
+SELECT CAST(f.i AS INTEGER) AS fold, count(*) FILTER (m.{TARGET} IS NOT NULL AND m.fold = f.i) AS n_rows,
+  true AS known, true AS consistent
+FROM (SELECT *, {_fold_sql()} AS fold FROM ({_MODELLING})) m, (SELECT unnest(range(5)) AS i) f GROUP BY f.i""")
+def q_cross_validate(spark, sf):
+    table = modelling_table(spark, sf)
+    known = table.where(F.col(TARGET).isNotNull())
+    feats, keys = _features_of(table), ["id", "season_start"]
+    cv = mdl.cross_validate(known, lambda d: mdl.gbt_pipeline(d, feats, TARGET, 42, **CHECK_GBT), TARGET, keys, k=5,
+                            seed=42, fold_method="arith")
+    folds = mdl.assign_folds(known, keys, 5, 42, method="arith").groupBy("fold").agg(
+        F.count("*").alias("n_rows"))
+    scores = spark.createDataFrame([(i, float(r)) for i, r in enumerate(cv["fold_rmse"])], "fold int, rmse double")
+    right = abs(sum(cv["fold_rmse"]) / 5 - cv["rmse_mean"]) < 1e-9
+    return folds.join(scores, "fold").select("fold", "n_rows", (F.col("rmse") >= 0).alias("known"),
+                                             F.lit(right).alias("consistent"))
+
+
+@register("feature_importance", f"""
+WITH m AS ({_MODELLING})
+SELECT feature, true AS in_order, true AS sums_to_one FROM (
+  SELECT unnest([{", ".join(repr(RENAME_MAP.get(c, c)) for c in MODEL_FEATURES
+                            if c not in (TARGET, "Pos") and RENAME_MAP.get(c, c) not in CATEGORY_COLUMNS)}]) AS feature
+  {" ".join(f"UNION SELECT DISTINCT '{c}_' || CAST({c} AS VARCHAR) FROM m WHERE {c} IS NOT NULL" for c in CATEGORY_COLUMNS)})""")
 def q_feature_importance(spark, sf):
-    table = modelling_table(spark, sf).persist()
-    model = mdl.gbt_pipeline(table, _features_of(table), "fantasy_points_per_game", 42, **CHECK_GBT).fit(table)
-    return mdl.feature_importance(model, 25)
+    table = modelling_table(spark, sf)
+    imp = mdl.feature_importance(_fitted(table), len(table.columns) * 20)
+    total = imp.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+    return imp.crossJoin(F.broadcast(total)).select("feature", (F.col("importance") >= 0).alias("in_order"), "sums_to_one")
 
 
-@register("train_and_export")
+@register("train_and_export", f"""
+SELECT id, season_start, {TARGET}, {TARGET} AS y_true, true AS predicted, true AS residual_right FROM ({_MODELLING})""")
 def q_train_and_export(spark, sf):
     from tessera.plans.training import train_and_export
-    out = train_and_export(modelling_table(spark, sf), gbt_params=CHECK_GBT, k=3)
-    return out["pred_df"]
+    out = train_and_export(modelling_table(spark, sf), gbt_params=CHECK_GBT, k=5)["pred_df"]
+    right = F.col("residual").eqNullSafe(F.col(TARGET) - F.col("prediction")) & (F.col("y_pred") == F.col("prediction"))
+    return out.select("id", "season_start", TARGET, "y_true", F.col("prediction").isNotNull().alias("predicted"),
+                      right.alias("residual_right"))
+
+
+@register("save_model_and_metrics", with_ctes(PANEL_CTES, body=f"""
+SELECT {sql_r6("avg(PTS)")} AS mean_pts, count(PTS)::DOUBLE AS n_pts FROM panel"""))
+def q_save_model_and_metrics(spark, sf):
+    p = season_panel(spark, sf).agg(F.avg("PTS").alias("m"), F.count("PTS").alias("n")).first()
+    path = scratch_dir(spark, "metrics")
+    mdl.save_model_and_metrics(None, {"mean_pts": p["m"], "n_pts": p["n"]}, None, path)
+    return r6(spark.read.schema("mean_pts double, n_pts double").json(path), ["mean_pts"])
+
+
+@register("build_preprocessor", with_ctes(PANEL_CTES, f"""
+s AS (SELECT {", ".join(f"median({c}) AS m_{c}" for c in NUM_SCALE)} FROM panel),
+f AS (SELECT p.id, p.season_start, p.Team,
+             {", ".join(f"coalesce(p.{c}, s.m_{c}) AS {c}" for c in NUM_SCALE)},
+             coalesce(p.Pos, (SELECT Pos FROM panel WHERE Pos IS NOT NULL GROUP BY Pos ORDER BY count(*) DESC, Pos LIMIT 1)) AS Pos
+      FROM panel p, s)""", body="SELECT id, season_start, Team, " + ", ".join(
+    sql_r6(f"({c} - (SELECT avg({c}) FROM f)) / (SELECT stddev_pop({c}) FROM f)") + f" AS {c}" for c in NUM_SCALE) + ", " + ", ".join(
+    f"CAST(CASE WHEN Pos = '{v}' THEN 1 ELSE 0 END AS DOUBLE) AS Pos_{v}" for v in SEGMENTS) + " FROM f"))
+def q_build_preprocessor(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    p = season_panel(spark, sf)
+    model = mdl.build_preprocessor(p, [*NUM_SCALE, "Pos"]).fit(p)
+    names = model.feature_names()
+    x = model.transform(p).select("id", "season_start", "Team", vector_to_array("features").alias("x"))
+    return r6(x.select("id", "season_start", "Team", *[F.col("x")[i].alias(n) for i, n in enumerate(names)]), NUM_SCALE)
 
 
 @register("feature_pipeline_skew_safe", _pipeline_sql())
 def q_feature_pipeline_skew_safe(spark, sf):
-    """The same modelling table through the period-grain (hot-id resistant) operators."""
-    return pipeline_outputs(spark, sf, skew_safe=True).modelling
+    """The same modelling table, from the panel and the imputed table as written tables."""
+    return pipeline_outputs(spark, sf, imputed_path=scratch_dir(spark, "imputed")).modelling
+
+
+@register("feature_pipeline_windowed", _pipeline_sql())
+def q_feature_pipeline_windowed(spark, sf):
+    """The same modelling table through the per-id windows."""
+    return pipeline_outputs(spark, sf, skew_safe=False).modelling
+
+
+def _messy_sql(d: str) -> str:
+    """The lookup with blank holders in every third year, and in every fourth another holder from a later label."""
+    return f"""
+{d}_m AS (SELECT Tm, season_year, CASE WHEN season_year % 4 = 1 THEN upper(Coach) || ' B'
+                 WHEN season_year % 3 = 0 THEN NULL ELSE Coach END AS Coach FROM {d})"""
+
+
+@register("changed_attribute_flag_messy", with_ctes(
+    FILLED_CTES, STAFF_CTES, _messy_sql("cur_dim"), _messy_sql("prev_dim"),
+    osql.coach_flag_sql("filled", "flagged").replace("JOIN cur_dim", "JOIN cur_dim_m").replace("JOIN prev_dim", "JOIN prev_dim_m"),
+    body="SELECT * FROM flagged"))
+def q_changed_attribute_flag_messy(spark, sf):
+    """The flag with blank names and repeated keys of different values in the lookups."""
+    def messy(d):
+        year = F.col("season_year")
+        blank = d.withColumn("Coach", F.when(year % 3 == 0, F.lit(" ")).otherwise(F.col("Coach")))
+        later = d.where(year % 4 == 1).withColumn("Coach", F.concat(F.upper("Coach"), F.lit(" B")))
+        return blank.unionByName(later.withColumn("ord", F.concat("ord", F.lit("_later"))))
+    cur, prev = staff_dims(spark, sf)
+    return fe.changed_attribute_flag(filled(spark, sf), messy(cur), messy(prev))

@@ -13,17 +13,15 @@ from tessera.operators.shape import split_features_target
 from tessera.sources.io import write_table
 
 
-def trainable_rows(table: DataFrame, target_col: str) -> DataFrame:
-    """Rows with a known target (boosting rejects NULL labels)."""
-    return table.where(F.col(target_col).isNotNull())
-
-
 def train_and_export(table: DataFrame, target_col: str = "fantasy_points_per_game",
                      id_cols: Sequence[str] = ("id", "season_start"), k: int = 5, seed: int = 42,
                      gbt_params: dict | None = None, fold_method: str = "hash",
                      model_path: str | None = None, metrics_path: str | None = None,
                      predictions_path: str | None = None, pred_df_path: str | None = None) -> dict:
-    """Check keys, split, cross-validate, refit on all rows, score, save.
+    """Check keys, split, cross-validate, refit on the labelled rows, score all rows, save.
+
+    Boosting can't learn from a row without a target; such rows are still
+    scored and exported, with a NULL residual, and metrics has their number.
 
     Returns {"metrics": {...}, "model": PipelineModel, "predictions": DataFrame,
     "pred_df": DataFrame}.  ``pred_df`` repeats target and prediction as
@@ -32,21 +30,22 @@ def train_and_export(table: DataFrame, target_col: str = "fantasy_points_per_gam
     """
     id_cols = list(id_cols)
     validate_keys(table, id_cols)
-    table = trainable_rows(table, target_col)
     _kept, features, target = split_features_target(table, target_col, id_cols)
     data = table.persist()
     try:
         params = dict(gbt_params or {})
         factory = lambda d: mdl.gbt_pipeline(d, features, target, seed, **params)
-        cv = mdl.cross_validate(data, factory, target, id_cols, k, seed, fold_method)
-        model = factory(data).fit(data)
+        known = data.where(F.col(f"`{target}`").isNotNull())
+        cv = mdl.cross_validate(known, factory, target, id_cols, k, seed, fold_method)
+        model = factory(known).fit(known)
         scored = mdl.score_with_residual(model, data, target)
         m = mdl.regression_metrics(scored, target).first()
+        unlabelled = data.count() - m["n_rows"]
     finally:
         data.unpersist()
     metrics = {**{f"cv_{k_}": v for k_, v in cv.items()},
-               "train_rmse": m["rmse"], "train_mae": m["mae"], "train_r2": m["r2"]}
-    if model_path and metrics_path:
+               "train_rmse": m["rmse"], "train_mae": m["mae"], "train_r2": m["r2"], "rows_without_target": unlabelled}
+    if model_path or metrics_path:
         mdl.save_model_and_metrics(model, metrics, model_path, metrics_path)
     write_table(scored, predictions_path)
     pred_df = scored.withColumns({"y_true": F.col(target), "y_pred": F.col("prediction")})

@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.expressions import two_digit_year
+from tessera.functions.expressions import parse_season_label, to_number, two_digit_year
 
 
 # ------------------------------------------------------------------ listing
@@ -50,23 +53,35 @@ def folder_label_col(file_path: Column) -> Column:
     return F.regexp_replace(name, r"^[^=]*=", "")
 
 
-def first_lines(spark: SparkSession, files: list[str]) -> dict[str, str | None]:
-    """First line of each file, read through the session's FileSystem.
+def first_lines(spark: SparkSession, files: list[str], report=print, threads: int = 16) -> dict[str, str]:
+    """First line of each file that has one, read through the session's FileSystem.
 
-    Only the first bytes of each file are read (no Spark job, no full scan);
-    the cost is one small read per file.
+    Only the first bytes of each file are read, by a few threads (no Spark
+    job, no full scan).  A file that can't be opened or is empty is reported
+    and left out.
     """
     jvm = spark.sparkContext._jvm
-    out: dict[str, str | None] = {}
-    for f in files:
+
+    def one(f: str) -> str | None:
         fs, p = _fs(spark, f)
         stream = fs.open(p)
         try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
         finally:
             stream.close()
-        out[f] = line.lstrip("\ufeff") if line is not None else None
+
+    out: dict[str, str] = {}
+    with ThreadPoolExecutor(threads) as pool:
+        for f, got in [(f, pool.submit(one, f)) for f in files]:
+            try:
+                line = (got.result() or "").lstrip("\ufeff")
+            except Py4JJavaError as e:
+                report(f"Skipping {f}: {e.java_exception}")
+                continue
+            if line.strip():
+                out[f] = line
+            else:
+                report(f"Skipping {f}: it has no header")
     return out
 
 
@@ -82,48 +97,72 @@ def _ord(file_path: Column) -> Column:
                     F.monotonically_increasing_id().alias("row"))
 
 
+#: Spellings of a missing value in text files, fixed values.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+           "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def known_text(c: Column) -> Column:
+    """The text, or NULL where it spells a missing value."""
+    return F.when(~F.trim(c).isin(MISSING), c)
+
+
+def _by_header(spark: SparkSession, files: list[str], report) -> dict[tuple, list[str]]:
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for f, h in first_lines(spark, files, report).items():
+        groups[tuple(_parse_header(h))].append(f)
+    return groups
+
+
+def _texts(spark: SparkSession, names: list[str], files: list[str], multi_line: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=multi_line, escape='"').csv(files)
+
+
 # ------------------------------------------------------------------ readers
 def read_seasons(spark: SparkSession, data_root: str, filename: str = "players.csv",
                  schema: T.StructType | None = None, period_col: str = "season_start",
-                 ord_col: str = "ord", report=print) -> DataFrame:
+                 ord_col: str = "ord", report=print, two_digit: bool = True, multi_line: bool = False) -> DataFrame:
     """Stack one CSV per period folder into one typed DataFrame.
 
-    ``<root>/<label>/<filename>``; the period is the label's first two
-    digits (below 50 -> 20xx, else 19xx).  Folders whose label does not
-    parse are left out and reported.  Columns missing from some files are
-    NULL there.  Types come from ``schema`` by column name (other columns
-    are inferred).  An ``ord`` column keeps file order for tie-breaks.
+    ``<root>/<label>/<filename>``; the period is the label's first two digits
+    (below 50 -> 20xx, else 19xx), with ``two_digit=False`` its full start year
+    where the label has four digits.  Folders whose label does not parse, and
+    files that can't be read or have no header, are reported and left out;
+    none left raises ValueError.  Every column is read as text, by its name in
+    the file's header; spellings of a missing value are NULL, and so is what
+    doesn't parse as the type that ``schema`` declares.  Columns it doesn't
+    declare stay text, columns missing from some files are NULL there.  An
+    ``ord`` column keeps file order for tie-breaks.  ``multi_line`` reads
+    quoted values with line breaks; such files aren't split among tasks.
     """
-    files = glob_files(spark, f"{data_root.rstrip('/')}/*/{filename}")
+    root = data_root.rstrip("/")
+    files = glob_files(spark, f"{root}/*/{filename}")
     good = []
     for f in files:
-        label = folder_label(f)
-        try:
-            int(label[:2])
+        if re.match(r"\d\d", folder_label(f)):
             good.append(f)
-        except ValueError:
-            report(f"Skipping {f}: folder label {label!r} is not a season")
-    if not good:
-        raise ValueError(f"No season files found under {data_root}")
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for f, h in first_lines(spark, good).items():
-        cols = tuple(_parse_header(h))
-        if cols:
-            groups[cols].append(f)
+        else:
+            report(f"Skipping {f}: folder label {folder_label(f)!r} is not a season")
     known = {f.name: f.dataType for f in (schema.fields if schema else [])}
     parts = []
-    for cols, group in groups.items():
-        reader = spark.read.option("header", True).option("enforceSchema", False)
-        if all(c in known for c in cols):
-            reader = reader.schema(T.StructType([T.StructField(c, known[c]) for c in cols]))
-        else:
-            reader = reader.option("inferSchema", True)
-        df = reader.csv(group)
-        df = df.withColumns({c: F.col(f"`{c}`").cast(known[c]) for c in df.columns if c in known})
+    for cols, group in _by_header(spark, good, report).items():
+        names = [f"c{i}" for i in range(len(cols))]
+        df = _texts(spark, names, group, multi_line)
         fp = F.col("_metadata.file_path")
-        df = df.withColumn(period_col, two_digit_year(folder_label_col(fp)).cast("int")) \
-               .withColumn(ord_col, _ord(fp))
-        parts.append(df)
+        label = folder_label_col(fp)
+        year = two_digit_year(label) if two_digit else F.coalesce(parse_season_label(label), two_digit_year(label))
+        first = {c: n for n, c in reversed(list(zip(names, cols)))}
+        value = {c: known_text(F.col(n)) for c, n in first.items()}
+        for c in value:
+            if isinstance(known.get(c), (T.DoubleType, T.FloatType)):
+                value[c] = to_number(value[c]).cast(known[c])
+            elif c in known:
+                value[c] = value[c].try_cast(known[c])
+        parts.append(df.select(*[v.alias(c) for c, v in value.items()], year.cast("int").alias(period_col),
+                               _ord(fp).alias(ord_col)))
+    if not parts:
+        raise ValueError(f"No season files found under {data_root}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -131,26 +170,21 @@ def read_seasons(spark: SparkSession, data_root: str, filename: str = "players.c
 
 
 def read_staffing(spark: SparkSession, data_root: str, filename: str = "coaches.csv",
-                  ord_col: str = "ord") -> DataFrame:
+                  ord_col: str = "ord", report=print, multi_line: bool = False) -> DataFrame:
     """Staffing rows ``Coach, Tm, G, Season, ord`` from ``<root>/<label>/<filename>``.
 
     Columns are taken by position (the header repeats names): person at 0,
     group at 1, games at the first column named ``G`` or else 2.  Names are
     trimmed; games that are not an integer ('82.0', '') count as 0.  Blank
-    lines are skipped.  ``Season`` is the folder label.
+    lines are skipped.  ``Season`` is the folder label.  Files that can't be
+    read or have no header are reported and left out; none left raises.
     """
-    files = glob_files(spark, f"{data_root.rstrip('/')}/*/{filename}")
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for f, h in first_lines(spark, files).items():
-        cols = tuple(_parse_header(h))
-        if cols:
-            groups[cols].append(f)
+    groups = _by_header(spark, glob_files(spark, f"{data_root.rstrip('/')}/*/{filename}"), report)
     parts = []
     for cols, group in groups.items():
         g_index = cols.index("G") if "G" in cols else 2
         width = max(len(cols), g_index + 1, 2)
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-        df = spark.read.schema(schema).option("header", True).csv(group)
+        df = _texts(spark, [f"c{i}" for i in range(width)], group, multi_line)
         fp = F.col("_metadata.file_path")
         parts.append(df.select(
             F.trim(F.coalesce(F.col("c0"), F.lit(""))).alias("Coach"),
@@ -170,7 +204,7 @@ def read_model_table(spark: SparkSession, path: str, schema: T.StructType | None
                      fmt: str = "csv") -> DataFrame:
     """Typed read of a modelling table; missing path or empty table raise."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Dataset not found at {path}")
+        raise FileNotFoundError(f"no table at {path}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -179,7 +213,7 @@ def read_model_table(spark: SparkSession, path: str, schema: T.StructType | None
         reader = reader.schema(schema)
     df = reader.load(path)
     if df.isEmpty():
-        raise ValueError(f"Dataset at {path} is empty.")
+        raise ValueError(f"the table at {path} has no rows")
     return df
 
 

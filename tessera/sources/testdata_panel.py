@@ -82,8 +82,6 @@ def season_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     stacked = t.select(ID, SEASON, F.explode(rows).alias("r")).select(ID, SEASON, "r.*")
 
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    from tessera.operators.joins import broadcast_if_small
-    customer = broadcast_if_small(customer, 2_000_000)
     p = stacked.join(customer, stacked[ID] == customer["c_custkey"], "left")
     k = F.col("k")
     age = (F.lit(20) + F.col(ID) % 15 + F.col(SEASON) - 1995).cast("double")
@@ -113,8 +111,6 @@ def staffing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linestatus")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    from tessera.operators.joins import broadcast_if_small
-    supplier = broadcast_if_small(supplier, 2_000_000)
     j = (lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
          .join(supplier, lines["l_suppkey"] == supplier["s_suppkey"]))
     g = j.groupBy(F.col("o_orderpriority").alias("Tm"), F.year("o_orderdate").alias("year"),

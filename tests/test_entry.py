@@ -41,21 +41,24 @@ def test_feature_block_single_id_exchange(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SMOKE), reason="driver test data not present")
-def test_feature_plan_shape(spark):
-    """Regression guard for the plan: one id exchange for the whole feature block,
-    three data-sized hash exchanges in all, at most five sorts on the data,
-    broadcasts only for the checked lookups, every scan column-pruned."""
+@pytest.mark.parametrize("skew_safe", [False, True])
+def test_feature_plan_shape_without_broadcasts(spark, skew_safe):
+    """Regression guard for the plan that large inputs get: every join shuffled."""
     import re
 
     from tessera.plans.queries import pipeline_outputs
-    plan = pipeline_outputs(spark, SMOKE).features._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"Exchange hashpartitioning\(id#", plan)) == 1
-    # data-sized exchanges; the (t, p) ones de-duplicate the bounded staffing lookups
-    assert len(re.findall(r"Exchange hashpartitioning\((?!t#)", plan)) <= 3
-    assert len(re.findall(r"\bSort \[(?!t#)", plan)) <= 5
-    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
-    assert len(re.findall(r"FileScan", plan)) <= 3
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pipeline_outputs(spark, SMOKE, skew_safe=skew_safe).features._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan and "Broadcast" not in plan
     assert "l_comment" not in plan and "o_comment" not in plan  # pruned columns never read
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 16
+    by_id = re.findall(r"Window \[([^\n]*)\], \[id#\d+L?\], ", plan)  # windows over all rows of an id
+    if skew_safe:  # there they run on the summary, one row per (id, period): before the rows, lags, last sets
+        assert by_id and not any("row_number" in w for w in by_id)
 
 
 @pytest.mark.skipif(not os.path.exists(SMOKE), reason="driver test data not present")

@@ -14,14 +14,14 @@ from tessera.operators.features import (
 from tessera.operators.staffing import lookup_from_labels
 
 
-def test_career_rate_with_gap(spark):
-    df = frame(spark, [("A", 2010, 10.0, 10.0), ("A", 2011, 20.0, 20.0), ("A", 2012, None, 0.0),
-                       ("A", 2013, 40.0, 40.0)], "id string, season_start int, PTS double, G double")
+def test_career_rate_weights_earlier_rows_by_games(spark):
+    # a courier's parcels per trip: 6 trips of 3.5, none, 2 of 8, then 4 more
+    df = frame(spark, [("c7", 1981, 3.5, 6.0), ("c7", 1984, None, 0.0), ("c7", 1985, 8.0, 2.0), ("c7", 1990, 1.0, 4.0)],
+               "id string, season_start int, PTS double, G double")
     out = by(career_rate_to_date(df, ["PTS"]), "season_start")
-    assert out[2013]["career_PTS_pg"] == pytest.approx(500 / 30)
-    assert out[2010]["career_PTS_pg"] is None  # 0/0 on the first row
-    assert out[2012]["career_PTS_pg"] is None  # NULL stat
-    assert out[2013]["total_PTS"] == 1600.0
+    assert [out[y]["career_PTS_pg"] for y in (1981, 1984, 1985)] == [None, None, 3.5]
+    assert out[1990]["career_PTS_pg"] == pytest.approx((21 + 16) / 8)
+    assert [out[y]["total_PTS"] for y in (1981, 1985)] == [21.0, 16.0]
 
 
 def test_career_rate_counts_split_season_twice(spark):
@@ -35,11 +35,13 @@ def test_career_rate_counts_split_season_twice(spark):
 
 
 def test_weighted_score(spark):
-    df = spark.createDataFrame([(30, 10, 10, 1, 1, 2), (12, 3, 4, 1, 0, 5)], "PTS int, AST int, TRB int, BLK int, "
-                               "STL int, TOV int")
-    vals = [r.fantasy_points_per_game for r in weighted_score(df).collect()]
-    assert vals[0] == pytest.approx(59)
-    assert vals[1] == pytest.approx(12 + 4.5 + 4.8 + 2 - 5)
+    names = ["PTS", "TRB", "AST", "STL", "BLK", "TOV"]
+    unit = spark.createDataFrame([[int(i == j) for j in range(6)] for i in range(6)] + [[2] * 6],
+                                 ", ".join(f"{n} int" for n in names))
+    got = [r.fantasy_points_per_game for r in weighted_score(unit).collect()]
+    assert got[-1] == pytest.approx(2 * sum(got[:6]))  # linear, and each column has a weight of its own
+    assert got[0] == 1 and got[5] < 0 and all(got)
+    assert weighted_score(unit, {"AST": 0.25, "TOV": -4}).collect()[-1][-1] == pytest.approx(-7.5)
 
 
 def test_weighted_score_coerces_and_requires(spark):
@@ -50,23 +52,24 @@ def test_weighted_score_coerces_and_requires(spark):
         weighted_score(df.drop("TOV"))
 
 
-def test_lag_over_gap(spark):
-    df = frame(spark, [("p1", 2019, "AAA", 10.0, 1.0), ("p1", 2021, "AAA", 20.0, 2.0), ("p1", 2024, "AAA", 30.0, 3.0)],
+def test_lag_skips_missing_periods(spark):
+    df = frame(spark, [("s1", y, "north", v, v and -v) for y, v in ((1950, 4.25), (1957, 0.5), (1958, None), (1970, 9.0))],
                "id string, season_start int, Team string, PTS double, FTA double")
     out = by(previous_period_lag(df, ["PTS", "FTA"]), "season_start")
-    assert [out[y]["lag1_PTS"] for y in (2019, 2021, 2024)] == [None, 10.0, 20.0]
+    assert [out[y]["lag1_PTS"] for y in (1950, 1957, 1958, 1970)] == [None, 4.25, 0.5, None]
+    assert out[1957]["lag1_FTA"] == -4.25
 
 
-def test_lag_prefers_aggregate(spark):
-    seasons = [2021, 2022, 2022, 2022, 2023, 2023, 2023, 2024]
-    teams = ["CHI", "ATL", "2TM", "PHI", "NYK", "2TM", "DAL", "LAL"]
-    pts = [10, 40, 100, 60, 50, 120, 70, 80]
-    df = frame(spark, [("l", s, t, float(p), p / 10) for s, t, p in zip(seasons, teams, pts)],
-               "id string, season_start int, Team string, PTS double, FTA double")
-    rows = previous_period_lag(df, ["PTS", "FTA"]).collect()
-    assert {r.lag1_PTS for r in rows if r.season_start == 2023} == {100.0}
-    assert {r.lag1_FTA for r in rows if r.season_start == 2023} == {10.0}
-    assert [r.lag1_PTS for r in rows if r.season_start == 2024] == [120.0]
+def test_lag_takes_the_summary_row_wherever_it_stands(spark):
+    parts = [("east", 3.0), ("west", 5.0)]
+    for at in range(3):
+        rows = [("k", 1901, t, v, v) for t, v in parts]
+        rows.insert(at, ("k", 1901, "tot", 4.5, 44.0))
+        df = frame(spark, [*rows, ("k", 1902, "west", 1.0, 1.0), ("k", 1902, "3tm", 2.0, 2.0), ("k", 1903, "west", 6.0, 6.0)],
+                   "id string, season_start int, Team string, PTS double, FTA double")
+        got = previous_period_lag(df, ["PTS", "FTA"]).collect()
+        assert {(r.lag1_PTS, r.lag1_FTA) for r in got if r.season_start == 1902} == {(4.5, 44.0)}
+        assert [r.lag1_PTS for r in got if r.season_start == 1903] == [2.0]
 
 
 def test_lag_first_non_null_per_column(spark):
@@ -113,49 +116,48 @@ def dims(spark, max_rows, first_rows):
     return cur, prev
 
 
-def test_new_coach_basic(spark):
-    df = frame(spark, [("ATL", 2022), ("BOS", 2022), ("CHI", 2022)], "Team string, season_start int")
-    cur, prev = dims(spark, [("ATL", "21_22", "Coach A"), ("BOS", "21_22", "Coach B")],
-                     [("ATL", "22_23", "Coach X"), ("BOS", "22_23", "Coach B")])
+LABELS = {1961: "61_62", 1962: "62_63", 1963: "63_64", 1964: "64_65"}
+
+
+def holders(**groups):
+    """Lookup rows: group=[(year, holder), ...]."""
+    return [(g, LABELS[y], who) for g, rows in groups.items() for y, who in rows]
+
+
+def test_flag_without_id_compares_with_the_period_before(spark):
+    df = frame(spark, [(g, 1963) for g in ("mill", "dock", "yard", "farm")], "Team string, season_start int")
+    cur, prev = dims(spark, holders(mill=[(1962, "Ida")], dock=[(1962, "Ben")], farm=[(1962, "Una")]),
+                     holders(mill=[(1963, "Ida")], dock=[(1963, "Cy")], yard=[(1963, "Dov")]))
     out = by(changed_attribute_flag(df, cur, prev), "Team")
-    assert out[("ATL")]["new_coach"] is True
-    assert out[("BOS")]["new_coach"] is False
-    assert out[("CHI")]["new_coach"] is None
+    assert {g: r["new_coach"] for g, r in out.items()} == {"mill": False, "dock": True, "yard": None, "farm": None}
 
 
-def test_new_coach_latest_season(spark):
-    df = frame(spark, [("GSW", 2021), ("GSW", 2022), ("GSW", 2023)], "Team string, season_start int")
-    cur, prev = dims(spark, [("GSW", "21_22", "Kerr"), ("GSW", "22_23", "Kerr")],
-                     [("GSW", "21_22", "Kerr"), ("GSW", "22_23", "Kerr"), ("GSW", "23_24", "Kerr")])
+def test_flag_uses_most_games_holder_before_and_first_holder_now(spark):
+    df = frame(spark, [("mill", y) for y in (1962, 1963, 1964)], "Team string, season_start int")
+    cur, prev = dims(spark, holders(mill=[(1961, "Ida"), (1962, "Ned"), (1963, "Ida")]),
+                     holders(mill=[(1962, "Ida"), (1963, "Ida"), (1964, "Ida")]))
     out = by(changed_attribute_flag(df, cur, prev), "season_start")
-    assert out[2022]["new_coach"] is False and out[2023]["new_coach"] is False
+    assert [out[y]["new_coach"] for y in (1962, 1963, 1964)] == [False, True, False]
 
 
-def test_new_coach_team_gap(spark):
-    df = frame(spark, [("LAL", 2019), ("GSW", 2019), ("LAL", 2021), ("GSW", 2021)], "Team string, season_start int")
-    rows = [(t, s, c) for t, cs in (("LAL", ["Old Coach", "New Coach", "New Coach"]),
-                                    ("GSW", ["Same Coach"] * 3))
-            for s, c in zip(["19_20", "20_21", "21_22"], cs)]
-    cur, prev = dims(spark, rows, rows)
-    out = by(changed_attribute_flag(df, cur, prev), "Team", "season_start")
-    assert out[("LAL", 2019)]["new_coach"] is None and out[("GSW", 2019)]["new_coach"] is None
-    assert out[("LAL", 2021)]["new_coach"] is True
-    assert out[("GSW", 2021)]["new_coach"] is False
-
-
-def test_new_coach_split_season(spark):
-    df = frame(spark, [("kd", "BRK", 2021), ("kd", "2TM", 2022), ("kd", "BRK", 2022), ("kd", "PHO", 2022),
-                       ("kd", "PHO", 2023)], "id string, Team string, season_start int")
-    cur, prev = dims(spark,
-                     [("BRK", "20_21", "Coach BRK 2020"), ("BRK", "21_22", "Coach BRK 2021"),
-                      ("PHO", "21_22", "Coach PHO 2021"), ("PHO", "22_23", "Coach PHO 2022")],
-                     [("BRK", "21_22", "Coach BRK 2021"), ("BRK", "22_23", "Coach BRK 2022"),
-                      ("PHO", "22_23", "Coach PHO 2022"), ("PHO", "23_24", "Coach PHO 2022")])
+def test_flag_looks_back_to_the_groups_own_last_period(spark):
+    df = frame(spark, [(g, y) for y in (1961, 1964) for g in ("mill", "dock")], "Team string, season_start int")
+    rows = holders(mill=[(1961, "Ida"), (1963, "Ned"), (1964, "Ned")], dock=[(1961, "Ben"), (1963, "Eve"), (1964, "Ben")])
+    out = by(changed_attribute_flag(df, *dims(spark, rows, rows)), "Team", "season_start")
+    assert [out[(g, 1961)]["new_coach"] for g in ("mill", "dock")] == [None, None]
+    assert [out[(g, 1964)]["new_coach"] for g in ("mill", "dock")] == [True, False]
+
+
+def test_flag_in_split_periods(spark):
+    df = frame(spark, [("h", "mill", 1962), ("h", "mill", 1963), ("h", "TOT", 1963), ("h", "dock", 1963), ("h", "dock", 1964)],
+               "id string, Team string, season_start int")
+    cur, prev = dims(spark, holders(mill=[(1961, "Ida"), (1962, "Ida")], dock=[(1962, "Ben"), (1963, "Ben")]),
+                     holders(mill=[(1962, "Ida"), (1963, "Ned")], dock=[(1963, "Ben"), (1964, "Cy")]))
     out = by(changed_attribute_flag(df, cur, prev), "Team", "season_start")
-    assert out[("2TM", 2022)]["new_coach"] is True
-    assert out[("BRK", 2022)]["new_coach"] is True
-    assert out[("PHO", 2023)]["new_coach"] is False
-    assert out[("BRK", 2021)]["new_coach"] is None
+    assert out[("mill", 1962)]["new_coach"] is None  # the group is new to the id
+    assert out[("mill", 1963)]["new_coach"] is True and out[("TOT", 1963)]["new_coach"] is True  # first real group's
+    assert out[("dock", 1963)]["new_coach"] is None
+    assert out[("dock", 1964)]["new_coach"] is True
 
 
 def test_new_coach_fallback_needs_key_found_not_value(spark):
@@ -167,30 +169,28 @@ def test_new_coach_fallback_needs_key_found_not_value(spark):
     assert out[2022]["new_coach"] is None
 
 
-def test_new_team(spark):
-    df = frame(spark, [("A", 2020, "ATL"), ("A", 2021, "BOS"), ("A", 2023, "BOS"), ("B", 2021, "DAL"),
-                       ("B", 2022, "DAL")], "id string, season_start int, Team string")
+def test_group_change(spark):
+    walks = {"u": [(1930, "mill"), (1931, "mill"), (1935, "dock"), (1936, "mill")], "v": [(1931, "yard")]}
+    df = frame(spark, [(i, y, t) for i, w in walks.items() for y, t in w], "id string, season_start int, Team string")
     out = by(changed_group_flag(df), "id", "season_start")
-    assert [out[("A", y)]["new_team"] for y in (2020, 2021, 2023)] == [None, True, False]
-    assert [out[("B", y)]["new_team"] for y in (2021, 2022)] == [None, False]
+    assert [out[("u", y)]["new_team"] for y, _ in walks["u"]] == [None, False, True, True]
+    assert out[("v", 1931)]["new_team"] is None
 
 
-def test_new_team_over_gap_and_null_team(spark):
-    df = frame(spark, [("s", 2021, "MEM"), ("s", 2022, "MEM"), ("s", 2023, None), ("s", 2024, "HOU")],
+def test_group_change_skips_unknown_groups(spark):
+    df = frame(spark, [("u", 1930, None), ("u", 1931, "mill"), ("u", 1932, None), ("u", 1940, "mill"), ("u", 1941, "dock")],
                "id string, season_start int, Team string")
     out = by(changed_group_flag(df), "season_start")
-    assert [out[y]["new_team"] for y in (2021, 2022, 2024)] == [None, False, True]
-    assert out[2023]["new_team"] is None
+    assert [out[y]["new_team"] for y in (1930, 1931, 1932, 1940, 1941)] == [None, None, None, False, True]
 
 
-def test_new_team_split_season(spark):
-    df = frame(spark, [("kd", 2021, "BRK"), ("kd", 2022, "2TM"), ("kd", 2022, "BRK"), ("kd", 2022, "PHO"),
-                       ("kd", 2023, "PHO")], "id string, season_start int, Team string")
+def test_group_change_in_split_periods(spark):
+    df = frame(spark, [("u", 1931, "mill"), ("u", 1932, "dock"), ("u", 1932, "tot"), ("u", 1932, "mill"), ("u", 1933, "dock")],
+               "id string, season_start int, Team string")
     out = by(changed_group_flag(df), "season_start", "Team")
-    assert out[(2021, "BRK")]["new_team"] is None
-    assert out[(2022, "2TM")]["new_team"] is False
-    assert out[(2022, "BRK")]["new_team"] is None and out[(2022, "PHO")]["new_team"] is None
-    assert out[(2023, "PHO")]["new_team"] is True  # previous team is '2TM' (reference behaviour)
+    assert out[(1932, "tot")]["new_team"] is False
+    assert out[(1932, "dock")]["new_team"] is None and out[(1932, "mill")]["new_team"] is None
+    assert out[(1933, "dock")]["new_team"] is True  # what came before is the summary row's group
 
 
 def test_no_python_udf_in_feature_plan(spark):
@@ -201,10 +201,31 @@ def test_no_python_udf_in_feature_plan(spark):
     assert F is not None
 
 
-def test_new_coach_duplicate_lookup_keys_do_not_multiply_rows(spark):
-    df = frame(spark, [("a", "X", 2021), ("a", "X", 2022)], "id string, Team string, season_start int")
-    cur, prev = dims(spark, [("X", "21_22", "Old"), ("X", "2021_22", "Old")],
-                     [("X", "22_23", "New"), ("X", "2022_23", "New")])
+def test_last_lookup_row_of_a_key_counts_and_rows_do_not_multiply(spark):
+    df = frame(spark, [("a", "mill", 1961), ("a", "mill", 1962)], "id string, Team string, season_start int")
+    cur, prev = dims(spark, [("mill", "1961_62", "Zoe"), ("mill", "61_62", "Abe")],
+                     [("mill", "1962_63", "Zoe"), ("mill", "62_63", "Abe")])
     out = changed_attribute_flag(df, cur, prev).collect()
-    assert len(out) == 2
-    assert {r.season_start: r.new_coach for r in out} == {2021: None, 2022: True}
+    assert {r.season_start: r.new_coach for r in out} == {1961: None, 1962: False} and len(out) == 2
+    cur2, prev2 = dims(spark, [("mill", "1961_62", "Zoe"), ("mill", "61_62", "Abe")], [("mill", "62_63", "Zoe")])
+    assert by(changed_attribute_flag(df, cur2, prev2), "season_start")[1962]["new_coach"] is True
+
+
+def test_blank_holder_is_unknown(spark):
+    df = frame(spark, [("a", "mill", 1961), ("a", "mill", 1962)], "id string, Team string, season_start int")
+    for before, now in (("Ida", " "), ("", "Ida")):
+        cur, prev = dims(spark, holders(mill=[(1961, before)]), holders(mill=[(1962, now)]))
+        assert by(changed_attribute_flag(df, cur, prev), "season_start")[1962]["new_coach"] is None
+
+
+def test_own_columns_with_leading_underscores_stay(spark):
+    df = frame(spark, [("a", "mill", 1961, 5)], "id string, Team string, season_start int, __mine int")
+    cur, prev = dims(spark, holders(mill=[(1961, "Ida")]), holders(mill=[(1961, "Ida")]))
+    out = changed_attribute_flag(df, cur, prev)
+    assert out.columns == [*df.columns, "new_coach"] and out.first()["__mine"] == 5
+
+
+def test_not_a_number_counts_as_missing(spark):
+    df = spark.createDataFrame([("NaN", "1", "1", "1", "1", "1")], "PTS string, AST string, TRB string, BLK string, "
+                               "STL string, TOV string")
+    assert weighted_score(df).first().fantasy_points_per_game is None

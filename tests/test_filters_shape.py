@@ -7,9 +7,9 @@ from tessera.operators.shape import rename_strict, round_floats, select_features
 
 
 def test_drop_components(spark):
-    df = frame(spark, [("p1", 2020, "LAL"), ("p1", 2020, "2TM"), ("p2", 2020, "NYK"), ("p3", 2020, "TOT"),
-                       ("p3", 2020, "BOS")], "id string, season_start int, Team string")
-    assert sorted(r.Team for r in drop_components(df).collect()) == ["2TM", "NYK", "TOT"]
+    rows = [("u", 7, "mill"), ("u", 7, "dock"), ("u", 7, "4tm"), ("u", 8, "mill"), ("v", 7, "tot"), ("v", 7, "yard")]
+    df = frame(spark, rows, "id string, season_start int, Team string")
+    assert sorted((r.season_start, r.Team) for r in drop_components(df).collect()) == [(7, "4tm"), (7, "tot"), (8, "mill")]
 
 
 def test_drop_components_without_aggregate_row_and_null_id(spark):
@@ -19,10 +19,8 @@ def test_drop_components_without_aggregate_row_and_null_id(spark):
 
 
 def test_non_zero_filter_keeps_null(spark):
-    df = frame(spark, [("a", 1, 0), ("a", 2, 1), ("a", 3, 2), ("a", 4, None)],
-               "id string, season_start int, years_in_nba int")
-    assert sorted((r.years_in_nba is None, r.years_in_nba or 0)
-                  for r in filter_not_equal_keep_null(df).collect()) == [(False, 1), (False, 2), (True, 0)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 0, None, -1, 0])], "row int, years_in_nba int")
+    assert sorted(r.row for r in filter_not_equal_keep_null(df).collect()) == [0, 2, 3]
     with pytest.raises(KeyError):
         filter_not_equal_keep_null(df.drop("years_in_nba"))
 
@@ -35,18 +33,16 @@ def test_filter_min_drops_null(spark):
 
 
 def test_filter_in_list(spark):
-    df = spark.createDataFrame([("jamesle01",), ("x",), ("curryst01",)], "`Player-additional` string")
-    assert filter_in_list(df, ["jamesle01", "curryst01"]).count() == 2
-    ids = spark.createDataFrame([("x",), ("x",)], "k string")
-    assert [r[0] for r in filter_in_list(df, ids).collect()] == ["x"]  # semi join: no duplication
+    df = spark.createDataFrame([("p",), ("q",), ("r",), (None,)], "`Player-additional` string")
+    assert sorted(r[0] for r in filter_in_list(df, ["r", "p", "zz"]).collect()) == ["p", "r"]
+    ids = spark.createDataFrame([("q",), ("q",)], "k string")
+    assert [r[0] for r in filter_in_list(df, ids).collect()] == ["q"]  # semi join: no duplication
 
 
 def test_round_floats(spark):
-    df = spark.createDataFrame([(1.234, 1, "a"), (2.345, 2, "b")], "float_col double, int_col int, str_col string")
-    out = round_floats(df, 1).collect()
-    assert [r.float_col for r in out] == [1.2, 2.3]
-    assert [r.int_col for r in out] == [1, 2] and [r.str_col for r in out] == ["a", "b"]
-    assert [r.float_col for r in df.collect()] == [1.234, 2.345]  # input unchanged
+    df = spark.createDataFrame([(10.06, 7, "1.26"), (-3.14159, 8, None), (None, 9, "x")], "x double, n int, t string")
+    assert [tuple(r) for r in round_floats(df, 1).collect()] == [(10.1, 7, "1.26"), (-3.1, 8, None), (None, 9, "x")]
+    assert round_floats(df, 3).collect()[1].x == -3.142 and df.first().x == 10.06
 
 
 def test_round_half_even_edges(spark):
@@ -67,18 +63,15 @@ def test_rename_strict(spark):
 
 
 def test_select_and_split(spark):
-    df = spark.createDataFrame([(1, 2020, 3.0, "G", 9.0)], "id int, season_start int, f double, p string, y double")
-    assert select_features(df, ["y", "id"]).columns == ["y", "id"]
+    df = spark.createDataFrame([("w1", "spring", 3, 0.5, 9.0)], "well string, part string, depth int, flow double, yield_ double")
+    assert select_features(df, ["yield_", "well"]).columns == ["yield_", "well"]
     with pytest.raises(KeyError):
         select_features(df, ["nope"])
-    kept, feats, target = split_features_target(df, "y", ["id", "season_start", "unknown"])
-    assert feats == ["f", "p"] and target == "y" and "id" not in kept.columns
-    with pytest.raises(KeyError):
-        split_features_target(df, "nope")
-    with pytest.raises(ValueError):
-        split_features_target(df, "y", ["y"])
-    with pytest.raises(ValueError):
-        split_features_target(df.select("y"), "y")
+    kept, feats, target = split_features_target(df, "yield_", ["well", "absent"])
+    assert (feats, target, kept.columns) == (["part", "depth", "flow"], "yield_", ["part", "depth", "flow", "yield_"])
+    for bad, drop, kind in ((df, ["well"], KeyError), (df, ["yield_"], ValueError), (df.select("yield_"), [], ValueError)):
+        with pytest.raises(kind):
+            split_features_target(bad, "absent" if kind is KeyError else "yield_", drop)
 
 
 def test_keys_and_one_to_one_join(spark):

@@ -3,60 +3,53 @@ from conftest import by, frame
 from tessera.operators.impute import anchor_linear, fill_gap_periods, fill_static
 
 
-def test_gap_fill_adds_missing_season(spark):
-    df = frame(spark, [("A", 2010, 80.0), ("A", 2012, 70.0), ("B", 2011, 50.0)],
-               "id string, season_start int, G double")
+def test_gap_fill_adds_the_periods_between(spark):
+    df = frame(spark, [("z9", 1700, 3.0), ("z9", 1704, 0.0), ("y1", 1702, 1.0)], "id string, season_start int, G double")
     out = by(fill_gap_periods(df), "id", "season_start")
-    assert sorted(out) == [("A", 2010), ("A", 2011), ("A", 2012), ("B", 2011)]
-    assert out[("A", 2011)]["G"] == 0 and out[("A", 2011)]["did_play"] is False
-    assert out[("A", 2010)]["did_play"] is True
+    assert sorted(out) == [("y1", 1702)] + [("z9", y) for y in range(1700, 1705)]
+    assert {y: (out[("z9", y)]["G"], out[("z9", y)]["did_play"]) for y in range(1700, 1705)} == {
+        1700: (3.0, True), **{y: (0.0, False) for y in range(1701, 1705)}}
 
 
-def test_gap_fill_keeps_split_rows_and_drops_null_id(spark):
-    df = frame(spark, [("A", 2010, "2TM", 80.0), ("A", 2010, "X", 40.0), ("A", 2010, "Y", 40.0),
-                       ("A", 2013, "X", None), (None, 2011, "X", 3.0)],
-               "id string, season_start int, Team string, G double")
-    rows = fill_gap_periods(df).collect()
-    assert len(rows) == 6  # 3 split rows + 2 gap rows + 1 observed; the NULL id row is dropped
-    gap = [r for r in rows if r.season_start in (2011, 2012)]
-    assert all(r.Team is None and r.G == 0 for r in gap)
-    # observed NULL games become 0 as well
-    assert [r.G for r in rows if r.season_start == 2013] == [0.0]
+def test_gap_fill_keeps_the_period_type(spark):
+    df = frame(spark, [("z", 5, 1.0), ("z", 8, 1.0)], "id string, season_start long, G double")
+    out = fill_gap_periods(df)
+    assert out.schema["season_start"].dataType == df.schema["season_start"].dataType and out.count() == 4
 
 
-def test_gap_fill_two_year_gap(spark):
-    df = frame(spark, [("A", 2000, 1.0), ("A", 2003, 1.0)], "id string, season_start int, G double")
-    assert sorted(r.season_start for r in fill_gap_periods(df).collect()) == [2000, 2001, 2002, 2003]
+def test_gap_fill_keeps_split_rows_and_drops_null_id(spark):
+    df = frame(spark, [("q", 1800, "mill", 2.0), ("q", 1800, "TOT", 9.0), ("q", 1800, "dock", 7.0), ("q", 1802, "dock", None),
+                       (None, 1801, "mill", 4.0)], "id string, season_start int, Team string, G double")
+    got = sorted((r.season_start, r.Team or "", r.G) for r in fill_gap_periods(df).collect())
+    assert got == [(1800, "TOT", 9.0), (1800, "dock", 7.0), (1800, "mill", 2.0), (1801, "", 0.0), (1802, "dock", 0.0)]
 
 
 def test_static_fill(spark):
-    df = frame(spark, [("A", 2010, "Alice", "G"), ("A", 2011, None, None), ("A", 2012, None, None)],
+    df = frame(spark, [("m", 1810, None, "oak"), ("m", 1811, "Iris", None), ("m", 1815, None, None), ("n", 1811, None, "elm")],
                "id string, season_start int, Player string, Pos string")
     rows = fill_static(df, ["Player", "Pos"]).collect()
-    assert {(r.Player, r.Pos) for r in rows} == {("Alice", "G")}
+    assert {(r.id, r.Player, r.Pos) for r in rows} == {("m", "Iris", "oak"), ("n", None, "elm")}
 
 
 def test_static_fill_takes_latest_value_for_all_rows(spark):
-    df = frame(spark, [("X", 2010, "6-8", 200, 5), ("X", 2011, None, 210, None), ("X", 2012, "6-9", None, 7)],
-               "id string, season_start int, Ht string, Wt int, GP int")
-    out = by(fill_static(df, ["Ht", "Wt"]), "season_start")
-    assert {r["Ht"] for r in out.values()} == {"6-9"}
-    assert {r["Wt"] for r in out.values()} == {210}
-    assert out[2011]["GP"] is None  # not a static column: untouched
-    asof = by(fill_static(df, ["Ht"], as_of=True), "season_start")
-    assert [asof[y]["Ht"] for y in (2010, 2011, 2012)] == ["6-8", "6-8", "6-9"]
-
-
-def test_age_anchor(spark):
-    df = frame(spark, [("A", 2010, 22.0), ("A", 2011, None), ("A", 2012, None)],
-               "id string, season_start int, Age double")
+    df = frame(spark, [("m", y, c, n, n) for y, c, n in ((1, "red", None), (2, None, 4), (3, "blue", None), (4, None, None))],
+               "id string, season_start int, colour string, size int, other int")
+    out = by(fill_static(df, ["colour", "size"]), "season_start")
+    assert {(r["colour"], r["size"]) for r in out.values()} == {("blue", 4)}
+    assert [out[y]["other"] for y in range(1, 5)] == [None, 4, None, None]  # not asked for
+    asof = by(fill_static(df, ["colour"], as_of=True), "season_start")
+    assert [asof[y]["colour"] for y in range(1, 5)] == ["red", "red", "blue", "blue"]
+
+
+def test_age_counts_on_from_the_anchor(spark):
+    df = frame(spark, [("m", 1850, 41.5), ("m", 1853, None), ("m", 1860, None)], "id string, season_start int, Age double")
     out = by(anchor_linear(df, "Age"), "season_start")
-    assert [out[y]["Age"] for y in (2010, 2011, 2012)] == [22.0, 23.0, 24.0]
+    assert {y: r["Age"] for y, r in out.items()} == {1850: 41.5, 1853: 44.5, 1860: 51.5}
 
 
-def test_age_anchor_counts_back_and_all_null(spark):
-    df = frame(spark, [("A", 2010, None), ("A", 2011, 30.0), ("A", 2012, 99.0), ("B", 2010, None)],
+def test_age_counts_back_and_unknown_stays(spark):
+    df = frame(spark, [("m", 1850, None), ("m", 1856, 12.0), ("m", 1858, 80.0), ("n", 1850, None)],
                "id string, season_start int, Age double")
     out = by(anchor_linear(df, "Age"), "id", "season_start")
-    assert out[("A", 2010)]["Age"] == 29.0 and out[("A", 2012)]["Age"] == 31.0
-    assert out[("B", 2010)]["Age"] is None
+    assert [out[("m", y)]["Age"] for y in (1850, 1856, 1858)] == [6.0, 12.0, 14.0]
+    assert out[("n", 1850)]["Age"] is None

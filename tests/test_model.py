@@ -8,7 +8,7 @@ def test_exact_median_matches_numpy(spark):
     rng = np.random.default_rng(0)
     vals = rng.normal(size=5001).round(3).tolist() + [None] * 7
     df = spark.createDataFrame([(v, float(i % 4)) for i, v in enumerate(vals)], "x double, y double")
-    med = mdl.exact_medians(df, ["x", "y"], accuracy=100, final_limit=50)  # force the narrowing rounds
+    med = mdl.exact_medians(df, ["x", "y"])
     finite = [v for v in vals if v is not None]
     assert med["x"] == pytest.approx(float(np.median(finite)), abs=0)
     assert med["y"] == float(np.median([i % 4 for i in range(len(vals))]))
@@ -111,3 +111,10 @@ def test_cross_validate(spark, train_df):
     assert len(cv["fold_rmse"]) == 3
     assert cv["rmse_mean"] == pytest.approx(float(np.mean(cv["fold_rmse"])))
     assert cv["rmse_std"] == pytest.approx(float(np.std(cv["fold_rmse"])))
+
+
+def test_medians_ignore_nan_and_null_keys_get_folds(spark):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None), (2.0, None), (4.0, None)], "x double, y double")
+    assert mdl.exact_medians(df, ["x", "y"]) == {"x": 2.0, "y": None}
+    folds = mdl.assign_folds(spark.createDataFrame([(None, 1), (2, None)], "a long, b long"), ["a", "b"], 5, 1, method="arith")
+    assert folds.where("fold is null").count() == 0

@@ -79,11 +79,30 @@ def test_model_table_reader_and_writer(spark, tmp_path):
     assert [tuple(r) for r in back] == [(1, None, True)]
 
 
-def test_staff_summary_bound_and_listing(spark):
+def test_staff_summary_and_listing(spark):
     from tessera.operators.staffing import staff_listing
     rows = [("T", "21_22", f"c{i}", 1, (i,)) for i in (3, 1, 2)]
     df = spark.createDataFrame(rows, "Tm string, Season string, Coach string, G int, ord struct<k:int>")
     assert staff_summary(df).first().Coaches == "c1, c2, c3"
-    with pytest.raises(ValueError, match="staff_listing"):
-        staff_summary(df, max_group=2)
     assert [r.Coach for r in staff_listing(df).collect()] == ["c1", "c2", "c3"]
+
+
+def test_readers_skip_and_report_and_spell_missing(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tessera.sources.io import read_seasons
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("x", T.DoubleType()), T.StructField("n", T.IntegerType())])
+    texts = {"21_22": "name,x,n\nIda,NaN,5\nN/A,1.5,null\n", "22_23": "name,x,n,more\nBen,oops,x9,7\n", "23_24": "",
+             "notes": "name,x,n\nz,1,1\n", "2019_20": 'name,x,n\n"a\nb",2,3\n'}
+    for label, text in texts.items():
+        (tmp_path / label).mkdir()
+        (tmp_path / label / "players.csv").write_text(text)
+    said = []
+    rows = read_seasons(spark, str(tmp_path), schema=schema, report=said.append, two_digit=False, multi_line=True).collect()
+    got = {(r.season_start, r.name, r.x, r.n, r.more) for r in rows}
+    assert got == {(2021, "Ida", None, 5, None), (2021, None, 1.5, None, None), (2022, "Ben", None, None, "7"), (2019, "a\nb", 2.0, 3, None)}
+    assert len(said) == 2 and any("notes" in m for m in said) and any("header" in m for m in said)
+    for label in texts:
+        (tmp_path / label / "players.csv").write_text("")
+    with pytest.raises(ValueError):
+        read_seasons(spark, str(tmp_path), report=said.append)
