@@ -5,6 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -106,6 +107,20 @@ def license_rules() -> list[Rule]:
     return list(dict.fromkeys(rules))
 
 
+#: Parts of words, one of which is in whatever a rule matches: a text without any of them is not looked at.
+ROOTS = ["licen", "gpl", "copyright", "rights reserved", " cc", "bsd", "public domain", "creative commons", "warrant",
+         "permission", "redistribution", "proprietary", "unauthorized", "attribution", "wtfpl"]
+
+
+def root(rule: Rule) -> str:
+    """The first of ROOTS that the rule's keyword, or its regex outside optional groups, holds; else the keyword."""
+    fixed, before = rule.regex, None
+    while fixed != before:
+        fixed, before = re.sub(r"\(\?:[^()]*\)\?", "", fixed), fixed
+    fixed = re.sub(r"\(\?:[^()]*\)", "#", fixed)
+    return next((r for r in ROOTS if r in rule.keyword or r in f" {fixed} "), rule.keyword)
+
+
 def spaced(text: Column) -> Column:
     """The text's words, lowered, each between single spaces."""
     return F.concat(F.lit(" "), F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), NON_WORD, " "))), F.lit(" "))
@@ -117,11 +132,11 @@ MARK = "\u0001"
 def detections(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """(key, rule, label, priority, weight, base, start, stop): every match of every rule, in words of the text.
 
-    A text is looked at only if it holds some rule's keyword, and a rule is
-    tried only on texts that hold its own.  The words where a rule matches are
+    A text is looked at only if it holds some rule's root, and a rule is tried
+    only on texts that hold its keyword.  The words where a rule matches are
     marked by a character that no word has; their places are the starts.
     """
-    keywords = list(dict.fromkeys(r.keyword for r in rules))
+    keywords = list(dict.fromkeys(map(root, rules)))
     # Bound to a variable, the words are made once a text; a plain filter would make them again for each keyword.
     some = F.exists(F.array(spaced(F.col("text"))), lambda n: reduce(or_, [F.contains(n, F.lit(k)) for k in keywords]))
     table = F.array(*[F.struct(

@@ -240,6 +240,10 @@ def fit(x: list[np.ndarray], y: np.ndarray, target: int, counts: Counts, more: n
 
 
 def broadcast_models(spark, models: list[Model]):
-    """Models of fixed size (DIM weights and ratios each), for use in tasks."""
-    return spark.sparkContext.broadcast([Model(m.ratio.astype(np.float32), m.w.astype(np.float32), m.slope, m.offset)
+    """Models of fixed size (DIM weights and ratios each) for use in tasks, as plain arrays: see :func:`shared_models`."""
+    return spark.sparkContext.broadcast([(m.ratio.astype(np.float32), m.w.astype(np.float32), m.slope, m.offset)
                                          for m in models])
+
+
+def shared_models(broadcast) -> list[Model]:
+    return [Model(*parts) for parts in broadcast.value]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read_table
-from tessera.llm.linear import MAX_FIT, Model, broadcast_models, count_classes, fit, held_out, labelled, sample, style_grams
+from tessera.llm.linear import MAX_FIT, Model, broadcast_models, count_classes, fit, held_out, labelled, sample, shared_models, style_grams
 
 #: Documents that score less are rejected.
 THRESHOLD = 0.7
@@ -36,7 +36,7 @@ def quality_score(model: Model, docs: DataFrame, text_col: str = "text"):
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        m = shared.value[0]
+        m = shared_models(shared)[0]
         return pd.Series([m.score(style_grams(t or "")) for t in texts], dtype="float64")
     return run(docs[text_col])
 

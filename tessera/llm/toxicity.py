@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import NON_WORD, read_table
 from tessera.llm.linear import (MAX_FIT, Model, broadcast_models, count_classes, fit, held_out, labelled, sample,
-                                word_grams)
+                                shared_models, word_grams)
 
 #: Categories before the last, which is ``toxic`` itself; a toxic document is of one if it says one of its words.
 CATEGORIES = {
@@ -55,10 +55,10 @@ def chain_scores(models: list[Model], targets: list[str], docs: DataFrame, text_
 
     @F.pandas_udf(", ".join(f"{t} double" for t in targets))
     def run(texts: pd.Series) -> pd.DataFrame:
-        out = np.zeros((len(texts), len(targets)))
+        out, chain = np.zeros((len(texts), len(targets))), shared_models(shared)
         for i, text in enumerate(texts):
             ids = word_grams(text or "")
-            for k, m in enumerate(shared.value):
+            for k, m in enumerate(chain):
                 out[i, k] = m.score(ids, out[i, :k])
         return pd.DataFrame(out, columns=targets)
     return run(docs[text_col])
