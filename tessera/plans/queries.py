@@ -21,12 +21,13 @@ from tessera.operators import features as fe
 from tessera.operators import filters as flt
 from tessera.operators import impute as imp
 from tessera.operators import model as mdl
+from tessera.operators import period_grain as pg
 from tessera.operators import shape as shp
 from tessera.operators import staffing as stf
 from tessera.plans import oracle as osql
 from tessera.plans.oracle import PANEL_CTES, STAFF_CTES, STATS, with_ctes
 from tessera.plans.pipeline import MODEL_FEATURES, RENAME_MAP, feature_pipeline, modelling_columns
-from tessera.plans.registry import register
+from tessera.plans.registry import REGISTRY, register
 from tessera.session import scratch_dir
 from tessera.sources import io as tio
 from tessera.sources.testdata_panel import season_label, season_panel, staffing_rows
@@ -584,3 +585,49 @@ def q_changed_attribute_flag_messy(spark, sf):
         return blank.unionByName(later.withColumn("ord", F.concat("ord", F.lit("_later"))))
     cur, prev = staff_dims(spark, sf)
     return fe.changed_attribute_flag(filled(spark, sf), messy(cur), messy(prev))
+
+
+# ---------------------------------------------------------------- the period-grain forms: same answers, no window over an id's rows
+def _by_period(name: str):
+    return register(f"{name}_by_period", REGISTRY[name].sql)
+
+
+@_by_period("fill_gap_periods")
+def q_fill_gap_periods_by_period(spark, sf):
+    return pg.fill_gap_periods(season_panel(spark, sf))
+
+
+@_by_period("experience_clock")
+def q_experience_clock_by_period(spark, sf):
+    return pg.experience_clock(filled(spark, sf))
+
+
+@_by_period("previous_period_lag")
+def q_previous_period_lag_by_period(spark, sf):
+    return pg.previous_period_lag(clocked(spark, sf), LAG_COLS)
+
+
+@_by_period("changed_group_flag")
+def q_changed_group_flag_by_period(spark, sf):
+    return pg.changed_group_flag(filled(spark, sf))
+
+
+@_by_period("changed_attribute_flag")
+def q_changed_attribute_flag_by_period(spark, sf):
+    cur, prev = staff_dims(spark, sf)
+    return pg.changed_attribute_flag(filled(spark, sf), cur, prev)
+
+
+@_by_period("fill_static")
+def q_fill_static_by_period(spark, sf):
+    return pg.fill_static(filled(spark, sf), ["Player", "Pos"])
+
+
+@_by_period("anchor_linear")
+def q_anchor_linear_by_period(spark, sf):
+    return pg.anchor_linear(filled(spark, sf), "Age")
+
+
+@_by_period("career_rate_to_date")
+def q_career_rate_to_date_by_period(spark, sf):
+    return r6(pg.career_rate_to_date(filled(spark, sf), CAREER_STATS), [f"career_{c}_pg" for c in CAREER_STATS])
