@@ -24,8 +24,9 @@ class SortedLists:
         self.ids, self.vectors, self.n = ids, vectors, len(ids)
         self.rows = np.ascontiguousarray(np.argsort(-vectors, axis=0, kind="stable").T)
         self.values = np.take_along_axis(vectors.T, self.rows, axis=1)
-        self.place = np.empty_like(self.rows)
-        np.put_along_axis(self.place, self.rows, np.arange(self.n)[None, :], axis=1)
+        place = np.empty(self.rows.shape, np.int32)
+        np.put_along_axis(place, self.rows, np.arange(self.n, dtype=np.int32)[None, :], axis=1)
+        self.place = np.ascontiguousarray(place.T)
         self.most = int(np.abs(vectors).max(initial=0))
 
     def top(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
@@ -65,8 +66,12 @@ class SortedLists:
             at, following = to, part[:, -1]
             kth = np.partition(low[left], len(left) - k)[len(left) - k]
             if following.sum() < kth or at == n:
-                unread = np.concatenate([self.place[np.ix_(ups, left)] >= at, self.place[np.ix_(downs, left)] < n - at])
-                left = left[low[left] + (following - last) @ unread >= kth]
+                gap, slack = following - last, np.zeros(self.vectors.shape[1], np.float32)
+                slack[ups], slack[downs] = gap[:len(ups)], gap[len(ups):]
+                place, room = self.place[left], np.where(query > 0, at, n - at)
+                unread = (place >= room) == (query > 0)
+                # Single precision, rounded up: it may keep a row too many, never drop one.
+                left = left[low[left] + (unread.astype(np.float32) @ slack) * (1 + 1e-4) + 1 >= kth]
         return left
 
 
