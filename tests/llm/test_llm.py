@@ -280,6 +280,27 @@ def test_shared_runs_are_covered_but_for_short_ends(spark):
     assert not any(all((d, x + k) in missed for k in range(50)) for d, x in missed)
 
 
+def test_repeats_stay_in_the_smallest_id_only_beside_a_shorter_quote(spark):
+    rng = random.Random(41)
+    whole = prose(rng, 55, 5000).split()
+    lone = [prose(rng, 40, 5000) for _ in range(10)]
+    texts = [f"{lone[0]} {' '.join(whole[:45])} {lone[1]}"] + [f"{lone[k]} {' '.join(whole)} {prose(rng, 30, 5000)}" for k in range(2, 10)]
+    left = {r.doc_id: words(r.text) for r in passages.remove_repeats(docs_of(spark, texts, range(1, 18, 2))).collect()}
+    holds = {i for i, t in left.items() if any(t[k:k + 55] == whole for k in range(len(t)))}
+    assert holds == {3} and left[1] == words(texts[0])
+    assert all(left[i][:40] == words(texts[(i - 1) // 2])[:40] and len(left[i]) == 70 for i in range(5, 18, 2))
+
+
+def test_open_places_of_two_passages_in_one_class_are_each_compared(spark):
+    rng = random.Random(42)
+    one, two = prose(rng, 60, 5000), prose(rng, 60, 5000)
+    texts = [prose(rng, 20, 5000) + " " + t for t in (one, two, one, two)]
+    rows = [(7, k, 20, 80) for k in range(4)]
+    places = spark.createDataFrame(rows, "class long, doc_id long, lo long, hi long")
+    cuts = passages.class_cuts(docs_of(spark, texts), places).collect()
+    assert sorted(map(tuple, cuts)) == [(2, 20, 80), (3, 20, 80)]
+
+
 def test_cut():
     assert passages.cut("a, b c. d", [(1, 3)]) == "a, . d"
     assert passages.cut("a b", [(0, 1), (1, 2)]) is None
