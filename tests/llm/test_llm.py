@@ -280,6 +280,20 @@ def test_shared_runs_are_covered_but_for_short_ends(spark):
     assert not any(all((d, x + k) in missed for k in range(50)) for d, x in missed)
 
 
+def test_passages_of_boilerplate_and_a_shared_tail(spark):
+    rng = random.Random(43)
+    common, other = prose(rng, 45, 5000), prose(rng, 45, 5000)
+    tails = [prose(rng, rng.randrange(5, 16), 5000) for _ in range(20)]
+    ends = tails + tails + [other, other] + [prose(rng, 12, 5000) for _ in range(60)]
+    texts = [f"{prose(rng, 30, 5000)} {common} {t} {prose(rng, 30, 5000)}" for t in ends]
+    texts += [f"{prose(rng, 30, 5000)} {other} {prose(rng, 30, 5000)}" for _ in range(50)]
+    order = rng.sample(range(len(texts)), len(texts))
+    rows = passages.repeated_passages(docs_of(spark, [texts[i] for i in order])).collect()
+    linked = {frozenset((order[r.doc_id], order[r.other_id])) for r in rows}
+    assert linked == {frozenset((k, k + 20)) for k in range(20)} | {frozenset((40, 41))}
+    assert all(r.identity == 1 and r.end_word - r.start_word >= 50 for r in rows)
+
+
 def test_repeats_stay_in_the_smallest_id_only_beside_a_shorter_quote(spark):
     rng = random.Random(41)
     whole = prose(rng, 55, 5000).split()
