@@ -280,6 +280,27 @@ def test_shared_runs_are_covered_but_for_short_ends(spark):
     assert not any(all((d, x + k) in missed for k in range(50)) for d, x in missed)
 
 
+def edited_pairs(rng):
+    """Two texts each, that share 50 to 70 words, of which the second has one more or one less."""
+    for n in (50, 51, 52, 55, 60, 70):
+        for k in range(1, n - 1):
+            for less in (0, 1)[:1 + (n > 50)]:
+                passage = prose(rng, n, 50000).split()
+                other = passage[:k] + ["inserted"] * (1 - less) + passage[k + less:]
+                a, b = ([*prose(rng, 30, 50000).split(), *p, *prose(rng, 30, 50000).split()] for p in (passage, other))
+                yield " ".join(a), " ".join(b), n, len(other)
+
+
+def test_one_word_more_or_less_at_every_place(spark):
+    pairs = list(edited_pairs(random.Random(44)))
+    docs = docs_of(spark, [t for p in pairs for t in p[:2]])
+    found = {(r.other_id, r.doc_id): r for r in passages.repeated_passages(docs).collect()}
+    assert set(found) == {(2 * i, 2 * i + 1) for i in range(len(pairs))}
+    for (i, _), r in found.items():
+        _, _, n, m = pairs[i // 2]
+        assert 50 <= r.other_end - r.other_start <= n and 50 <= r.end_word - r.start_word <= m
+
+
 def test_passages_of_boilerplate_and_a_shared_tail(spark):
     rng = random.Random(43)
     common, other = prose(rng, 45, 5000), prose(rng, 45, 5000)
