@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat, decontaminate, language, licenses, passages, pieces, quality, simhash, topk, toxicity
+from tessera.llm import (chat, chosenpath, decontaminate, language, licenses, passages, pieces, quality, resample, runs, simhash, topk,
+                         toxicity)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,5 +16,10 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_language": language.op9_language,
     "op10_quality": quality.op10_quality,
+    "op11_minhash": chosenpath.op11_minhash,
+    "op12_resampling": resample.op12_resampling,
+    "op13_runs": runs.op13_runs,
 }
-SQL = {"op1_decontaminate": decontaminate.SQL_DECONTAMINATE, "op4_chat": chat.SQL_CHAT, "op5_topk": topk.SQL_TOPK}
+SQL = {"op1_decontaminate": decontaminate.SQL_DECONTAMINATE, "op4_chat": chat.SQL_CHAT, "op5_topk": topk.SQL_TOPK,
+       "op11_minhash": chosenpath.op11_minhash,
+    "op12_resampling": resample.SQL_RESAMPLING}

@@ -1,0 +1,266 @@
+"""Chosen-path near-duplicates, importance resampling and periodic runs against brute-force versions and edge cases."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_llm import DOCS, docs_of, prose, roots, with_clash, words
+
+from tessera.llm import chosenpath, resample, runs
+from tessera.llm.queries import QUERIES, SQL
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def spaced(text):
+    for c in "\t\n\x0b\x0c\r":
+        text = (text or "").replace(c, " ")
+    return [w for w in text.split(" ") if w]
+
+
+# chosen-path near-duplicates -----------------------------------------------------------------------
+
+def slow_set(text):
+    w = spaced((text or "").translate(LOW))
+    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+
+
+def slow_components(rows):
+    sets = [(d, slow_set(t)) for d, t in rows]
+    links = [(("r", i), ("r", j)) for i, (_, a) in enumerate(sets) for j, (_, b) in enumerate(sets[:i])
+             if a and b and 100 * len(a & b) >= 85 * len(a | b)]
+    up = roots(links)
+    low = {}
+    for i, (d, _) in enumerate(sets):
+        if d is not None:
+            r = up.get(("r", i), ("r", i))
+            low[r] = min(low.get(r, d), d)
+    return Counter((d, len(s), d if not s else low.get(up.get(("r", i), ("r", i)))) for i, (d, s) in enumerate(sets))
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"e{rng.randrange(10 ** 6)}"
+    return " ".join(w)
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    rng = random.Random(3)
+    base = prose(rng, 120, 5000)
+    rows = [(i, prose(rng, rng.randrange(30, 200), 5000)) for i in range(60)]
+    rows += [(100 + i, edited(rng, base, rng.randrange(0, 9))) for i in range(90)]  # more than a leaf holds
+    rows += [(300 + i, rows[i % 20][1] + f" more{i}") for i in range(40)]
+    rows += [(400, None), (401, ""), (402, " \t\n"), (403, "one"), (404, "ONE"), (405, "one two"), (406, "É one two"), (407, "é one two")]
+    rows += [(None, rows[0][1]), (None, None), (7, rows[8][1]), (7, rows[7][1]), (500, prose(rng, 30000, 20000))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    got = chosenpath.near_duplicates(with_clash(docs))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    found = got.collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == slow_components(rows)
+    assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in found)
+
+
+def test_a_large_group_is_split_and_not_listed(spark, monkeypatch):
+    monkeypatch.setattr(chosenpath, "LEAF", 8)
+    rng = random.Random(4)
+    base, line = prose(rng, 300, 9000), prose(rng, 40, 9000)
+    rows = [(i, edited(rng, base, 3)) for i in range(150)] + [(1000 + i, line + " " + prose(rng, 25, 9000)) for i in range(150)]
+    rows += [(2000 + i, rows[150 + i][1] + " x") for i in range(30)]
+    docs = docs_of(spark, [t for _, t in rows], [d for d, _ in rows])
+    got = chosenpath.near_duplicates(docs, trees=(2, 22)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == slow_components(rows)
+    signed = chosenpath.signatures(docs, "doc_id", "text", 3, 64)
+    links = chosenpath.round_links(docs, signed, signed.withColumn("label", F.col("key")), [0, 1], 85, "doc_id", "text", 3)
+    assert sum(x.count() for x in links) < 8 * len(rows)
+
+
+def test_near_duplicates_of_nothing(spark):
+    assert chosenpath.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+    assert [tuple(r) for r in chosenpath.near_duplicates(docs_of(spark, [None, ""])).sort("doc_id").collect()] == [
+        (0, 0, 0, True), (1, 0, 1, True)]
+
+
+def test_the_bound_of_a_link_is_exact():
+    full = np.arange(100, dtype=np.uint64)
+    assert chosenpath.similar(full, full[:85], 85) and not chosenpath.similar(full, full[:84], 85)
+    assert chosenpath.similar(full, full, 100)
+
+
+# importance resampling -----------------------------------------------------------------------------
+
+def slow_resample(rows, items, percent=10, least=20, buckets=10_000, most=1):
+    def feats(t):
+        w = words(t)
+        grams = [" ".join(w[i:i + n]) for n in range(1, most + 1) for i in range(len(w) - n + 1)]
+        return len(w), [zlib.crc32(g.encode()) % buckets for g in grams]
+    s, t = Counter(b for _, x in rows for b in feats(x)[1]), Counter(b for x in items for b in feats(x)[1])
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (big_s + buckets) / ((s[b] + 1) * (big_t + buckets)))) for b in range(buckets)}
+    out = []
+    for d, x in rows:
+        n, f = feats(x)
+        weight, score = sum(gain[b] for b in f), None
+        if d is not None:
+            h = int(sha(f"2024:{d}")[:8], 16)
+            score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([d, len(f), weight, score, None, n])
+    able = sorted((r for r in out if r[3] is not None and r[5] >= least), key=lambda r: (-r[3], r[0], r[1]))
+    for i, r in enumerate(able[:percent * len(able) // 100]):
+        r[4] = i + 1
+    return Counter(tuple(r[:5]) for r in out)
+
+
+def resampling_rows():
+    rng = random.Random(8)
+    rows = [(i * 3, prose(rng, rng.randrange(0, 60), 300)) for i in range(230)]
+    rows += [(1000, None), (1001, ""), (1002, "É é ß"), (1003, prose(rng, 25000, 300)), (None, prose(rng, 30, 300)), (None, None)]
+    rows += [(1005, rows[9][1])] * 25 + [(1006, prose(rng, 20, 300)), (1006, prose(rng, 20, 300))]
+    rng.shuffle(rows)
+    return rows, [prose(rng, 30, 40) for _ in range(12)] + [None, ""]
+
+
+@pytest.mark.parametrize("percent, most", [(10, 1), (37, 2), (100, 1), (0, 1)])
+def test_resampling_equals_brute_force(spark, percent, most):
+    rows, items = resampling_rows()
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    target = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = resample.resample(with_clash(docs), target, percent=percent, most=most)
+    assert Counter(map(tuple, got.collect())) == slow_resample(rows, items, percent, most=most)
+
+
+def test_resampling_of_nothing_and_towards_nothing(spark):
+    rows, _ = resampling_rows()
+    none, empty = spark.createDataFrame([], "item_id long, text string"), spark.createDataFrame([], DOCS)
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    assert resample.resample(empty, none).count() == 0
+    assert Counter(map(tuple, resample.resample(docs, none).collect())) == slow_resample(rows, [])
+
+
+def test_cutoffs_of_tied_and_far_values(spark):
+    rng = random.Random(2)
+    values = [rng.choice([-2 ** 63, 2 ** 63 - 1, 0, 0, 5, 5, 5, rng.randrange(-10 ** 12, 10 ** 12)]) for _ in range(200)]
+    rows = spark.createDataFrame([(v,) for v in values], "x long")
+    ordered = sorted(values, reverse=True)
+    for k in (1, 17, 100, 200):
+        low, above = resample.cutoff(rows, F.col("x"), k)
+        assert low == ordered[k - 1] and above == sum(v > low for v in values)
+
+
+# periodic runs -------------------------------------------------------------------------------------
+
+def slow_runs(w, least=12):
+    n, seen = len(w), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and j - i >= q and j - i + q >= least:
+                seen.setdefault((i, j - i + q), q)
+            i = j + 1
+    return sorted(((i, size, q) for (i, size), q in seen.items()), key=lambda r: (r[0], r[2]))
+
+
+def fibonacci(n):
+    a, b = [0], [0, 1]
+    while len(b) < n:
+        a, b = b, b + a
+    return b[:n]
+
+
+def run_cases():
+    rng = random.Random(6)
+    ab = [0, 1] * 45 + [0]
+    out = [[], [1], fibonacci(800), ab + ab, ab * 3, ([0, 1, 2] * 30 + [0]) * 3, [0] * 400, ([0] * 100 + [1]) * 3, list(range(300)) * 2]
+    for _ in range(120):
+        w = [rng.randrange(rng.choice([1, 2, 3, 50])) for _ in range(rng.randrange(700))]
+        for _ in range(rng.randrange(4)):
+            if len(w) > 10:
+                a = rng.randrange(len(w))
+                p, end = rng.randrange(1, (len(w) - a) // 2 + 2), rng.randrange(a, len(w) + 1)
+                for i in range(a + p, end):
+                    w[i] = w[i - p]
+        out.append(w)
+    for _ in range(60):
+        u = [rng.randrange(2) for _ in range(rng.randrange(1, 7))] * rng.randrange(1, 30) + [rng.randrange(2) for _ in range(rng.randrange(3))]
+        v = u * rng.randrange(1, 4) + u[:rng.randrange(len(u) + 1)]
+        out.append((v * 3)[:900])
+    return out
+
+
+def test_runs_equal_brute_force():
+    cases = run_cases()
+    got = runs.find_runs([np.array(w, np.int32) for w in cases])
+    assert [list(map(tuple, g.tolist())) for g in got] == [slow_runs(w) for w in cases]
+    assert max(q for w in cases for _, _, q in slow_runs(w)) > 250
+
+
+def test_runs_of_long_texts():
+    rng = np.random.default_rng(3)
+    w = rng.integers(0, 5000, 60000).astype(np.int32)
+    w[20000:52000] = np.resize(w[20000:30500], 32000)
+    w[100:200] = np.resize(w[100:107], 100)
+    got = list(map(tuple, runs.find_runs([w])[0].tolist()))
+    assert {q for _, _, q in got} >= {7, 10500} and all((w[a:a + n - q] == w[a + q:a + n]).all() for a, n, q in got)
+
+
+def slow_run_row(doc, text):
+    w = spaced(text)
+    h = zlib.crc32(str(doc).encode())
+    if doc is not None and h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    found = slow_runs(w)
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=(None,) * 3)
+    gone = {i for a, n, q in found for i in range(a + q, a + n)}
+    return (doc, len(found), *best, best[1] and 1000 * best[1] // best[2], sha("".join(f"{a},{n},{q}\n" for a, n, q in found)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def test_run_query_equals_brute_force(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randrange(0, 250), rng.choice([2, 40, 900]))) for i in range(120)]
+    rows += [(500, None), (501, ""), (502, " \t\x0b"), (503, "É é x " * 9), (None, "a b " * 20), (7, "c d e " * 20), (7, "c d e " * 20)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    with_clash(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op13_runs"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert Counter(map(tuple, got.collect())) == Counter(slow_run_row(d, t) for d, t in rows)
+    assert any(zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows)
+    assert runs.run_digests(runs.text_runs(spark.createDataFrame([], DOCS))).count() == 0
+
+
+def test_resampling_query_equals_its_sql(spark, tmp_path):
+    rows, items = resampling_rows()
+    rows = {d: t for d, t in rows if d is not None}
+    spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows.items()], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = QUERIES["op12_resampling"](spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert Counter(map(tuple, got.collect())) == Counter(con.execute(SQL["op12_resampling"]).fetchall())
+
+
+def test_near_duplicate_query_reads_whole_tables(spark, tmp_path):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, 40, 3000)) for i in range(50)]
+    rows += [(100 + i, rows[i][1] + " z") for i in range(10)]
+    docs_of(spark, [t for _, t in rows], [d for d, _ in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op11_minhash"](spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == slow_components(rows)
