@@ -247,3 +247,34 @@ def drop_components_sql(src: str, dst: str) -> str:
 def round_even_sql(expr: str, d: int = 1) -> str:
     s = 10 ** d
     return f"round_even(({expr}) * {s}.0, 0) / {s}.0"
+
+
+def boosting_sql(src: str, keys: list[str], feats: list[str], label: str, cuts: int, trees: int, depth: int, rate: float, l2: float,
+                 l1: float = 0.0) -> list[str]:
+    """CTEs up to ``boosted`` (keys, prediction): second-order boosting of ``src`` over equal-width bins, all rows and columns in each tree."""
+    shrink = lambda g: f"(CASE WHEN {g} > {l1} THEN {g} - {l1} WHEN {g} < -{l1} THEN {g} + {l1} ELSE 0 END)" if l1 else f"({g})"
+    score = lambda g, h: f"({shrink(g)} * {shrink(g)} / ({h} + {l2}))"
+    bins = ", ".join(f"CASE WHEN {c} IS NULL THEN 0 WHEN lo_{c} = hi_{c} THEN 1 ELSE 1 + len(list_filter(range(1, {cuts}), "
+                     f"lambda j: lo_{c} + (hi_{c} - lo_{c}) * j / {cuts}.0 < {c})) END" for c in feats)
+    ends = ", ".join(f"min({c})::DOUBLE AS lo_{c}, max({c})::DOUBLE AS hi_{c}" for c in feats)
+    out = [f"ends AS MATERIALIZED (SELECT {ends} FROM {src})",
+           f"t0 AS MATERIALIZED (SELECT {', '.join(keys)}, {label}::DOUBLE AS y, [{bins}] AS bins, avg({label}) OVER () AS margin FROM {src}, ends "
+           f"WHERE {label} IS NOT NULL)"]
+    for t in range(trees):
+        out.append(f"n{t}_0 AS MATERIALIZED (SELECT *, 0 AS node, true AS open, CAST(round((margin - y) * 1073741824) AS BIGINT) AS gi FROM t{t})")
+        for d in range(depth):
+            n = f"{t}_{d}"
+            out += [f"""
+h{n} AS MATERIALIZED (SELECT node, feature, bin, sum(gi) / 1073741824.0 AS g, count(*)::DOUBLE AS h FROM (
+  SELECT node, gi, unnest(range({len(feats)})) AS feature, unnest(bins) AS bin FROM n{n} WHERE open) GROUP BY ALL)""", f"""
+s{n} AS MATERIALIZED (SELECT node, feature, bin, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER p AS ga, sum(h) OVER p AS ha FROM h{n}
+  WINDOW p AS (PARTITION BY node, feature), w AS (PARTITION BY node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING))""", f"""
+b{n} AS MATERIALIZED (SELECT node, feature, bin FROM (SELECT *, 0.5 * ({score("gl", "hl")} + {score("(ga - gl)", "(ha - hl)")} - {score("ga", "ha")}) AS gain
+  FROM s{n} WHERE hl >= 1 AND ha - hl >= 1) WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, bin) = 1)""", f"""
+n{t}_{d + 1} AS MATERIALIZED (SELECT n.* REPLACE (CASE WHEN b.node IS NULL THEN n.node WHEN bins[b.feature + 1] > b.bin THEN 2 * n.node + 2
+  ELSE 2 * n.node + 1 END AS node, n.open AND b.node IS NOT NULL AS open) FROM n{n} n LEFT JOIN b{n} b ON n.node = b.node AND n.open)"""]
+        g = "(sum(gi) OVER leaf / 1073741824.0)"
+        out.append(f"""
+t{t + 1} AS MATERIALIZED (SELECT {', '.join(keys)}, y, bins, margin - {rate} * {shrink(g)} / (count(*) OVER leaf + {l2}) AS margin
+  FROM n{t}_{depth} WINDOW leaf AS (PARTITION BY node))""")
+    return out + [f"boosted AS (SELECT {', '.join(keys)}, margin AS prediction FROM t{trees})"]
