@@ -31,6 +31,22 @@ def drop_components(df: DataFrame, id_col: str = "id", period_col: str = "season
             .where(~F.col("__drop")).drop("__drop"))
 
 
+def drop_components_split(df: DataFrame, id_col: str = "id", period_col: str = "season_start",
+                          team_col: str = "Team") -> DataFrame:
+    """As :func:`drop_components`, from one aggregated row per split (id, period), joined back.
+
+    The groups' least and greatest names are combined before the shuffle, and
+    AQE splits a hot (id, period) on the large side of the join; rows without
+    id take no part in either.
+    """
+    require_columns(df, [id_col, period_col, team_col], "drop_components input")
+    ends = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__i"), F.col(period_col).alias("__p")).agg(
+        F.min(team_col).alias("__lo"), F.max(team_col).alias("__hi"))
+    split = ends.where("__lo <> __hi").select("__i", "__p", F.lit(True).alias("__split"))
+    out = df.join(split, (F.col(id_col) == F.col("__i")) & F.col(period_col).eqNullSafe(F.col("__p")), "left")
+    return out.where(F.col("__split").isNull() | is_aggregate_group(team_col)).drop("__i", "__p", "__split")
+
+
 def filter_not_equal_keep_null(df: DataFrame, col: str = "years_in_nba", value=0) -> DataFrame:
     """Rows where ``col`` is not ``value``; NULL is kept (``NOT (c <=> v)``)."""
     require_columns(df, [col], "filter_not_equal_keep_null input")

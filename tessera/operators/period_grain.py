@@ -217,7 +217,7 @@ def history_features(df: DataFrame, current_dim: DataFrame, previous_dim: DataFr
                      stat_cols: Sequence[str], lag_cols: Sequence[str], id_col: str = "id",
                      period_col: str = "season_start", team_col: str = "Team", ord_col: str = "ord",
                      games_col: str = "G", clock_col: str = "years_in_nba", weights=None,
-                     score_col: str = "fantasy_points_per_game") -> DataFrame:
+                     score_col: str = "fantasy_points_per_game", scan: bool = False) -> DataFrame:
     """Clock, career rates, weighted score, lags, coach flag and team flag in one fused plan.
 
     Same results as chaining ``experience_clock``, ``career_rate_to_date``,
@@ -239,9 +239,13 @@ def history_features(df: DataFrame, current_dim: DataFrame, previous_dim: DataFr
     * one join of the summary back to the rows on (id, period).
 
     An id holding a third of all rows is spread over its periods; no window
-    or collection spans an id's rows.
+    or collection spans an id's rows.  With ``scan`` position and running
+    totals come from a prefix scan (``scan.prefix_scan``) and the rest of the
+    summary from partial aggregation, so that no task meets the rows of one
+    (id, period) either, nor all rows without id.
     """
     from tessera.operators import features as fe
+    from tessera.operators.scan import prefix_scan
 
     require_columns(df, [id_col, period_col, team_col, games_col, *stat_cols], "history_features input")
     lag_base = [c for c in lag_cols if c != clock_col]
@@ -251,24 +255,33 @@ def history_features(df: DataFrame, current_dim: DataFrame, previous_dim: DataFr
     o = _ord(df, ord_col) or [F.lit(0)]
     key = F.struct(F.when(is_aggregate_group(team_col), 0).otherwise(1).alias("a"), *o)
 
-    rows = _shared(df, id_col, period_col).withColumns(
-        {f"total_{c}": F.col(c) * F.col(games_col) for c in stat_cols})
+    totals = {f"total_{c}": F.col(c) * F.col(games_col) for c in stat_cols}
+    if scan:
+        order = [ord_col] if ord_col in df.columns else []
+        rows = prefix_scan(df.withColumns(totals), [id_col, period_col], order,
+                           {"__gw": F.col(games_col), **{f"__tw_{c}": F.col(f"total_{c}") for c in stat_cols}}, "__pos")
+        rows = rows.withColumn("__pos", F.col("__pos") + 1)
+        rep_pos = F.min_by("__pos", key)
+    else:
+        rows = _shared(df, id_col, period_col).withColumns(totals)
+        rep_pos = F.max(F.when(F.col("__is_rep"), F.col("__pos")))
     w_in = Window.partitionBy(id_col, period_col).orderBy(*o)
     w_in_before = w_in.rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(id_col, period_col)
-    rows = rows.withColumns({
-        "__pos": F.row_number().over(w_in),
-        "__gw": F.sum(games_col).over(w_in_before),
-        **{f"__tw_{c}": F.sum(f"total_{c}").over(w_in_before) for c in stat_cols},
-        "__is_rep": key.eqNullSafe(F.min(key).over(w_all)),
-    })
+    if not scan:
+        rows = rows.withColumns({
+            "__pos": F.row_number().over(w_in),
+            "__gw": F.sum(games_col).over(w_in_before),
+            **{f"__tw_{c}": F.sum(f"total_{c}").over(w_in_before) for c in stat_cols},
+            "__is_rep": key.eqNullSafe(F.min(key).over(w_all)),
+        })
 
     summary = rows.where(F.col(id_col).isNotNull()).groupBy(id_col, period_col).agg(
         F.count(F.lit(1)).alias("__n"),
         F.sum(games_col).alias("__g"),
         *[F.sum(f"total_{c}").alias(f"__t_{c}") for c in stat_cols],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"__r_{c}") for c in lag_base],
-        F.max(F.when(F.col("__is_rep"), F.col("__pos"))).alias("__rep_pos"),
+        rep_pos.alias("__rep_pos"),
         F.min_by(team, F.when(team.isNotNull(), key)).alias("__st"),
         F.count(team_col).alias("__n_team"),
         F.collect_set(F.when(real, team)).alias("__set"),

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import boosting as bst
+from tessera.operators import filters as flt
+from tessera.operators import scan
 from tessera.plans import oracle as osql
 from tessera.plans.oracle import PANEL_CTES, with_ctes
-from tessera.plans.queries import r6, sql_r6
-from tessera.plans.registry import register
+from tessera.plans.queries import CAREER_STATS, filled, pipeline_outputs, r6, sql_r6
+from tessera.plans.registry import REGISTRY, register
 from tessera.session import scratch_dir
-from tessera.sources.testdata_panel import season_panel
+from tessera.sources.testdata_panel import season_panel, table
 
 BOOST_FEATURES = ["Age", "G", "FTA", "AST", "TRB", "season_start"]
 BOOST_KEYS = ["id", "season_start", "Team"]
@@ -47,3 +49,48 @@ def q_boosted_trees(spark, sf):
 def q_boosted_trees_l1(spark, sf):
     """The same with an L1 penalty."""
     return _boosted(spark, sf, 40.0)
+
+
+# ---------------------------------------------------------------- running sums by prefix scan
+@register("experience_clock_by_scan", REGISTRY["experience_clock"].sql)
+def q_experience_clock_by_scan(spark, sf):
+    return scan.experience_clock(filled(spark, sf))
+
+
+@register("career_rate_to_date_by_scan", REGISTRY["career_rate_to_date"].sql)
+def q_career_rate_to_date_by_scan(spark, sf):
+    return r6(scan.career_rate_to_date(filled(spark, sf), CAREER_STATS), [f"career_{c}_pg" for c in CAREER_STATS])
+
+
+@register("drop_components_by_join", REGISTRY["drop_components"].sql)
+def q_drop_components_by_join(spark, sf):
+    return flt.drop_components_split(season_panel(spark, sf))
+
+
+@register("feature_pipeline_scan", REGISTRY["feature_pipeline"].sql)
+def q_feature_pipeline_scan(spark, sf):
+    """The same modelling table without a window over an (id, period)'s rows."""
+    return pipeline_outputs(spark, sf, scan=True).modelling
+
+
+_HOT = """
+hot AS (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 0 WHEN l_orderkey % 16 = 1 THEN NULL ELSE l_suppkey END AS id,
+               CASE WHEN l_orderkey % 2 = 0 THEN 1995 ELSE CAST(year(l_shipdate) AS INTEGER) END AS season_start,
+               row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord, l_partkey, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS games, l_orderkey, l_linenumber
+        FROM lineitem)"""
+
+
+@register("hot_period_scan", with_ctes(_HOT, body="""
+SELECT l_orderkey, l_linenumber, l_partkey, id, season_start, sum(games) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS games_before,
+       CAST(row_number() OVER w - 1 AS BIGINT) AS place
+FROM hot WINDOW w AS (PARTITION BY id, season_start ORDER BY ord)"""))
+def q_hot_period_scan(spark, sf):
+    """Running sums in a table of which one (id, period) holds half of all rows, and rows without id a sixteenth."""
+    key = F.col("l_orderkey")
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.when(key % 2 == 0, F.lit(0)).when(key % 16 == 1, F.lit(None)).otherwise(F.col("l_suppkey")).alias("id"),
+        F.when(key % 2 == 0, F.lit(1995)).otherwise(F.year("l_shipdate")).alias("season_start"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("ord"), F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("games"))
+    out = scan.prefix_scan(rows, ["id", "season_start"], ["ord"], {"games_before": F.col("games")}, "place")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "id", "season_start", "games_before", "place")

@@ -79,7 +79,7 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
                      id_col: str = "id", period_col: str = "season_start", team_col: str = "Team",
                      ord_col: str = "ord", min_games: float = 30, decimals: int = 1,
                      imputed_path: str | None = None, features_path: str | None = None,
-                     skew_safe: bool = True) -> PipelineOutputs:
+                     skew_safe: bool = True, scan: bool = False) -> PipelineOutputs:
     """Run the reference's feature pipeline on a panel.
 
     Order: gap fill -> static fill (Player, Pos) -> age anchor -> [imputed]
@@ -95,6 +95,9 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
     than once, and a lost executor resumes from there); imputation is one
     plan (``period_grain.impute_panel``) and the feature block another
     (``period_grain.history_features``) with a single (id, period) row exchange.
+
+    ``scan`` also spreads the rows of one (id, period) and rows without id:
+    running sums by prefix scan, components found by aggregates joined back.
     """
     if skew_safe:
         from tessera.operators import period_grain as imp_  # noqa: F811
@@ -123,7 +126,7 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
         # one (id, period) row exchange; every per-id quantity from summary windows
         base = imputed if imputed_path else cut(imputed)  # the written table already cuts the lineage
         feats = fe_.history_features(base, current_dim, previous_dim, CAREER_STATS, LAG_COLS,
-                                     id_col=id_col, period_col=period_col, team_col=team_col, ord_col=ord_col)
+                                     id_col=id_col, period_col=period_col, team_col=team_col, ord_col=ord_col, scan=scan)
     else:
         feats = (imputed
                  .transform(fe.experience_clock, **keys)
@@ -137,7 +140,8 @@ def feature_pipeline(panel: DataFrame, current_dim: DataFrame, previous_dim: Dat
     feats = _checkpoint(feats, features_path)
 
     kept = (feats
-            .transform(flt.drop_components, id_col=id_col, period_col=period_col, team_col=team_col)
+            .transform(flt.drop_components_split if scan else flt.drop_components, id_col=id_col, period_col=period_col,
+                       team_col=team_col)
             .transform(flt.filter_not_equal_keep_null, "years_in_nba")
             .transform(flt.filter_min, min_games, "G"))
 
