@@ -20,8 +20,14 @@ SHINGLE, PERCENT = 3, 85
 TOKENS = 64
 #: Trees of each round.  A round begins with the components of the rounds before and skips nodes that lie in one.
 TREES = (2, 14)
+#: Members of a pivot's group.
+LOT = 64
 #: Members of a node that are compared with each other; a larger node branches on.
-LEAF = 64
+LEAF = 512
+#: A node's branching factor, in percent of one: below the similarity, so that a similar pair's chance to stay together doesn't fade with depth.
+BRANCH = 75
+#: Levels that a large node's rows go down at once: as many as halve it to a leaf, so many at most.
+STEPS = 6
 #: Two sets are compared exactly if their tokens don't speak against it: four deviations below the similarity.
 DEVIATIONS = 4.0
 
@@ -76,17 +82,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, tokens
     return rows.mapInArrow(run, "doc_id long, text_key binary, key binary, n long, tokens binary")
 
 
-def branches(nodes: np.ndarray, tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def branches(nodes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, child) of the children that each row chooses in its node.
 
-    Below the root a node picks each token place with a chance of
-    1 / (similarity * places), so a similar pair is expected to stay together
-    in one child; the child is named by the node, the place and the token there.
+    Below the root a node picks each token place with a chance of 100 / (BRANCH
+    * places), so a similar pair is expected to stay together in more than one
+    child; the child is named by the node, the place and the token there.
     """
     places = tokens.shape[1]
     draw = (nodes[:, None] + np.arange(1, places + 1, dtype=np.uint64) * _MIX) * _FOLD
     draw = (draw ^ (draw >> np.uint64(31))) * _MIX
-    row, place = np.nonzero(draw >> np.uint64(32) < np.uint64(int((1 << 32) * 100 / (percent * places))))
+    row, place = np.nonzero(draw >> np.uint64(32) < np.uint64(int((1 << 32) * 100 / (BRANCH * places))))
     child = (draw[row, place] ^ tokens[row, place].astype(np.uint64)) * _FOLD
     return row, (child ^ (child >> np.uint64(29))) * _MIX
 
@@ -106,19 +112,24 @@ def first_nodes(sets: DataFrame, trees: list[int]) -> DataFrame:
     return sets.select("key", "label", "tokens").mapInArrow(run, "node long, key binary, label binary")
 
 
-def next_nodes(rows: DataFrame, percent: int) -> DataFrame:
-    """(node, key, label): the children that the rows of (node, key, label, tokens) choose in their nodes."""
+def next_nodes(rows: DataFrame) -> DataFrame:
+    """(node, key, label): the nodes that the rows of (node, steps, key, label, tokens) choose so many levels below theirs."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = np.stack([np.frombuffer(t, np.uint32) for t in batch.column(3).to_pylist()])
-            nodes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            row, child = branches(nodes, tokens, percent)
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column(1).take(at), batch.column(2).take(at)],
-                                             ["node", "key", "label"])
-    return rows.select("node", "key", "label", "tokens").mapInArrow(run, "node long, key binary, label binary")
+            tokens = np.stack([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
+            nodes, steps = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            nodes, at = nodes.view(np.uint64), np.arange(len(nodes))
+            for step in range(1, STEPS + 1):
+                row, nodes = branches(nodes, tokens[at])
+                at = at[row]
+                there = steps[at] == step
+                take = pa.array(at[there])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[there].view(np.int64)), batch.column(2).take(take), batch.column(3).take(take)],
+                                                 ["node", "key", "label"])
+                nodes, at = nodes[~there], at[~there]
+    return rows.select("node", "steps", "key", "label", "tokens").mapInArrow(run, "node long, key binary, label binary")
 
 
 def crowded(rows: DataFrame) -> DataFrame:
@@ -207,7 +218,7 @@ def set_rows(docs: DataFrame, signed: DataFrame, wanted: DataFrame, id_col: str,
 
 
 def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v) links among each group's members (LEAF + 1 at most): a spanning set of all pairs whose whole sets are similar.
+    """(u, v) links among each group's members (LEAF at most, or a pivot and LOT): a spanning set of all pairs whose whole sets are similar.
 
     A pair that earlier links of the group connect already is not compared.
     """
@@ -230,8 +241,8 @@ def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("members").mapInArrow(run, "u binary, v binary")
 
 
-def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """(group, key): each large node's pivot with up to LEAF members that may be similar to it."""
+def pivot_pairs(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """(p_key, key): each large node's pivot and the members of another label that may be similar to it."""
     rows = large.join(pivots, "node").where(F.col("label") != F.col("p_label")).select(
         "key", "n", "tokens", "p_key", "p_n", "p_tokens")
 
@@ -246,15 +257,17 @@ def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame
             fit = (100 * np.minimum(n, pn) >= percent * np.maximum(n, pn)) & ((own == other).sum(axis=1) >= least)
             at = pa.array(np.flatnonzero(fit))
             yield pa.RecordBatch.from_arrays([batch.column(3).take(at), batch.column(0).take(at)], ["p_key", "key"])
-    near = saved(rows.mapInArrow(run, "p_key binary, key binary").distinct(), "near-pivot")
+    return rows.mapInArrow(run, "p_key binary, key binary").distinct()
+
+
+def pivot_groups(near: DataFrame) -> DataFrame:
+    """(group, key): each pivot of the saved pairs with up to LOT members at a time."""
     counts = near.groupBy("p_key").agg(F.count("*").alias("n"))
-    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") * 2 / LEAF))
-    star = near.join(counts, "p_key").select("p_key", "key", part.alias("part"))
-    lots = saved(star.groupBy("p_key", "part").agg(F.collect_list("key").alias("keys")), "lots")
-    discard(near)
-    # A lot of more than LEAF members, which chance may make, is cut into several.
-    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size("keys") - 1) / LEAF).cast("int")),
-                       lambda i: F.concat(F.array("p_key"), F.slice("keys", i * LEAF + 1, LEAF)))
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") * 2 / LOT))
+    lots = near.join(counts, "p_key").groupBy("p_key", part.alias("part")).agg(F.collect_list("key").alias("keys"))
+    # A lot of more than LOT members, which chance may make, is cut into several.
+    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size("keys") - 1) / LOT).cast("int")),
+                       lambda i: F.concat(F.array("p_key"), F.slice("keys", i * LOT + 1, LOT)))
     rows = lots.select("p_key", "part", F.posexplode(cuts).alias("cut", "keys"))
     return rows.select(F.xxhash64("p_key", "part", "cut").alias("group"), F.explode("keys").alias("key"))
 
@@ -262,38 +275,37 @@ def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame
 def round_links(docs: DataFrame, signed: DataFrame, sets: DataFrame, trees: list[int], percent: int, id_col: str, text_col: str,
                 shingle: int) -> list[DataFrame]:
     """Tables of (u, v) links that some trees find between sets of different labels."""
-    def links_of(groups: DataFrame) -> DataFrame:
-        groups = saved(groups, "groups")
-        whole = set_rows(docs, signed, groups, id_col, text_col, shingle)
-        out = saved(confirmed(groups, whole, percent), "links")
-        for used in (groups, whole):
-            discard(used)
-        return out
-
     nodes, out = crowded(first_nodes(sets, trees)), []
-    while True:
-        small = nodes.where(F.col("size") <= LEAF)
-        if not small.isEmpty():
-            out.append(links_of(leaf_groups(small, sets, percent)))
+    while not nodes.isEmpty():
+        groups = leaf_groups(nodes.where(F.col("size") <= LEAF), sets, percent)
         large = nodes.where(F.col("size") > LEAF)
-        if large.isEmpty():
-            discard(nodes)
-            return out
-        large = saved(large.select("node", "key", "label").join(sets.select("key", "n", "tokens"), "key"), "large")
-        discard(nodes)
-        chosen = F.min_by(F.struct("key", "label", "n", "tokens"), F.xxhash64("node", "key"))
-        pivots = large.groupBy("node").agg(chosen.alias("p")).select("node", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("key", "label", "n", "tokens")])
-        pivots = saved(pivots, "pivots")
-        links = links_of(pivot_groups(large, pivots, percent))
-        out.append(links)
-        linked = links.union(links.select("v", "u")).distinct().toDF("p_key", "key").withColumn("near", F.lit(True))
+        large = None if large.isEmpty() else saved(large.join(sets.select("key", "n", "tokens"), "key"), "large")
+        if large is not None:
+            chosen = F.min_by(F.struct("key", "label", "n", "tokens"), F.xxhash64("node", "key"))
+            pivots = large.groupBy("node").agg(chosen.alias("p"))
+            pivots = saved(pivots.select("node", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("key", "label", "n", "tokens")]), "pivots")
+            near = saved(pivot_pairs(large, pivots, percent), "near-pivot")
+            groups = groups.union(pivot_groups(near))
+        groups, links = saved(groups, "groups"), None
+        if not groups.isEmpty():
+            whole = set_rows(docs, signed, groups, id_col, text_col, shingle)
+            links = saved(confirmed(groups, whole, percent), "links")
+            out.append(links)
+            discard(whole)
+        for used in (groups, nodes, *([] if large is None else [near])):
+            discard(used)
+        if large is None:
+            break
         rest = large.join(pivots.select("node", "p_key", "p_label"), "node").where(F.col("key") != F.col("p_key"))
-        rest = rest.join(linked, ["p_key", "key"], "left")
-        label = F.when(F.col("near"), F.col("p_label")).otherwise(F.col("label"))
-        rest = rest.select("node", "key", label.alias("label"), "tokens")
-        nodes = crowded(next_nodes(rest, percent))
+        if links is not None:  # what is linked to its node's pivot takes the pivot's label
+            linked = links.union(links.select("v", "u")).distinct().toDF("p_key", "key").withColumn("near", F.lit(True))
+            rest = rest.join(linked, ["p_key", "key"], "left").withColumn(
+                "label", F.when(F.col("near"), F.col("p_label")).otherwise(F.col("label")))
+        steps = F.least(F.lit(STEPS), F.ceil(F.log2(F.col("size") / LEAF)).cast("int"))
+        nodes = crowded(next_nodes(rest.withColumn("steps", steps)))
         for used in (large, pivots):
             discard(used)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -309,10 +321,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comparison a member, and no pairs of a group are listed.
 
     The trees are independent.  One keeps a pair of just the least similarity
-    together with a chance of 0.85 below the root, 0.5 two and 0.3 four levels
-    down, so 16 trees miss one among small nodes with a chance below 1e-10, and
-    with 0.002 one that meets in nodes of the fourth level only, whose sets
-    are linked in many ways.  Every link is confirmed on the whole sets.
+    together with a chance of 0.85 below the root, 0.6 two, 0.4 four and 0.3
+    eight levels down, so 16 trees miss one among small nodes with a chance
+    below 1e-10, and with 0.003 one that meets eight levels down only, whose
+    sets are linked in many ways.  Every link is confirmed on the whole sets.
 
     NULL and empty texts have an empty set, size 0, and link with nothing.
     Words are what lies between ASCII white space, A-Z lowered; a text of fewer

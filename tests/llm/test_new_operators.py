@@ -74,6 +74,7 @@ def test_near_duplicates_equal_all_pairs(spark):
 
 def test_a_large_group_is_split_and_not_listed(spark, monkeypatch):
     monkeypatch.setattr(chosenpath, "LEAF", 8)
+    monkeypatch.setattr(chosenpath, "LOT", 8)
     rng = random.Random(4)
     base, line = prose(rng, 300, 9000), prose(rng, 40, 9000)
     rows = [(i, edited(rng, base, 3)) for i in range(150)] + [(1000 + i, line + " " + prose(rng, 25, 9000)) for i in range(150)]
