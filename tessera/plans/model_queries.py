@@ -12,7 +12,8 @@ from tessera.plans.oracle import PANEL_CTES, with_ctes
 from tessera.plans.queries import CAREER_STATS, filled, pipeline_outputs, r6, sql_r6
 from tessera.plans.registry import REGISTRY, register
 from tessera.session import scratch_dir
-from tessera.sources.testdata_panel import season_panel, table
+from tessera.sources import io as tio
+from tessera.sources.testdata_panel import season_label, season_panel, staffing_rows, table
 
 BOOST_FEATURES = ["Age", "G", "FTA", "AST", "TRB", "season_start"]
 BOOST_KEYS = ["id", "season_start", "Team"]
@@ -94,3 +95,53 @@ def q_hot_period_scan(spark, sf):
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("ord"), F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("games"))
     out = scan.prefix_scan(rows, ["id", "season_start"], ["ord"], {"games_before": F.col("games")}, "place")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "id", "season_start", "games_before", "place")
+
+
+# ---------------------------------------------------------------- files with quoted line breaks, read in splits
+#: So small that the borders of splits cut records and quoted values.
+SMALL_SPLITS = "16384"
+
+
+def _in_small_splits(spark, read):
+    """What ``read()`` returns, read with small splits and written."""
+    name, path = "spark.sql.files.maxPartitionBytes", scratch_dir(spark, "split-read")
+    before = spark.conf.get(name)
+    spark.conf.set(name, SMALL_SPLITS)
+    try:
+        read().write.parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.parquet(path)
+
+
+_SAID = """chr(10) || 'says "' || {0} || '",' || chr(13) || chr(10) || chr(10) || 'twice'"""
+
+
+@register("read_seasons_split", with_ctes(PANEL_CTES, body=f"""
+SELECT id, season_start, Team, Player || {_SAID.format("coalesce(Pos, '-')")} AS Player, Pos, Age,
+       CASE WHEN id % 7 = 0 OR id % 11 = 0 THEN NULL ELSE G END AS G, {", ".join(osql.STATS)},
+       CASE WHEN season_start % 2 = 1 THEN 'x' || chr(10) || id::VARCHAR END AS note
+FROM panel"""))
+def q_read_seasons_split(spark, sf):
+    """Season files of two layouts with quoted line breaks, bad numbers and spelt-out missing values, cut by the splits' borders."""
+    p = stored_panel(spark, sf)
+    said = F.concat(F.lit('\nsays "'), F.coalesce("Pos", F.lit("-")), F.lit('",\r\n\ntwice'))
+    games = F.when(F.col("id") % 7 == 0, F.lit("n/a")).when(F.col("id") % 11 == 0, F.lit("12x")).otherwise(F.col("G").cast("string"))
+    rows = p.withColumns({"Player": F.concat("Player", said), "G": games, "note": F.concat(F.lit("x\n"), F.col("id").cast("string")),
+                          "label": season_label("season_start")}).drop("ord")
+    path, odd = scratch_dir(spark, "seasons"), F.col("season_start") % 2 == 1
+    names = [c for c in rows.columns if c not in ("label", "season_start", "note")]
+    for part, cols in ((rows.where(~odd), names), (rows.where(odd), ["note", *names[::-1]])):
+        part.select("label", *cols).write.mode("append").partitionBy("label").options(header=True, escape='"').csv(path)
+    schema = season_panel(spark, sf).schema
+    out = _in_small_splits(spark, lambda: tio.read_seasons(spark, path, "*.csv", schema, multi_line="split").drop("ord"))
+    return out.select("id", "season_start", "Team", "Player", "Pos", "Age", "G", *osql.STATS, "note")
+
+
+@register("read_staffing_split", with_ctes(osql.STAFF_CTES, body="""
+SELECT Coach || chr(10) || '"' || Tm || '"' AS Coach, Tm, G, Season FROM staff_raw"""))
+def q_read_staffing_split(spark, sf):
+    path = scratch_dir(spark, "staffing")
+    rows = staffing_rows(spark, sf).select(F.concat("Coach", F.lit('\n"'), "Tm", F.lit('"')).alias("Coach"), "Tm", "G", "Season")
+    rows.write.partitionBy("Season").options(header=True, escape='"').csv(path)
+    return _in_small_splits(spark, lambda: tio.read_staffing(spark, path, "*.csv", multi_line="split").select("Coach", "Tm", "G", "Season"))

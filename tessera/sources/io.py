@@ -119,10 +119,19 @@ def _texts(spark: SparkSession, names: list[str], files: list[str], multi_line:
     return spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=multi_line, escape='"').csv(files)
 
 
+def _typed(value: dict[str, Column], known: dict[str, T.DataType]) -> dict[str, Column]:
+    """The texts as the types declared for them; NULL where they don't parse."""
+    out = {}
+    for c, v in value.items():
+        kind = known.get(c)
+        out[c] = to_number(v).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else v.try_cast(kind) if kind else v
+    return out
+
+
 # ------------------------------------------------------------------ readers
 def read_seasons(spark: SparkSession, data_root: str, filename: str = "players.csv",
                  schema: T.StructType | None = None, period_col: str = "season_start",
-                 ord_col: str = "ord", report=print, two_digit: bool = True, multi_line: bool = False) -> DataFrame:
+                 ord_col: str = "ord", report=print, two_digit: bool = True, multi_line: bool | str = False) -> DataFrame:
     """Stack one CSV per period folder into one typed DataFrame.
 
     ``<root>/<label>/<filename>``; the period is the label's first two digits
@@ -134,7 +143,8 @@ def read_seasons(spark: SparkSession, data_root: str, filename: str = "players.c
     doesn't parse as the type that ``schema`` declares.  Columns it doesn't
     declare stay text, columns missing from some files are NULL there.  An
     ``ord`` column keeps file order for tie-breaks.  ``multi_line`` reads
-    quoted values with line breaks; such files aren't split among tasks.
+    quoted values with line breaks, a file a task; ``multi_line="split"`` reads
+    them in splits (``quoted.read_quoted``), and the headers by a Spark job.
     """
     root = data_root.rstrip("/")
     files = glob_files(spark, f"{root}/*/{filename}")
@@ -145,21 +155,27 @@ def read_seasons(spark: SparkSession, data_root: str, filename: str = "players.c
         else:
             report(f"Skipping {f}: folder label {folder_label(f)!r} is not a season")
     known = {f.name: f.dataType for f in (schema.fields if schema else [])}
+    year_of = lambda label: (two_digit_year(label) if two_digit
+                             else F.coalesce(parse_season_label(label), two_digit_year(label)))
+    if multi_line == "split":
+        from tessera.sources.quoted import by_name, read_quoted
+        if not good:
+            raise ValueError(f"No season files found under {data_root}")
+        rows, headers = read_quoted(spark, good, report)
+        if not headers:
+            raise ValueError(f"No season files found under {data_root}")
+        value = _typed({c: known_text(by_name(headers, c)) for c in dict.fromkeys(c for h in headers for c in h)}, known)
+        return rows.select(*[v.alias(c) for c, v in value.items()],
+                           year_of(folder_label_col(F.col("file"))).cast("int").alias(period_col), F.col("ord").alias(ord_col))
     parts = []
     for cols, group in _by_header(spark, good, report).items():
         names = [f"c{i}" for i in range(len(cols))]
         df = _texts(spark, names, group, multi_line)
         fp = F.col("_metadata.file_path")
         label = folder_label_col(fp)
-        year = two_digit_year(label) if two_digit else F.coalesce(parse_season_label(label), two_digit_year(label))
         first = {c: n for n, c in reversed(list(zip(names, cols)))}
-        value = {c: known_text(F.col(n)) for c, n in first.items()}
-        for c in value:
-            if isinstance(known.get(c), (T.DoubleType, T.FloatType)):
-                value[c] = to_number(value[c]).cast(known[c])
-            elif c in known:
-                value[c] = value[c].try_cast(known[c])
-        parts.append(df.select(*[v.alias(c) for c, v in value.items()], year.cast("int").alias(period_col),
+        value = _typed({c: known_text(F.col(n)) for c, n in first.items()}, known)
+        parts.append(df.select(*[v.alias(c) for c, v in value.items()], year_of(label).cast("int").alias(period_col),
                                _ord(fp).alias(ord_col)))
     if not parts:
         raise ValueError(f"No season files found under {data_root}")
@@ -170,7 +186,7 @@ def read_seasons(spark: SparkSession, data_root: str, filename: str = "players.c
 
 
 def read_staffing(spark: SparkSession, data_root: str, filename: str = "coaches.csv",
-                  ord_col: str = "ord", report=print, multi_line: bool = False) -> DataFrame:
+                  ord_col: str = "ord", report=print, multi_line: bool | str = False) -> DataFrame:
     """Staffing rows ``Coach, Tm, G, Season, ord`` from ``<root>/<label>/<filename>``.
 
     Columns are taken by position (the header repeats names): person at 0,
@@ -178,7 +194,19 @@ def read_staffing(spark: SparkSession, data_root: str, filename: str = "coaches.
     trimmed; games that are not an integer ('82.0', '') count as 0.  Blank
     lines are skipped.  ``Season`` is the folder label.  Files that can't be
     read or have no header are reported and left out; none left raises.
+    ``multi_line`` as for :func:`read_seasons`.
     """
+    if multi_line == "split":
+        from tessera.sources.quoted import read_quoted
+        files = glob_files(spark, f"{data_root.rstrip('/')}/*/{filename}")
+        rows, headers = read_quoted(spark, files, report) if files else (None, [])
+        if not headers:
+            raise ValueError(f"No staffing files found under {data_root}")
+        games = F.coalesce(*[F.when(F.col("layout") == k, F.get(F.col("values"), F.lit(h.index("G") if "G" in h else 2)))
+                             for k, h in enumerate(headers)])
+        text = lambda i: F.trim(F.coalesce(F.get(F.col("values"), F.lit(i)), F.lit("")))
+        return rows.select(text(0).alias("Coach"), text(1).alias("Tm"), F.coalesce(games.try_cast("int"), F.lit(0)).alias("G"),
+                           folder_label_col(F.col("file")).alias("Season"), F.col("ord").alias(ord_col))
     groups = _by_header(spark, glob_files(spark, f"{data_root.rstrip('/')}/*/{filename}"), report)
     parts = []
     for cols, group in groups.items():
