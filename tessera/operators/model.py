@@ -11,8 +11,9 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, keyword_only
+from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -259,20 +260,29 @@ def gbt_pipeline(df: DataFrame, feature_cols: Sequence[str], target_col: str, se
 
 # ------------------------------------------------------------------ folds, metrics
 def assign_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42,
-                 method: str = "hash", out_col: str = "fold") -> DataFrame:
+                 method: str = "hash", out_col: str = "fold", equal: bool = False, ties: Sequence[str] = ()) -> DataFrame:
     """Deterministic fold in [0, k) from the row keys and the seed; no global sort.
 
     ``hash``: xxhash64 of keys and seed.  ``arith``: an integer mix of
     numeric keys that plain SQL engines reproduce; a NULL key counts as 0.
+    With ``equal`` rows are ranked by that number (then keys and ``ties``) and dealt
+    in turn, so that the folds' sizes differ by one at most; the ranks come from
+    a prefix scan.
     """
+    def folds(h):
+        if not equal:
+            return df.withColumn(out_col, F.pmod(h, F.lit(k)).cast("int"))
+        from tessera.operators.scan import prefix_scan
+        out = prefix_scan(df.withColumn("__h", h), [], ["__h", *keys, *ties], position="__rank")
+        return out.withColumn(out_col, (F.col("__rank") % k).cast("int")).drop("__h", "__rank")
+
     if method == "hash":
-        h = F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed))
-        return df.withColumn(out_col, F.pmod(h, F.lit(k)).cast("int"))
+        return folds(F.xxhash64(*[F.col(f"`{c}`") for c in keys], F.lit(seed)))
     p = 2147483647
     h = F.lit(seed).cast("long")
     for i, c in enumerate(keys):
         h = F.pmod(h * 48271 + F.pmod(F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0)), F.lit(p)) * (16807 + i), F.lit(p))
-    return df.withColumn(out_col, F.pmod(h, F.lit(k)).cast("int"))
+    return folds(h)
 
 
 def regression_metrics(df: DataFrame, label_col: str, pred_col: str = "prediction") -> DataFrame:
@@ -291,23 +301,30 @@ def regression_metrics(df: DataFrame, label_col: str, pred_col: str = "predictio
 
 
 def cross_validate(df: DataFrame, estimator_factory, target_col: str, keys: Sequence[str],
-                   k: int = 5, seed: int = 42, fold_method: str = "hash") -> dict:
+                   k: int = 5, seed: int = 42, fold_method: str = "hash", parallelism: int = 1) -> dict:
     """K-fold RMSE with the whole pipeline refitted per fold.
 
     Returns {"fold_rmse": [...], "rmse_mean": m, "rmse_std": population std}.
     The input is persisted once for the k fits (recomputed from lineage if
-    an executor is lost).
+    an executor is lost).  ``parallelism`` folds are fitted at a time, which
+    fills the gaps that the small jobs of a fit leave on a cluster.
     """
     data = assign_folds(df, keys, k, seed, fold_method, "__fold").persist()
     try:
-        scores = []
-        for i in range(k):
+        def fit_and_score(i: int) -> float:
             train, test = data.where(F.col("__fold") != i), data.where(F.col("__fold") == i)
             model = estimator_factory(train).fit(train)
             score = regression_metrics(model.transform(test), target_col).first()["rmse"]
             if score is None:
                 raise ValueError(f"fold {i} of {k} has no row with a known {target_col}; take fewer folds")
-            scores.append(score)
+            return score
+
+        if parallelism > 1:
+            data.count()  # stored before the folds start side by side
+            with ThreadPoolExecutor(min(parallelism, k)) as pool:
+                scores = list(pool.map(inheritable_thread_target(df.sparkSession)(fit_and_score), range(k)))
+        else:
+            scores = [fit_and_score(i) for i in range(k)]
     finally:
         data.unpersist()
     mean = sum(scores) / len(scores)

@@ -53,6 +53,31 @@ def staff_summary(df: DataFrame, group_col: str = "Tm", period_col: str = "Seaso
         F.array_join(F.transform(entries, lambda e: e["p"]), sep).alias(out_col))
 
 
+def staff_summary_split(df: DataFrame, group_col: str = "Tm", period_col: str = "Season",
+                        person_col: str = "Coach", ord_col: str = "ord",
+                        out_col: str = "Coaches", sep: str = ", ", block: int = 4096) -> DataFrame:
+    """As :func:`staff_summary`, a hot group in two levels: names are numbered by a prefix scan, ``block`` of them
+    joined to a string, and a group's strings, a ``block``-th of its rows, joined in order.
+
+    No task sorts or holds a group's rows; the joined string itself is one value.
+    """
+    from tessera.operators.scan import prefix_scan
+    keys = [group_col, period_col]
+    rows = prefix_scan(df.select(*keys, person_col, ord_col), keys, [ord_col], position="__at").where(F.col(person_col).isNotNull())
+
+    def joined(value: str, order: str):
+        entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("p"))))
+        return F.array_join(F.transform(entries, lambda e: e["p"]), sep)
+    parts = rows.withColumn("__part", F.floor(F.col("__at") / block)).groupBy(*keys, "__part").agg(joined(person_col, "__at").alias("__s"))
+    found = parts.groupBy(*keys).agg(joined("__s", "__part").alias(out_col))
+    groups = df.select(*keys).distinct()  # also those without a known name
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"f.{c}"))
+    return groups.alias("g").join(found.alias("f"), same, "left").select(
+        *[F.col(f"g.{c}").alias(c) for c in keys], F.coalesce(F.col(f"f.{out_col}"), F.lit("")).alias(out_col))
+
+
 def first_by_group(df: DataFrame, group_col: str = "Tm", period_col: str = "Season",
                    person_col: str = "Coach", ord_col: str = "ord") -> DataFrame:
     """The first person (by ``ord``) of each (group, period)."""

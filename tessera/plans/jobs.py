@@ -108,3 +108,15 @@ def run_training(spark: SparkSession, data_path: str, out_dir: str,
                             model_path=f"{d}/model", metrics_path=f"{d}/metrics",
                             predictions_path=f"{d}/predictions", pred_df_path=f"{d}/pred_df")
 
+
+def list_importances(spark: SparkSession, model_path: str, top: int = 25) -> DataFrame:
+    """The ``top`` features of a saved pipeline and their importances, largest first.
+
+    Opens the model only; no data are read.  A missing model raises.
+    """
+    from pyspark.ml import PipelineModel
+
+    from tessera.operators.model import feature_importance
+    if not tio.path_exists(spark, model_path):
+        raise FileNotFoundError(f"no model at {model_path}")
+    return feature_importance(PipelineModel.load(model_path), top)

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tessera.operators import boosting as bst
+from tessera.operators import encode as enc
 from tessera.operators import filters as flt
+from tessera.operators import model as mdl
 from tessera.operators import scan
+from tessera.operators import sketch as sk
+from tessera.operators import staffing as stf
 from tessera.plans import oracle as osql
+from tessera.plans.jobs import list_importances
 from tessera.plans.oracle import PANEL_CTES, with_ctes
-from tessera.plans.queries import CAREER_STATS, filled, pipeline_outputs, r6, sql_r6
+from tessera.plans.queries import (CAREER_STATS, TARGET, _features_of, filled, modelling_table, pipeline_outputs, r6, sql_r6,
+                                   staff_dedup)
 from tessera.plans.registry import REGISTRY, register
 from tessera.session import scratch_dir
 from tessera.sources import io as tio
@@ -145,3 +153,100 @@ def q_read_staffing_split(spark, sf):
     rows = staffing_rows(spark, sf).select(F.concat("Coach", F.lit('\n"'), "Tm", F.lit('"')).alias("Coach"), "Tm", "G", "Season")
     rows.write.partitionBy("Season").options(header=True, escape='"').csv(path)
     return _in_small_splits(spark, lambda: tio.read_staffing(spark, path, "*.csv", multi_line="split").select("Coach", "Tm", "G", "Season"))
+
+
+# ---------------------------------------------------------------- encoders, sketches, folds, a saved model, hot groups
+ENCODED = ["Pos", "Player", "Team"]
+
+
+@register("one_hot_sparse", with_ctes(PANEL_CTES, *[f"""
+d_{c} AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS at, count(*) OVER () AS n FROM (SELECT DISTINCT {c} FROM panel WHERE {c} IS NOT NULL))"""
+    for c in ENCODED], body="""
+SELECT p.id, p.season_start, p.Team, CAST(2 + (SELECT count(*) FROM d_Pos) + (SELECT count(*) FROM d_Player) + (SELECT count(*) FROM d_Team) AS INTEGER) AS size,
+  concat_ws(',', 2 + a.at, 2 + (SELECT count(*) FROM d_Pos) + b.at,
+    2 + (SELECT count(*) FROM d_Pos) + (SELECT count(*) FROM d_Player) + c.at) AS hot, p.G AS first_value
+FROM panel p LEFT JOIN d_Pos a USING (Pos) LEFT JOIN d_Player b USING (Player) LEFT JOIN d_Team c ON c.Team = p.Team"""))
+def q_one_hot_sparse(spark, sf):
+    """Sparse vectors of two numeric and three text columns, one of which has as many categories as there are customers, unpacked again."""
+    panel = stored_panel(spark, sf)
+    out = enc.sparse_one_hot(panel, ENCODED, numeric=["G", "season_start"])
+    x = vector_to_array("features")
+    hot = F.transform(F.filter(F.sequence(F.lit(2), F.size("x") - 1), lambda i: F.get(F.col("x"), i) == 1.0), lambda i: i.cast("string"))
+    return out.withColumn("x", x).select("id", "season_start", "Team", F.size("x").alias("size"), F.array_join(hot, ",").alias("hot"),
+                                         F.col("x")[0].alias("first_value"))
+
+
+SKETCHED = ["Age", "G", "FTA", "PTS"]
+
+
+@register("approximate_medians", with_ctes(PANEL_CTES, body=" UNION ALL ".join(
+    f"SELECT '{c}' AS col, count({c}) AS n, true AS within FROM panel" for c in SKETCHED)))
+def q_approximate_medians(spark, sf):
+    """Medians from sketches of each season merged into one: their ranks, counted over all rows, are within the stated error."""
+    panel, k = stored_panel(spark, sf), 512
+    whole = sk.merge_sketches(sk.quantile_sketches(panel, SKETCHED, ["season_start"], k), SKETCHED)
+    mid = whole.select(*[sk.sketch_quantile(c, 0.5).alias(f"m_{c}") for c in SKETCHED], *[sk.sketch_count(c).alias(f"n_{c}") for c in SKETCHED])
+    ranks = panel.crossJoin(F.broadcast(mid)).groupBy(*mid.columns).agg(*[e for c in SKETCHED for e in (
+        F.count_if(F.col(c) < F.col(f"m_{c}")).alias(f"b_{c}"), F.count_if(F.col(c) <= F.col(f"m_{c}")).alias(f"u_{c}"))])
+    off = lambda c: F.greatest(F.col(f"b_{c}") - F.col(f"n_{c}") / 2, F.col(f"n_{c}") / 2 - F.col(f"u_{c}"), F.lit(0.0))
+    rows = F.array(*[F.struct(F.lit(c).alias("col"), F.col(f"n_{c}").alias("n"),
+                              (off(c) <= 2 * sk.rank_error(k) * F.col(f"n_{c}")).alias("within")) for c in SKETCHED])
+    return ranks.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _equal_fold_sql() -> str:
+    from tessera.plans.queries import _fold_sql
+    mixed = _fold_sql().removeprefix("CAST((").removesuffix(") % 5 AS INTEGER)")
+    return f"CAST((row_number() OVER (ORDER BY {mixed}, id NULLS FIRST, season_start NULLS FIRST, Team NULLS FIRST, ord) - 1) % 5 AS INTEGER)"
+
+
+@register("assign_equal_folds", with_ctes(PANEL_CTES, body=f"SELECT p.*, {_equal_fold_sql()} AS fold FROM panel p"))
+def q_assign_equal_folds(spark, sf):
+    """Folds whose sizes differ by one at most."""
+    return mdl.assign_folds(season_panel(spark, sf), ["id", "season_start"], 5, 42, method="arith", equal=True, ties=["Team", "ord"])
+
+
+@register("staff_summary_split", REGISTRY["staff_summary"].sql)
+def q_staff_summary_split(spark, sf):
+    return stf.staff_summary_split(staff_dedup(spark, sf), block=16)
+
+
+@register("staff_summary_hot", with_ctes(osql.STAFF_CTES, body="""
+SELECT Tm, 'all' AS Season, md5(string_agg(Coach, ', ' ORDER BY Season, k, Coach, ls)) AS digest FROM (
+  SELECT CASE WHEN Tm < '3' THEN 'hot' ELSE Tm END AS Tm, Season, k, Coach, ls FROM staff) GROUP BY Tm"""))
+def q_staff_summary_hot(spark, sf):
+    """The same of groups of which one holds two fifths of all rows."""
+    rows = staff_dedup(spark, sf).select(F.when(F.col("Tm") < "3", "hot").otherwise(F.col("Tm")).alias("Tm"), F.lit("all").alias("Season"),
+                                         "Coach", F.struct("Season", "ord").alias("ord"))
+    return stf.staff_summary_split(rows, block=256).select("Tm", "Season", F.md5("Coaches").alias("digest"))
+
+
+SAVED = dict(trees=8, depth=3, rate=0.3)
+
+
+@register("saved_model", f"""
+SELECT id, season_start, {TARGET}, true AS alike, true AS metrics_alike FROM ({REGISTRY["feature_pipeline"].sql})""")
+def q_saved_model(spark, sf):
+    """A fitted pipeline and its metrics, saved and loaded again: every prediction and metric is the same."""
+    data = modelling_table(spark, sf)
+    model = bst.boosted_pipeline(data, _features_of(data), TARGET, **SAVED).fit(data.where(F.col(TARGET).isNotNull()))
+    found = mdl.regression_metrics(model.transform(data), TARGET).first().asDict()
+    path = scratch_dir(spark, "saved")
+    mdl.save_model_and_metrics(model, found, f"{path}/model", f"{path}/metrics")
+    again = PipelineModel.load(f"{path}/model").transform(model.transform(data).withColumnsRenamed(
+        {"prediction": "before", "features": "features_before"}))
+    read = spark.read.schema("mae double, n_rows double, r2 double, rmse double").json(f"{path}/metrics").first().asDict()
+    same = all(float(found[k]) == read[k] for k in read)
+    return again.select("id", "season_start", TARGET, F.col("prediction").eqNullSafe(F.col("before")).alias("alike"),
+                        F.lit(same).alias("metrics_alike"))
+
+
+@register("loaded_model_importance", REGISTRY["feature_importance"].sql)
+def q_loaded_model_importance(spark, sf):
+    """The importances that a job lists which knows only where the fitted pipeline was saved."""
+    data = modelling_table(spark, sf)
+    path = scratch_dir(spark, "saved")
+    bst.boosted_pipeline(data, _features_of(data), TARGET, **SAVED).fit(data.where(F.col(TARGET).isNotNull())).write().save(path)
+    imp = list_importances(spark, path, len(data.columns) * 20)
+    total = imp.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+    return imp.crossJoin(F.broadcast(total)).select("feature", (F.col("importance") >= 0).alias("in_order"), "sums_to_one")
