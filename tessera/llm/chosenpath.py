@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, read_table, saved, text_key
+from tessera.llm.common import discard, read_table, saved, sized, text_key
 from tessera.llm.components import connected_components
 
 #: Words of a shingle, and the similarity of a link in percent.
@@ -19,11 +19,13 @@ SHINGLE, PERCENT = 3, 85
 #: Minwise tokens of a set.
 TOKENS = 64
 #: Trees of each round.  A round begins with the components of the rounds before and skips nodes that lie in one.
-TREES = (2, 14)
-#: Members of a pivot's group.
+TREES = (2, 8)
+#: Members of a pivot's group, on average at most.
 LOT = 64
 #: Members of a node that are compared with each other; a larger node branches on.
 LEAF = 512
+#: A node of so many members is compared, too, if their sets have so many items together.
+LARGE_LEAF, LEAF_ITEMS = 4096, 1 << 22
 #: A node's branching factor, in percent of one: below the similarity, so that a similar pair's chance to stay together doesn't fade with depth.
 BRANCH = 75
 #: Levels that a large node's rows go down at once: as many as halve it to a leaf, so many at most.
@@ -98,27 +100,26 @@ def branches(nodes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def first_nodes(sets: DataFrame, trees: list[int]) -> DataFrame:
-    """(node, key, label): every set in its child of each tree's root, which names the token at the tree's own place."""
+    """(node, key, label, n): every set in its child of each tree's root, which names the token at the tree's own place."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = np.stack([np.frombuffer(t, np.uint32) for t in batch.column(2).to_pylist()])
+            tokens = np.stack([np.frombuffer(t, np.uint32) for t in batch.column(3).to_pylist()])
             for tree in trees:
                 child = (tokens[:, 37 * tree % tokens.shape[1]] + (np.uint64(tree + 1) << np.uint64(32))) * _FOLD
                 child = (child ^ (child >> np.uint64(29))) * _MIX
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column(0), batch.column(1)],
-                                                 ["node", "key", "label"])
-    return sets.select("key", "label", "tokens").mapInArrow(run, "node long, key binary, label binary")
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *batch.columns[:3]], ["node", "key", "label", "n"])
+    return sets.select("key", "label", "n", "tokens").mapInArrow(run, "node long, key binary, label long, n long")
 
 
 def next_nodes(rows: DataFrame) -> DataFrame:
-    """(node, key, label): the nodes that the rows of (node, steps, key, label, tokens) choose so many levels below theirs."""
+    """(node, key, label, n): the nodes that the rows of (node, steps, key, label, n, tokens) choose so many levels below theirs."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = np.stack([np.frombuffer(t, np.uint32) for t in batch.column(4).to_pylist()])
+            tokens = np.stack([np.frombuffer(t, np.uint32) for t in batch.column(5).to_pylist()])
             nodes, steps = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             nodes, at = nodes.view(np.uint64), np.arange(len(nodes))
             for step in range(1, STEPS + 1):
@@ -126,27 +127,34 @@ def next_nodes(rows: DataFrame) -> DataFrame:
                 at = at[row]
                 there = steps[at] == step
                 take = pa.array(at[there])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[there].view(np.int64)), batch.column(2).take(take), batch.column(3).take(take)],
-                                                 ["node", "key", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[there].view(np.int64)), *(batch.column(i).take(take) for i in (2, 3, 4))],
+                                                 ["node", "key", "label", "n"])
                 nodes, at = nodes[~there], at[~there]
-    return rows.select("node", "steps", "key", "label", "tokens").mapInArrow(run, "node long, key binary, label binary")
+    return rows.select("node", "steps", "key", "label", "n", "tokens").mapInArrow(run, "node long, key binary, label long, n long")
 
 
 def crowded(rows: DataFrame) -> DataFrame:
-    """``rows`` of (node, key, label) with ``size``, the node's members, without nodes whose members are known to be connected.
+    """``rows`` of (node, key, label, n) with ``size``, the node's members, and ``leaf``, whether they are compared whole.
 
-    The sizes are combined before the shuffle and written, so that the join
-    back is a plain one, of which AQE splits a large node's part.
+    Nodes whose members are known to be connected are left out.  The sizes are
+    combined before the shuffle and written, so that the join back is a plain
+    one, of which AQE splits a large node's part.
     """
     rows = saved(rows, "paths")
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    sizes = saved(sizes.where("lo <> hi").select("node", "size"), "sizes")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("items"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    leaf = (F.col("size") <= LEAF) | (F.col("size") <= LARGE_LEAF) & (F.col("items") <= LEAF_ITEMS)
+    sizes = saved(sizes.where("lo <> hi").select("node", "size", leaf.alias("leaf")), "sizes")
     out = saved(rows.join(sizes, "node"), "nodes")
     discard(rows)
     discard(sizes)
     return out
 
 
+def with_tokens(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The saved ``nodes`` with each member's tokens; few rows go to the sets, not the sets to them."""
+    return sets.select("key", "tokens").join(sized(nodes, 96), "key")
+
+
 def may_link(tokens: np.ndarray, sizes: np.ndarray, one: int, percent: int) -> np.ndarray:
     """Which sets have a size and minwise tokens that don't speak against a link with set ``one``."""
     places, share = tokens.shape[1], percent / 100
@@ -163,15 +171,14 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def leaf_groups(small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(group, key): of each small node the members that may be similar to one of another label, by connected groups.
+def leaf_groups(small: DataFrame, percent: int) -> DataFrame:
+    """(group, key): of each leaf the members that may be similar to one of another label, by connected groups.
 
     All members of a node are compared with each other, by size and tokens.
     The same group found in several nodes comes once.
     """
     member = F.struct("key", "label", "n", "tokens")
-    nodes = small.drop("label").join(sets.select("key", "label", "n", "tokens"), "key").groupBy("node").agg(
-        F.collect_list(member).alias("members"))  # LEAF at most
+    nodes = small.groupBy("node").agg(F.collect_list(member).alias("members"))  # LARGE_LEAF at most
 
     def run(batches):
         for batch in batches:
@@ -200,13 +207,13 @@ def leaf_groups(small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.select(F.xxhash64("keys").alias("group"), F.explode("keys").alias("key"))
 
 
-def set_rows(docs: DataFrame, signed: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+def set_rows(docs: DataFrame, sets: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(key, items) of the wanted keys: the whole sets, built again from one text each."""
-    one = signed.join(wanted.select("key").distinct(), "key").groupBy("key").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
-    one = saved(one.select("key", "one.doc_id", "one.text_key"), "chosen")
+    one = saved(sets.join(wanted, "key").select("key", "one.doc_id", "one.text_key"), "chosen")
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long"), text_key(text), text).toDF("id", "tk", "text")
-    rows = texts.join(one, (F.col("tk") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("doc_id"))).select("key", "text")
+    same = (F.col("tk") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("doc_id"))
+    rows = texts.join(sized(one, 128), same).select("key", "text")  # no text moves where the keys are few
 
     def run(batches):
         for batch in batches:
@@ -217,11 +224,12 @@ def set_rows(docs: DataFrame, signed: DataFrame, wanted: DataFrame, id_col: str,
     return out
 
 
-def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v) links among each group's members (LEAF at most, or a pivot and LOT): a spanning set of all pairs whose whole sets are similar.
+def confirmed(groups: DataFrame, sets: DataFrame, percent: int, places: int) -> DataFrame:
+    """(u, v) links among each group's members: a spanning set of all pairs whose whole sets are similar.
 
     A pair that earlier links of the group connect already is not compared.
     """
+    perms = _permutations(places)
     rows = groups.join(sets, "key").groupBy("group").agg(F.collect_list(F.struct("key", "items")).alias("members"))
 
     def run(batches):
@@ -229,71 +237,62 @@ def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out = []
             for members in batch.column(0).to_pylist():
                 items = [np.frombuffer(m["items"], np.uint64) for m in members]
-                root = list(range(len(items)))
+                tokens = np.stack([minwise(x, perms) for x in items])
+                sizes, root = np.array([len(x) for x in items]), np.arange(len(items))
                 for i in range(len(items)):
-                    for j in range(i + 1, len(items)):
-                        few, many = sorted((len(items[i]), len(items[j])))
-                        if root[i] != root[j] and 100 * few >= percent * many and similar(items[i], items[j], percent):
+                    for j in np.flatnonzero(may_link(tokens, sizes, i, percent) & (root != root[i])).tolist():
+                        if root[i] != root[j] and similar(items[i], items[j], percent):
                             out.append((members[i]["key"], members[j]["key"]))
-                            old, new = root[j], root[i]
-                            root = [new if r == old else r for r in root]
+                            root[root == root[j]] = root[i]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["u", "v"])
     return rows.select("members").mapInArrow(run, "u binary, v binary")
 
 
-def pivot_pairs(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """(p_key, key): each large node's pivot and the members of another label that may be similar to it."""
+def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """(group, key): each large node's pivot, with the members of another label that may be similar to it in lots."""
     rows = large.join(pivots, "node").where(F.col("label") != F.col("p_label")).select(
-        "key", "n", "tokens", "p_key", "p_n", "p_tokens")
+        "node", "size", "key", "n", "tokens", "p_key", "p_n", "p_tokens")
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n, pn = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 4))
-            own, other = (np.stack([np.frombuffer(t, np.uint32) for t in batch.column(i).to_pylist()]) for i in (2, 5))
+            n, pn = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 6))
+            own, other = (np.stack([np.frombuffer(t, np.uint32) for t in batch.column(i).to_pylist()]) for i in (4, 7))
             share, places = percent / 100, own.shape[1]
             least = share * places - DEVIATIONS * (share * (1 - share) * places) ** 0.5
             fit = (100 * np.minimum(n, pn) >= percent * np.maximum(n, pn)) & ((own == other).sum(axis=1) >= least)
             at = pa.array(np.flatnonzero(fit))
-            yield pa.RecordBatch.from_arrays([batch.column(3).take(at), batch.column(0).take(at)], ["p_key", "key"])
-    return rows.mapInArrow(run, "p_key binary, key binary").distinct()
-
+            yield pa.RecordBatch.from_arrays([batch.column(i).take(at) for i in (0, 1, 5, 2)], ["node", "size", "p_key", "key"])
+    near = rows.mapInArrow(run, "node long, size long, p_key binary, key binary")
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / LOT))  # the node's size bounds the number of its lots' members
+    lots = near.groupBy("node", "p_key", part.alias("part")).agg(F.collect_list("key").alias("keys"))
+    return lots.select(F.xxhash64("node", "part").alias("group"), F.explode(F.concat(F.array("p_key"), "keys")).alias("key"))
 
-def pivot_groups(near: DataFrame) -> DataFrame:
-    """(group, key): each pivot of the saved pairs with up to LOT members at a time."""
-    counts = near.groupBy("p_key").agg(F.count("*").alias("n"))
-    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("n") * 2 / LOT))
-    lots = near.join(counts, "p_key").groupBy("p_key", part.alias("part")).agg(F.collect_list("key").alias("keys"))
-    # A lot of more than LOT members, which chance may make, is cut into several.
-    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size("keys") - 1) / LOT).cast("int")),
-                       lambda i: F.concat(F.array("p_key"), F.slice("keys", i * LOT + 1, LOT)))
-    rows = lots.select("p_key", "part", F.posexplode(cuts).alias("cut", "keys"))
-    return rows.select(F.xxhash64("p_key", "part", "cut").alias("group"), F.explode("keys").alias("key"))
 
-
-def round_links(docs: DataFrame, signed: DataFrame, sets: DataFrame, trees: list[int], percent: int, id_col: str, text_col: str,
-                shingle: int) -> list[DataFrame]:
+def round_links(docs: DataFrame, sets: DataFrame, trees: list[int], percent: int, id_col: str, text_col: str,
+                shingle: int, places: int = TOKENS) -> list[DataFrame]:
     """Tables of (u, v) links that some trees find between sets of different labels."""
-    nodes, out = crowded(first_nodes(sets, trees)), []
+    nodes, out, known, whole = crowded(first_nodes(sets.withColumn("label", F.xxhash64("label")), trees)), [], None, []
     while not nodes.isEmpty():
-        groups = leaf_groups(nodes.where(F.col("size") <= LEAF), sets, percent)
-        large = nodes.where(F.col("size") > LEAF)
-        large = None if large.isEmpty() else saved(large.join(sets.select("key", "n", "tokens"), "key"), "large")
+        members = with_tokens(nodes, sets)
+        groups, large = leaf_groups(members.where("leaf"), percent), members.where("not leaf")
+        large = None if nodes.where("not leaf").isEmpty() else large
         if large is not None:
             chosen = F.min_by(F.struct("key", "label", "n", "tokens"), F.xxhash64("node", "key"))
             pivots = large.groupBy("node").agg(chosen.alias("p"))
             pivots = saved(pivots.select("node", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("key", "label", "n", "tokens")]), "pivots")
-            near = saved(pivot_pairs(large, pivots, percent), "near-pivot")
-            groups = groups.union(pivot_groups(near))
+            groups = groups.union(pivot_groups(large, pivots, percent))
         groups, links = saved(groups, "groups"), None
         if not groups.isEmpty():
-            whole = set_rows(docs, signed, groups, id_col, text_col, shingle)
-            links = saved(confirmed(groups, whole, percent), "links")
+            wanted = groups.select("key").distinct()  # sets that an earlier level has built are read again
+            wanted = wanted if known is None else wanted.join(known.select("key"), "key", "left_anti")
+            more = set_rows(docs, sets, wanted, id_col, text_col, shingle)
+            whole.append(more)
+            known = more if known is None else known.union(more)
+            links = saved(confirmed(groups, known, percent, places), "links")
             out.append(links)
-            discard(whole)
-        for used in (groups, nodes, *([] if large is None else [near])):
-            discard(used)
+        discard(groups)
         if large is None:
             break
         rest = large.join(pivots.select("node", "p_key", "p_label"), "node").where(F.col("key") != F.col("p_key"))
@@ -301,10 +300,13 @@ def round_links(docs: DataFrame, signed: DataFrame, sets: DataFrame, trees: list
             linked = links.union(links.select("v", "u")).distinct().toDF("p_key", "key").withColumn("near", F.lit(True))
             rest = rest.join(linked, ["p_key", "key"], "left").withColumn(
                 "label", F.when(F.col("near"), F.col("p_label")).otherwise(F.col("label")))
-        steps = F.least(F.lit(STEPS), F.ceil(F.log2(F.col("size") / LEAF)).cast("int"))
-        nodes = crowded(next_nodes(rest.withColumn("steps", steps)))
-        for used in (large, pivots):
+        steps = F.least(F.lit(STEPS), F.greatest(F.lit(1), F.ceil(F.log2(F.col("size") / LEAF)).cast("int")))
+        below = crowded(next_nodes(rest.withColumn("steps", steps)))
+        for used in (nodes, pivots):
             discard(used)
+        nodes = below
+    for used in (nodes, *whole):
+        discard(used)
     return out
 
 
@@ -322,9 +324,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     The trees are independent.  One keeps a pair of just the least similarity
     together with a chance of 0.85 below the root, 0.6 two, 0.4 four and 0.3
-    eight levels down, so 16 trees miss one among small nodes with a chance
-    below 1e-10, and with 0.003 one that meets eight levels down only, whose
-    sets are linked in many ways.  Every link is confirmed on the whole sets.
+    eight levels down.  So ten trees miss a pair that meets in leaves below the
+    roots, where nearly all do, with a chance below 1e-8, one that meets two
+    levels down only with 1e-4, and with 0.03 one of which all common tokens are so
+    frequent that it meets eight levels down only.  Every link is confirmed on the whole sets.
 
     NULL and empty texts have an empty set, size 0, and link with nothing.
     Words are what lies between ASCII white space, A-Z lowered; a text of fewer
@@ -334,11 +337,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     result.  A very long text's set is held whole by its task.
     """
     signed = saved(signatures(docs, id_col, text_col, shingle, tokens), "signatures")
-    sets = signed.where("key is not null").groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    sets = signed.where("key is not null").groupBy("key").agg(F.min("n").alias("n"), F.min("tokens").alias("tokens"),
+                                                              F.min(F.struct("doc_id", "text_key")).alias("one"))
     sets, found, first = saved(sets.withColumn("label", F.col("key")), "distinct-sets"), [], 0
     roots = None
     for n in trees:
-        found += round_links(docs, signed, sets, list(range(first, first + n)), percent, id_col, text_col, shingle)
+        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle, tokens)
         first += n
         if not found:
             continue
@@ -348,7 +352,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = saved(connected_components(links), "roots")
         if first < sum(trees):
             labelled = sets.drop("label").join(roots.withColumnRenamed("node", "key"), "key", "left")
-            new = saved(labelled.select("key", "n", "tokens", F.coalesce("root", "key").alias("label")), "distinct-sets")
+            new = saved(labelled.select("key", "n", "tokens", "one", F.coalesce("root", "key").alias("label")), "distinct-sets")
             discard(sets)
             sets = new
     rows = signed.select("doc_id", "n", "key")

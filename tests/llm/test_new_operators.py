@@ -73,17 +73,19 @@ def test_near_duplicates_equal_all_pairs(spark):
 
 
 def test_a_large_group_is_split_and_not_listed(spark, monkeypatch):
-    monkeypatch.setattr(chosenpath, "LEAF", 8)
+    monkeypatch.setattr(chosenpath, "LEAF", 16)
+    monkeypatch.setattr(chosenpath, "LARGE_LEAF", 16)
     monkeypatch.setattr(chosenpath, "LOT", 8)
     rng = random.Random(4)
     base, line = prose(rng, 300, 9000), prose(rng, 40, 9000)
     rows = [(i, edited(rng, base, 3)) for i in range(150)] + [(1000 + i, line + " " + prose(rng, 25, 9000)) for i in range(150)]
     rows += [(2000 + i, rows[150 + i][1] + " x") for i in range(30)]
     docs = docs_of(spark, [t for _, t in rows], [d for d, _ in rows])
-    got = chosenpath.near_duplicates(docs, trees=(2, 22)).collect()
+    got = chosenpath.near_duplicates(docs, trees=(2, 14)).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == slow_components(rows)
-    signed = chosenpath.signatures(docs, "doc_id", "text", 3, 64)
-    links = chosenpath.round_links(docs, signed, signed.withColumn("label", F.col("key")), [0, 1], 85, "doc_id", "text", 3)
+    sets = chosenpath.signatures(docs, "doc_id", "text", 3, 64).withColumns(
+        {"label": F.col("key"), "one": F.struct("doc_id", "text_key")}).dropDuplicates(["key"])
+    links = chosenpath.round_links(docs, sets, [0, 1], 85, "doc_id", "text", 3)
     assert sum(x.count() for x in links) < 8 * len(rows)
 
 
