@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import columns, discard, saved
+from tessera.llm.common import discard, packed, saved
 from tessera.llm.components import connected_components
 
 SEED = 42
@@ -105,35 +105,41 @@ def close_links(fps: DataFrame, max_distance: int = 2, bucket: int = 4096) -> Da
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    max_distance: int = 2, bucket: int = 4096) -> DataFrame:
-    """(id, fp, component_id): every row's fingerprint and the smallest id reachable over close fingerprints.
+    """(id, fp, component_id, root, text_hash): every row's fingerprint and the smallest id reachable over close fingerprints.
 
-    Null and empty texts have fingerprint zero and link like any other.  A NULL
+    ``root`` names the component itself: two components may have the same
+    smallest id where an id names several texts.  Null and empty texts have fingerprint zero and link like any other.  A NULL
     id keeps its row, never names a component unless its whole component has
     none (then ``component_id`` is NULL).  Repeated rows stay repeated.  Equal
     fingerprints collapse to one node by a grouped minimum, so a group of
     copies costs one row from there on.
     """
-    rows = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"))
+    rows = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"),
+                       F.xxhash64(F.col(text_col)).alias("text_hash"))
     rows = saved(rows, "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("low"))
     roots = connected_components(close_links(nodes.select("fp"), max_distance, bucket))
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     nodes = saved(nodes.select("fp", "low", F.coalesce("root", "fp").alias("root")), "nodes")
     lows = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(nodes.join(lows, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+    return rows.join(nodes.join(lows, "root").select("fp", "root", "component_id"), "fp").select(
+        "id", "fp", "component_id", "root", "text_hash")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
              max_distance: int = 2) -> DataFrame:
-    """``docs`` with one row left of each group: that of the smallest id.
+    """``docs`` with one row left of each group: that of the smallest id, and of that id's texts that of the least hash.
 
-    Of rows that repeat that id one stays.  Rows with a NULL id always stay,
-    since no decision can name them.
+    Decisions name rows, not ids: an id that stays with one text may go with
+    another.  Of rows that repeat both, the least one stays, by its columns as
+    JSON.  Rows with a NULL id always stay, since no decision can name them.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, max_distance)
-    keep = groups.where(F.col("id") == F.col("component_id")).select(F.col("id").alias(id_col)).distinct()
-    one = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return one.select(columns(docs)).union(docs.where(F.col(id_col).isNull()))
+    groups = simhash_groups(docs, id_col, text_col, shingle, max_distance).where("id is not null")
+    keep = groups.groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("k")).select("k.id", "k.text_hash")
+    rows = docs.select(packed(docs), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    rows = rows.join(keep, ["id", "text_hash"], "left_semi")
+    one = rows.groupBy("id", "text_hash").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
+    return one.union(docs.where(F.col(id_col).isNull()))
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm import DOCS, docs_of, prose, roots, with_clash, words
 
-from tessera.llm import chosenpath, resample, runs
+from tessera.llm import chosenpath, passages, resample, runs, simhash
 from tessera.llm.queries import QUERIES, SQL
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -267,3 +267,17 @@ def test_near_duplicate_query_reads_whole_tables(spark, tmp_path):
     docs_of(spark, [t for _, t in rows], [d for d, _ in rows]).write.parquet(f"{tmp_path}/documents.parquet")
     got = QUERIES["op11_minhash"](spark, str(tmp_path)).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == slow_components(rows)
+
+
+# ids that name several texts -----------------------------------------------------------------------
+
+def test_stages_lose_no_text_of_ids_that_name_several(spark):
+    rng = random.Random(21)
+    a, b, c, d, p = (prose(rng, 90, 4000) for _ in range(5))
+    docs = docs_of(spark, [a, a, b, b, None], [1, 5, 5, 5, None])
+    got = Counter((r.doc_id, r.text) for r in simhash.keep_one(with_clash(docs)).collect())
+    assert got == Counter([(1, a), (5, b), (None, None)])
+    assert Counter((r.doc_id, r.text) for r in simhash.keep_one(docs_of(spark, [c, d, c], [5, 5, 7])).collect()) == Counter([(5, c), (5, d)])
+    rows = [(1, p + " x"), (2, p + " y"), (2, c + " " + d), (3, p + " z"), (4, a)]
+    got = {r.text for r in passages.remove_repeats(docs_of(spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
+    assert c + " " + d in got and p + " y" in got and p + " x" in got and a in got and not any(p in t and t.endswith("z") for t in got)
