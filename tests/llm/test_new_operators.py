@@ -281,3 +281,23 @@ def test_stages_lose_no_text_of_ids_that_name_several(spark):
     rows = [(1, p + " x"), (2, p + " y"), (2, c + " " + d), (3, p + " z"), (4, a)]
     got = {r.text for r in passages.remove_repeats(docs_of(spark, [t for _, t in rows], [i for i, _ in rows])).collect()}
     assert c + " " + d in got and p + " y" in got and p + " x" in got and a in got and not any(p in t and t.endswith("z") for t in got)
+
+
+def test_anchors_left_out_never_align():
+    rng, left_out, aligned = random.Random(31), 0, 0
+    for _ in range(3000):
+        vocabulary = rng.choice([30, 400, 10 ** 6])
+        passage = [rng.randrange(vocabulary) for _ in range(rng.randrange(10, 80))]
+        other, at = list(passage), rng.randrange(len(passage) - 9)
+        for _ in range(rng.randrange(8)):
+            k = rng.randrange(len(other))
+            if not at <= k < at + 10:
+                other[k] = rng.randrange(vocabulary)
+        a, b = ([rng.randrange(vocabulary) for _ in range(rng.randrange(60))] for _ in range(2))
+        x, y = (np.array(s + p + [rng.randrange(vocabulary) for _ in range(rng.randrange(60))], np.uint32) for s, p in ((a, passage), (b, other)))
+        place = (len(a) + at, len(b) + at)
+        gone = bool(passages.hopeless([(x, y, *place)], 50)[0])
+        found = passages.align(x, y, [place])
+        assert not (gone and found)
+        left_out, aligned = left_out + gone, aligned + bool(found)
+    assert left_out > 300 and aligned > 300
