@@ -25,7 +25,7 @@ LOT = 64
 #: Members of a node that are compared with each other; a larger node branches on.
 LEAF = 512
 #: A node of so many members is compared, too, if their sets have so many items together.
-LARGE_LEAF, LEAF_ITEMS = 4096, 1 << 22
+LARGE_LEAF, LEAF_ITEMS = 2048, 1 << 21
 #: A node's branching factor, in percent of one: below the similarity, so that a similar pair's chance to stay together doesn't fade with depth.
 BRANCH = 75
 #: Levels that a large node's rows go down at once: as many as halve it to a leaf, so many at most.
@@ -163,12 +163,32 @@ def may_link(tokens: np.ndarray, sizes: np.ndarray, one: int, percent: int) -> n
     return fit & ((tokens == tokens[one]).sum(axis=1) >= least)
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """100 * intersection >= percent * union, for sorted distinct items."""
-    both = np.concatenate([a, b])
-    both.sort()
-    common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= percent * (len(both) - common)
+def spanning_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (i, j) that connect the sets of distinct items exactly as all similar pairs would.
+
+    Similar is 100 * intersection >= percent * union.  A set's intersections
+    with all others are counted at once, over the members that hold its items;
+    sets that are connected already make no further link.
+    """
+    sizes, root, out = np.array([len(x) for x in items]), np.arange(len(items)), []
+    owner = np.repeat(np.arange(len(items)), sizes)
+    _, item = np.unique(np.concatenate(items), return_inverse=True)
+    order = np.argsort(item, kind="stable")
+    holders, first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(item))])
+    ends = np.cumsum(sizes)
+    for i in range(len(items) - 1):
+        if (root == root[0]).all():
+            break
+        own = item[ends[i] - sizes[i]:ends[i]]
+        lengths = first[own + 1] - first[own]
+        at = np.arange(lengths.sum()) + np.repeat(first[own] - np.cumsum(lengths) + lengths, lengths)
+        common = np.bincount(holders[at], minlength=len(items))
+        close = (100 * common >= percent * (sizes + sizes[i] - common)) & (root != root[i])
+        for j in np.flatnonzero(close).tolist():
+            if root[j] != root[i]:
+                out.append((i, j))
+                root[root == root[j]] = root[i]
+    return out
 
 
 def leaf_groups(small: DataFrame, percent: int) -> DataFrame:
@@ -224,26 +244,16 @@ def set_rows(docs: DataFrame, sets: DataFrame, wanted: DataFrame, id_col: str, t
     return out
 
 
-def confirmed(groups: DataFrame, sets: DataFrame, percent: int, places: int) -> DataFrame:
-    """(u, v) links among each group's members: a spanning set of all pairs whose whole sets are similar.
-
-    A pair that earlier links of the group connect already is not compared.
-    """
-    perms = _permutations(places)
+def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v) links among each group's members: a spanning set of all pairs whose whole sets are similar."""
     rows = groups.join(sets, "key").groupBy("group").agg(F.collect_list(F.struct("key", "items")).alias("members"))
 
     def run(batches):
         for batch in batches:
             out = []
             for members in batch.column(0).to_pylist():
-                items = [np.frombuffer(m["items"], np.uint64) for m in members]
-                tokens = np.stack([minwise(x, perms) for x in items])
-                sizes, root = np.array([len(x) for x in items]), np.arange(len(items))
-                for i in range(len(items)):
-                    for j in np.flatnonzero(may_link(tokens, sizes, i, percent) & (root != root[i])).tolist():
-                        if root[i] != root[j] and similar(items[i], items[j], percent):
-                            out.append((members[i]["key"], members[j]["key"]))
-                            root[root == root[j]] = root[i]
+                links = spanning_links([np.frombuffer(m["items"], np.uint64) for m in members], percent)
+                out += [(members[i]["key"], members[j]["key"]) for i, j in links]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["u", "v"])
     return rows.select("members").mapInArrow(run, "u binary, v binary")
 
@@ -271,7 +281,7 @@ def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame
 
 
 def round_links(docs: DataFrame, sets: DataFrame, trees: list[int], percent: int, id_col: str, text_col: str,
-                shingle: int, places: int = TOKENS) -> list[DataFrame]:
+                shingle: int) -> list[DataFrame]:
     """Tables of (u, v) links that some trees find between sets of different labels."""
     nodes, out, known, whole = crowded(first_nodes(sets.withColumn("label", F.xxhash64("label")), trees)), [], None, []
     while not nodes.isEmpty():
@@ -290,7 +300,7 @@ def round_links(docs: DataFrame, sets: DataFrame, trees: list[int], percent: int
             more = set_rows(docs, sets, wanted, id_col, text_col, shingle)
             whole.append(more)
             known = more if known is None else known.union(more)
-            links = saved(confirmed(groups, known, percent, places), "links")
+            links = saved(confirmed(groups, known, percent), "links")
             out.append(links)
         discard(groups)
         if large is None:
@@ -342,7 +352,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets, found, first = saved(sets.withColumn("label", F.col("key")), "distinct-sets"), [], 0
     roots = None
     for n in trees:
-        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle, tokens)
+        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle)
         first += n
         if not found:
             continue

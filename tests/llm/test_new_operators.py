@@ -95,10 +95,15 @@ def test_near_duplicates_of_nothing(spark):
         (0, 0, 0, True), (1, 0, 1, True)]
 
 
-def test_the_bound_of_a_link_is_exact():
+def test_links_span_what_all_pairs_connect_and_their_bound_is_exact():
     full = np.arange(100, dtype=np.uint64)
-    assert chosenpath.similar(full, full[:85], 85) and not chosenpath.similar(full, full[:84], 85)
-    assert chosenpath.similar(full, full, 100)
+    assert chosenpath.spanning_links([full, full[:85]], 85) == [(0, 1)] and chosenpath.spanning_links([full, full[:84]], 85) == []
+    assert chosenpath.spanning_links([full], 85) == [] and chosenpath.spanning_links([full[:1], full[1:2]], 85) == []
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.choice(np.arange(60, dtype=np.uint64) + 50 * (k % 3), rng.integers(40, 61), replace=False)) for k in range(60)]
+    pairs = [(i, j) for j in range(60) for i in range(j) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))]
+    links = chosenpath.spanning_links(sets, 85)
+    assert roots(links) == roots(pairs) and set(map(tuple, map(sorted, links))) <= set(pairs) and len(links) < len(pairs)
 
 
 # importance resampling -----------------------------------------------------------------------------
