@@ -67,3 +67,20 @@ def sparse_one_hot(df: DataFrame, cols: Sequence[str], index: DataFrame | None =
     # The struct is the vector's own storage form; passing it through gives it the type.
     schema = T.StructType([T.StructField("row", out.schema["row"].dataType), T.StructField("vector", VectorUDT())])
     return out.mapInArrow(lambda batches: batches, schema).select("row.*", F.col("vector").alias(out_col))
+
+
+def sparse_entries(df: DataFrame, vector_col: str = "features") -> DataFrame:
+    """``df`` with the vectors as (size int, indices array<int>, values array<double>): what they store, in ascending order of the indices.
+
+    A row costs its stored values, not its vector's length; of a dense vector all are stored.
+    """
+    require_columns(df, [vector_col], "sparse_entries input")
+    # The vector's own storage form, the other way round than in sparse_one_hot; numbered columns, as mapInArrow takes no name with a dot.
+    fields = [T.StructField(f"c{i}", VectorUDT.sqlType() if f.name == vector_col else f.dataType) for i, f in enumerate(df.schema.fields)]
+    out = df.toDF(*[f.name for f in fields]).mapInArrow(lambda batches: batches, T.StructType(fields))
+    name = f"c{df.columns.index(vector_col)}"
+    v = F.col(name)
+    every = F.when(F.size(v["values"]) > 0, F.sequence(F.lit(0), F.size(v["values"]) - 1)).otherwise(F.array().cast("array<int>"))
+    entries = F.struct(F.coalesce(v["size"], F.size(v["values"])).alias("size"), F.coalesce(v["indices"], every).alias("indices"),
+                       v["values"].alias("values"))
+    return out.withColumn(name, F.when(v.isNotNull(), entries)).toDF(*df.columns)

@@ -5,8 +5,10 @@ import random
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import boosting as bst
 from tessera.operators import encode
@@ -26,6 +28,14 @@ def test_sparse_vectors_equal_one_hot_columns(spark):
     assert [[r[f"s_{v}"] for v in ("a", "b", "é")] for r in dense] == [r.features.toArray()[1:4].tolist() for r in out]
 
 
+def test_vectors_of_many_categories_are_unpacked_without_their_zeros(spark):
+    rows = [(1, Vectors.sparse(2_000_000_000, [0, 7, 1_999_999_999], [5.0, 1.0, 2.0])), (2, Vectors.dense([0.0, 3.0])), (3, None),
+            (4, Vectors.sparse(3, [], [])), (5, Vectors.dense([]))]
+    got = encode.sparse_entries(spark.createDataFrame(rows, T.StructType().add("id", "long").add("f.x", VectorUDT())), "f.x").sort("id").collect()
+    assert [r["f.x"] and tuple(r["f.x"]) for r in got] == [
+        (2_000_000_000, [0, 7, 1_999_999_999], [5.0, 1.0, 2.0]), (2, [0, 1], [0.0, 3.0]), None, (3, [], []), (0, [], [])]
+
+
 def test_unknown_categories_no_rows_and_no_columns(spark):
     df = spark.createDataFrame([("a", 1.0), ("z", 2.0)], "s string, x double")
     index = encode.category_index(df.where("s = 'a'"), ["s"])
