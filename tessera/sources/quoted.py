@@ -6,15 +6,19 @@ scan of quote parities tells which line breaks end a record:
 
 1. each split's quotes are counted (one small row a split), and a running sum
    over a file's splits tells whether a split begins inside quotes;
-2. every task then walks its own lines from that parity and joins the lines of
-   a record; only the pieces of records that a split border cuts, two a split
-   at most, are put together by a shuffle.
+2. every split's lines are then walked from that parity and the lines of a
+   record joined; what the walk finds is written once, and only the pieces of
+   records that a split border cuts, two a split at most, are put together by a
+   shuffle.
+
+A task takes several splits where they are small.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -27,12 +31,29 @@ from tessera.session import scratch_dir
 
 #: Largest size of a table that is broadcast, and of one of its rows.
 BROADCAST_BYTES, ROW_BYTES = 64 << 20, 512
+#: Bytes of splits that a task takes at least, as long as there are TASKS_A_CORE tasks for each core.
+TASK_BYTES, TASKS_A_CORE = 32 << 20, 4
 _PIECES = "file string, block long, row long, begins boolean, ends boolean, record string"
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes of a split at most."""
+    number, unit = re.match(r"\s*(\d+)\s*([kmgtp]?)", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+def by_few_tasks(df: DataFrame) -> DataFrame:
+    """``df`` as read, small splits side by side in a task: each stays whole and its rows in order."""
+    splits = max(1, TASK_BYTES // split_bytes(df.sparkSession))
+    if splits == 1:
+        return df
+    least = TASKS_A_CORE * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-df.rdd.getNumPartitions() // splits)))
+
+
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
     text = spark.read.options(lineSep="\n", ignoreCorruptFiles=True, ignoreMissingFiles=True).text(files)
-    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    return by_few_tasks(text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"))
 
 
 def split_parities(lines: DataFrame) -> DataFrame:
@@ -101,20 +122,13 @@ def split_records(spark: SparkSession, files: list[str]) -> DataFrame:
         known = known.join(unusual, ["file", "block"], "left").repartition("file", "block").sortWithinPartitions("file", "block", "id")
     known = known.select("file", "block", F.coalesce("inside", F.lit(False)).alias("inside"),
                          F.coalesce("whole", F.lit(True)).alias("whole"), "value")
-    whole = known.mapInArrow(walk, _PIECES).where("begins and ends").select("file", "block", "row", "record")
-
-    # Splits that hold a piece: those that begin inside quotes, and those before them.
-    following = Window.partitionBy("file").orderBy("block")
-    cut = parities.where("whole").withColumn("next", F.lead("inside").over(following)).where("inside or next").select("file", "block")
-    if cut.isEmpty():
+    path = scratch_dir(spark, "records")
+    known.mapInArrow(walk, _PIECES).write.parquet(path)
+    found = by_few_tasks(spark.read.schema(_PIECES).parquet(path))
+    whole = found.where("begins and ends").select("file", "block", "row", "record")
+    pieces = found.where("not (begins and ends)")
+    if pieces.isEmpty():
         return whole
-    # Only files that have such a split are read for pieces; the split's lines stay in order.
-    if cut.count() * ROW_BYTES <= BROADCAST_BYTES:
-        at_borders = known.join(F.broadcast(cut), ["file", "block"], "left_semi")
-    else:
-        at_borders = known.withColumn("id", F.monotonically_increasing_id()).join(cut, ["file", "block"], "left_semi").repartition(
-            "file", "block").sortWithinPartitions("file", "block", "id").drop("id")
-    pieces = at_borders.mapInArrow(walk, _PIECES).where("not (begins and ends)")
     order = Window.partitionBy("file").orderBy("block", "row")
     pieces = pieces.withColumn("nth", F.sum(F.col("begins").cast("int")).over(order))
     joined = pieces.groupBy("file", "nth").agg(F.array_sort(F.collect_list(F.struct("block", "row", "record"))).alias("p"))

@@ -75,6 +75,25 @@ def test_only_cut_records_are_shuffled(spark, tmp_path, splits):
     assert records.count() == 201 and records.where(F.col("record").contains("\n")).count() == 200
 
 
+def test_small_splits_share_tasks_and_are_walked_once(spark, tmp_path):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "61")
+    try:
+        path = write(tmp_path / "p.csv", "n,v\n" + "".join(f'{i},"a\n{i}"\n' for i in range(400)))
+        lines = quoted._lines(spark, [path])
+        most = quoted.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+        assert quoted.split_bytes(spark) == 61 and lines.select("file", "block").distinct().count() > 2 * most
+        assert lines.rdd.getNumPartitions() <= most
+        records = quoted.split_records(spark, [path])
+        assert records.count() == 401 and "mapinarrow" not in records._jdf.queryExecution().toString().lower()
+        for text, size in (("16384", 1 << 14), ("1m", 1 << 20), ("134217728b", 1 << 27), ("2GB", 1 << 31)):
+            spark.conf.set(name, text)
+            assert quoted.split_bytes(spark) == size
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_seasons_and_staffing_as_one_task_a_file_reads_them(spark, tmp_path, splits):
     write(tmp_path / "s/98_99/players.csv", 'Player-additional,Player,G,Age\na1,"A\nB",5,NA\nb1,"C, ""D""",7x,30\n')
     write(tmp_path / "s/99_00/players.csv", 'Age,Player-additional,extra,Player\n31,a1,"x\ny","A\nB"\n')
