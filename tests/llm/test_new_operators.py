@@ -306,3 +306,32 @@ def test_anchors_left_out_never_align():
         assert not (gone and found)
         left_out, aligned = left_out + gone, aligned + bool(found)
     assert left_out > 300 and aligned > 300
+
+
+def test_an_edited_passage_is_found_though_all_its_seeds_are_frequent(spark):
+    """Before, a seed of more than FEW places was tried on a few of them only, however many turns there were."""
+    rng = random.Random(31)
+    plain = lambda n: [f"u{rng.randrange(10 ** 9)}" for _ in range(n)]
+    first, second, n = plain(30), plain(29), 3 * passages.FEW
+    texts = [[*plain(40), *first, *plain(30), *second, *plain(40)] for _ in range(n)]
+    pair = (n // 3, n // 2)
+    for i in pair:
+        texts[i] = [*plain(40), *first, f"once{i}", *second, *plain(40)]
+    rows = passages.repeated_passages(docs_of(spark, [" ".join(t) for t in texts])).collect()
+    assert [(r.other_id, r.doc_id) for r in rows] == [pair]
+    assert (rows[0].start_word, rows[0].end_word, rows[0].other_start, rows[0].other_end) == (40, 100, 40, 100)
+
+
+def test_runs_of_places_pair_once_in_whatever_blocks(spark, monkeypatch):
+    """Every two places of a seed in a common run of RUN_WORDS words, one of them open, are a pair; texts too short for a passage aren't."""
+    rng = random.Random(32)
+    plain = lambda n: [f"u{rng.randrange(10 ** 9)}" for _ in range(n)]
+    run = plain(passages.RUN_WORDS + 5)
+    texts = [[*plain(i % 3 * 20), *run[i % 2:], *plain(30)] for i in range(40)] + [[*run]] + [[*plain(30), *run[8:25], *plain(30)]]
+    at = [(i, texts[i].index(run[12])) for i in range(42)]
+    state = spark.createDataFrame([(7, 42, d, p, d % 5 == 0) for d, p in at], "h long, n long, doc_id long, pos long, done boolean")
+    docs = docs_of(spark, [" ".join(t) for t in texts])
+    want = sorted((b, a, at[b][1], at[a][1]) for a in range(40) for b in range(a + 1, 40) if a % 5 or b % 5)
+    for block in (2048, 8):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        assert sorted(tuple(r) for r in passages.run_matches(docs, state, 50).collect()) == want
