@@ -111,3 +111,26 @@ def test_fused_imputation(panel):
     got = pg.impute_panel(panel, ["Player", "Pos"], "Age")
     assert sorted(got.columns) == sorted(ref.columns)
     assert rows(got, cols) == rows(ref, cols)
+
+
+def test_summary_is_computed_once_without_grouped_collections(spark, panel):
+    """Grouped collections and structs are sorted once more for every (id, period), so the summary is made by windows, and once."""
+    a = imp.fill_gap_periods(panel)
+    dim = spark.createDataFrame([("AAA", 2000, "x")], "Tm string, season_year int, Coach string")
+    got = pg.history_features(a, dim, dim, ["PTS", "AST"], ["PTS", "G"], weights={"PTS": 1.0})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by(" not in plan and "collect_set(" in plan
+    assert plan.count("Aggregate [id") == 1  # the distinct (id, period, team)
+    assert sum("Window" in line and "sum(total_PTS" in line for line in plan.split("\n")) == 2  # the rows and, once, the summary
+
+
+def test_clock_of_the_representative_row(spark):
+    """An aggregate row that doesn't stand first gives the next period its own position; equal ranks count to the last of them."""
+    rows_ = [("i", 2000, "AAA", 1, 1.0, 5.0), ("i", 2000, "2TM", 2, 2.0, 6.0), ("i", 2000, "BBB", 3, 3.0, None), ("i", 2001, "BBB", 4, 1.0, 1.0),
+             ("i", 2001, "BBB", 4, 1.0, 1.0), ("i", 2002, "BBB", 5, 1.0, 2.0), ("j", 2001, None, 6, 1.0, None), ("j", 2002, "TOT", 7, 1.0, 3.0)]
+    df = spark.createDataFrame(rows_, "id string, season_start int, Team string, ord long, G double, PTS double")
+    dim = spark.createDataFrame([("AAA", 2000, "x")], "Tm string, season_year int, Coach string")
+    got = pg.history_features(df, dim, dim, ["PTS"], ["PTS", "years_in_nba"], weights={"PTS": 1.0})
+    clocks = {(r["id"], r["season_start"]): (r["lag1_years_in_nba"], r["lag1_PTS"], r["new_team"]) for r in got.collect()}
+    assert clocks == {("i", 2000): (None, None, None), ("i", 2001): (1, 6.0, None), ("i", 2002): (4, 1.0, False),
+                      ("j", 2001): (None, None, None), ("j", 2002): (0, None, None)}
