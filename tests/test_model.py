@@ -118,3 +118,18 @@ def test_medians_ignore_nan_and_null_keys_get_folds(spark):
     assert mdl.exact_medians(df, ["x", "y"]) == {"x": 2.0, "y": None}
     folds = mdl.assign_folds(spark.createDataFrame([(None, 1), (2, None)], "a long, b long"), ["a", "b"], 5, 1, method="arith")
     assert folds.where("fold is null").count() == 0
+
+
+def test_training_fits_folds_side_by_side(spark, monkeypatch):
+    """A fit's small jobs leave cores idle, so several folds are fitted at a time, with the result of one after another."""
+    from tessera.plans.training import train_and_export
+    seen, real = [], mdl.cross_validate
+
+    def spy(*a, parallelism=1, **kw):
+        seen.append((parallelism, real(*a, **kw), real(*a, parallelism=parallelism, **kw)))
+        return seen[-1][2]
+    monkeypatch.setattr(mdl, "cross_validate", spy)
+    rows = [(f"p{i}", 2000, float(i % 7), float(i % 7) * 2 + i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, season_start int, x double, fantasy_points_per_game double")
+    train_and_export(df, gbt_params=dict(maxIter=2, maxDepth=2), k=3)
+    assert seen[0][0] > 1 and seen[0][1] == seen[0][2]
