@@ -155,8 +155,18 @@ def with_tokens(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     return sets.select("key", "tokens").join(sized(nodes, 96), "key")
 
 
+def with_marks(nodes: DataFrame, sets: DataFrame, tokens: int) -> DataFrame:
+    """As :func:`with_tokens`, with the last byte of each token as ``marks``, a quarter of the size.
+
+    Equal tokens have equal marks, so a comparison by marks finds whatever one
+    by tokens does; what it finds beside that fails on the whole sets.
+    """
+    marks = F.concat(*[F.substring("tokens", 4 * i + 1, 1) for i in range(tokens)])
+    return sets.select("key", marks.alias("marks")).join(sized(nodes, 96), "key")
+
+
 def may_link(tokens: np.ndarray, sizes: np.ndarray, one: int, percent: int) -> np.ndarray:
-    """Which sets have a size and minwise tokens that don't speak against a link with set ``one``."""
+    """Which sets have a size and minwise tokens (or marks) that don't speak against a link with set ``one``."""
     places, share = tokens.shape[1], percent / 100
     least = share * places - DEVIATIONS * (share * (1 - share) * places) ** 0.5
     fit = 100 * np.minimum(sizes, sizes[one]) >= percent * np.maximum(sizes, sizes[one])
@@ -194,17 +204,17 @@ def spanning_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int
 def leaf_groups(small: DataFrame, percent: int) -> DataFrame:
     """(group, key): of each leaf the members that may be similar to one of another label, by connected groups.
 
-    All members of a node are compared with each other, by size and tokens.
+    All members of a node are compared with each other, by size and marks.
     The same group found in several nodes comes once.
     """
-    member = F.struct("key", "label", "n", "tokens")
+    member = F.struct("key", "label", "n", "marks")
     nodes = small.groupBy("node").agg(F.collect_list(member).alias("members"))  # LARGE_LEAF at most
 
     def run(batches):
         for batch in batches:
             out = []
             for members in batch.column(0).to_pylist():
-                tokens = np.stack([np.frombuffer(m["tokens"], np.uint32) for m in members])
+                tokens = np.stack([np.frombuffer(m["marks"], np.uint8) for m in members])
                 sizes, up = np.array([m["n"] for m in members]), list(range(len(members)))
                 for i in range(len(members)):
                     for j in np.flatnonzero(may_link(tokens, sizes, i, percent)).tolist():
@@ -228,7 +238,10 @@ def leaf_groups(small: DataFrame, percent: int) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, sets: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(key, items) of the wanted keys: the whole sets, built again from one text each."""
+    """(key, items) of the wanted keys: the whole sets, built again from one text each.
+
+    Only if rows repeat an id with its text, which the counts tell, are the sets shuffled to drop the repeats.
+    """
     one = saved(sets.join(wanted, "key").select("key", "one.doc_id", "one.text_key"), "chosen")
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long"), text_key(text), text).toDF("id", "tk", "text")
@@ -239,7 +252,10 @@ def set_rows(docs: DataFrame, sets: DataFrame, wanted: DataFrame, id_col: str, t
         for batch in batches:
             items = [shingle_set(t.as_py(), shingle).tobytes() for t in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["key", "items"])
-    out = saved(rows.mapInArrow(run, "key binary, items binary").dropDuplicates(["key"]), "sets")
+    out = saved(rows.mapInArrow(run, "key binary, items binary"), "sets")
+    if out.count() > one.count():
+        repeated, out = out, saved(out.dropDuplicates(["key"]), "sets")
+        discard(repeated)
     discard(one)
     return out
 
@@ -281,13 +297,12 @@ def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame
 
 
 def round_links(docs: DataFrame, sets: DataFrame, trees: list[int], percent: int, id_col: str, text_col: str,
-                shingle: int) -> list[DataFrame]:
+                shingle: int, tokens: int = TOKENS) -> list[DataFrame]:
     """Tables of (u, v) links that some trees find between sets of different labels."""
     nodes, out, known, whole = crowded(first_nodes(sets.withColumn("label", F.xxhash64("label")), trees)), [], None, []
     while not nodes.isEmpty():
-        members = with_tokens(nodes, sets)
-        groups, large = leaf_groups(members.where("leaf"), percent), members.where("not leaf")
-        large = None if nodes.where("not leaf").isEmpty() else large
+        groups, crowd = leaf_groups(with_marks(nodes.where("leaf"), sets, tokens), percent), nodes.where("not leaf")
+        large = None if crowd.isEmpty() else with_tokens(crowd, sets)
         if large is not None:
             chosen = F.min_by(F.struct("key", "label", "n", "tokens"), F.xxhash64("node", "key"))
             pivots = large.groupBy("node").agg(chosen.alias("p"))
@@ -352,7 +367,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets, found, first = saved(sets.withColumn("label", F.col("key")), "distinct-sets"), [], 0
     roots = None
     for n in trees:
-        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle)
+        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle, tokens)
         first += n
         if not found:
             continue

@@ -89,6 +89,30 @@ def test_a_large_group_is_split_and_not_listed(spark, monkeypatch):
     assert sum(x.count() for x in links) < 8 * len(rows)
 
 
+def test_whole_sets_are_shuffled_to_drop_repeats_only_if_rows_repeat(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 60, 5000)) for i in range(12)]
+    rows += [(50 + i, rows[i][1] + " more") for i in range(12)]
+    keyed, real = [], type(spark.range(1)).dropDuplicates
+    monkeypatch.setattr(type(spark.range(1)), "dropDuplicates", lambda d, subset=None: keyed.append(subset) or real(d, subset))
+    for repeated, shuffles in (([], False), (rows[:3] * 2, True)):
+        keyed.clear()
+        docs = docs_of(spark, [t for _, t in rows + repeated], [d for d, _ in rows + repeated])
+        got = chosenpath.near_duplicates(docs).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == slow_components(rows + repeated)
+        assert (["key"] in keyed) == shuffles
+
+
+@pytest.mark.parametrize("tokens", [48, 64, 96])
+def test_marks_are_the_last_bytes_of_all_tokens(spark, tokens):
+    docs = docs_of(spark, ["a b c d e f", "one", None])
+    signed = chosenpath.signatures(docs, "doc_id", "text", 3, tokens).where("key is not null")
+    nodes = signed.select("key").withColumn("node", F.lit(1))
+    marks = {bytes(r.key): bytes(r.marks) for r in chosenpath.with_marks(nodes, signed, tokens).collect()}
+    assert marks == {bytes(r.key): (np.frombuffer(r.tokens, np.uint32) & 255).astype(np.uint8).tobytes() for r in signed.collect()}
+    assert len(marks) == 2 and all(len(m) == tokens for m in marks.values())
+
+
 def test_near_duplicates_of_nothing(spark):
     assert chosenpath.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     assert [tuple(r) for r in chosenpath.near_duplicates(docs_of(spark, [None, ""])).sort("doc_id").collect()] == [
