@@ -134,3 +134,16 @@ def test_clock_of_the_representative_row(spark):
     clocks = {(r["id"], r["season_start"]): (r["lag1_years_in_nba"], r["lag1_PTS"], r["new_team"]) for r in got.collect()}
     assert clocks == {("i", 2000): (None, None, None), ("i", 2001): (1, 6.0, None), ("i", 2002): (4, 1.0, False),
                       ("j", 2001): (None, None, None), ("j", 2002): (0, None, None)}
+
+
+@pytest.mark.parametrize("with_ord", [True, False])
+def test_lagged_clock_is_the_representative_rows_own(spark, with_ord):
+    """Also where rows share an ord, have none, or the table has none."""
+    rows_ = [("i", 2000 + y, t, None if y % 2 else 7, 1.0, 1.0) for y in range(4) for t in ("AAA", "BBB", "3TM", "CCC")]
+    df = spark.createDataFrame(rows_, "id string, season_start int, Team string, ord long, G double, PTS double")
+    df = df if with_ord else df.drop("ord")
+    dim = spark.createDataFrame([("AAA", 2000, "x")], "Tm string, season_year int, Coach string")
+    got = pg.history_features(df, dim, dim, ["PTS"], ["years_in_nba"], weights={"PTS": 1.0}).collect()
+    own = {r["season_start"] + 1: r["years_in_nba"] for r in got if r["Team"] == "3TM"}
+    assert len(own) == 4 and all(r["lag1_years_in_nba"] == own.get(r["season_start"]) for r in got)
+    assert sorted(r["years_in_nba"] for r in got) == list(range(16))
