@@ -13,8 +13,8 @@ from tessera.llm.common import read_table, saved
 
 #: Rows of a block of candidates, and queries that meet it in one task.
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 256
-#: The lists are read in so many strides, with a look at the bounds after each.
-STRIDES = 16
+#: The lists are read down to these shares of their length, with a look at the bounds after each.
+DEPTHS = (1 / 16, 1 / 4, 1)
 
 
 class SortedLists:
@@ -22,58 +22,63 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors, self.n = ids, vectors, len(ids)
-        self.rows = np.ascontiguousarray(np.argsort(-vectors, axis=0, kind="stable").T)
-        self.values = np.take_along_axis(vectors.T, self.rows, axis=1)
-        place = np.empty(self.rows.shape, np.int32)
-        np.put_along_axis(place, self.rows, np.arange(self.n, dtype=np.int32)[None, :], axis=1)
+        rows = np.ascontiguousarray(np.argsort(-vectors, axis=0, kind="stable").T)
+        self.values = np.take_along_axis(vectors.T, rows, axis=1)
+        place = np.empty(rows.shape, np.int32)
+        np.put_along_axis(place, rows, np.arange(self.n, dtype=np.int32)[None, :], axis=1)
         self.place = np.ascontiguousarray(place.T)
         self.most = int(np.abs(vectors).max(initial=0))
 
-    def top(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id): larger scores first, smaller ids first among ties, rows of id ``own`` left out.
+    def top(self, queries: np.ndarray, owns: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+        """Each query's k best (score, id): larger scores first, smaller ids first among ties, rows of its own id left out.
 
         All lists are read in step, each from the end that the query's component
         favours.  What is read of a row puts its score between two bounds: an
-        unread part adds at least the list's last and at most its next product.
-        No unseen row can qualify once the next products add up to less than the
-        k-th lower bound; from then on rows whose upper bound is below it are
-        dropped.  Reading stops when few rows are left, whose scores are then
-        resolved exactly.
+        unread part adds at least the list's last and at most the last read
+        product.  Rows whose upper bound is below the k-th lower bound can't
+        qualify.  Reading stops when few other rows are left, whose scores are
+        then resolved exactly; queries that have more go on to the next depth.
         """
-        left = np.flatnonzero(self.ids != own)
-        used = np.flatnonzero(query)
-        exact = self.most * int(np.abs(query).max(initial=0)) * max(1, len(query)) < 1 << 52
-        if len(used) and exact and len(left) > 4 * k:
-            left = self._qualified(query, used, left, k)
+        out: list[list[tuple[int, int]]] = [[] for _ in owns]
+        reach = self.most * int(np.abs(queries).max(initial=0)) * max(1, queries.shape[1])
+        open_, depths = np.arange(len(owns)), DEPTHS if reach < 1 << 52 and self.n > 4 * k else ()
+        for share in depths:
+            depth = ceil(self.n * share)
+            # Sums of integers that the type holds exactly, in whatever order they are added.
+            low, high = self._bounds(queries[open_], depth, np.float32 if reach < 1 << 24 else np.float64)
+            own = self.ids[None, :] == owns[open_][:, None]
+            low[own] = high[own] = -np.inf
+            kth, more = np.partition(low, self.n - k, axis=1)[:, self.n - k], []
+            for at, maybe in zip(open_.tolist(), high >= kth[:, None]):
+                left = np.flatnonzero(maybe)
+                if len(left) > 4 * k and depth < self.n:
+                    more.append(at)
+                else:
+                    out[at] = self._best(queries[at], owns[at], left, k)
+            open_ = np.array(more, np.int64)
+            if not more:
+                return out
+        for at in open_.tolist():
+            out[at] = self._best(queries[at], owns[at], np.arange(self.n), k)
+        return out
+
+    def _bounds(self, queries: np.ndarray, depth: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the scores, a row a query, of what the lists' first ``depth`` entries tell."""
+        up, down = self.place < depth, self.place >= self.n - depth
+        weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(kind)
+
+        def scores(ups: np.ndarray, downs: np.ndarray) -> np.ndarray:
+            rows = np.concatenate([np.where(up, self.vectors, ups), np.where(down, self.vectors, downs)], axis=1)
+            return weights @ rows.astype(kind).T
+        low = scores(self.values[:, -1], self.values[:, 0])
+        return low, low if depth == self.n else scores(self.values[:, depth - 1], self.values[:, self.n - depth])
+
+    def _best(self, query: np.ndarray, own: int, left: np.ndarray, k: int) -> list[tuple[int, int]]:
+        left = left[self.ids[left] != own]
         score = self.vectors[left] @ query
         best = np.lexsort((self.ids[left], -score))[:k]
         return [(int(score[b]), int(self.ids[left[b]])) for b in best]
 
-    def _qualified(self, query: np.ndarray, used: np.ndarray, left: np.ndarray, k: int) -> np.ndarray:
-        n, weight, up = self.n, query[used].astype(float), query[used] > 0
-        ups, downs = used[up], used[~up]
-        weight = np.concatenate([weight[up], weight[~up]])
-
-        def read(lists: np.ndarray, a: int, b: int) -> np.ndarray:
-            return np.concatenate([lists[ups, a:b], lists[downs, n - b:n - a][:, ::-1]])
-
-        last = read(self.values, n - 1, n)[:, 0] * weight
-        low, stride, at = np.full(n, last.sum()), ceil(n / STRIDES), 0
-        while at < n and len(left) > 4 * k:
-            to = min(n, at + stride)
-            part = read(self.values, at, to) * weight[:, None]
-            low += np.bincount(read(self.rows, at, to).ravel(), (part - last[:, None]).ravel(), n)
-            at, following = to, part[:, -1]
-            kth = np.partition(low[left], len(left) - k)[len(left) - k]
-            if following.sum() < kth or at == n:
-                gap, slack = following - last, np.zeros(self.vectors.shape[1], np.float32)
-                slack[ups], slack[downs] = gap[:len(ups)], gap[len(ups):]
-                place, room = self.place[left], np.where(query > 0, at, n - at)
-                unread = (place >= room) == (query > 0)
-                # Single precision, rounded up: it may keep a row too many, never drop one.
-                left = left[low[left] + (unread.astype(np.float32) @ slack) * (1 + 1e-4) + 1 >= kth]
-        return left
-
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     out = np.zeros((len(vectors), width), np.int64)
@@ -105,8 +110,9 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, block
         if len(c) and len(q):
             width = max(c["v"].map(len).max(), q["v"].map(len).max())
             lists = SortedLists(c["vec_id"].to_numpy(np.int64), _matrix(c["v"], width))
-            for own, v in zip(q["vec_id"], _matrix(q["v"], width)):
-                out += [(own, i, s) for s, i in lists.top(v, own, k)]
+            owns = q["vec_id"].to_numpy(np.int64)
+            for own, best in zip(owns.tolist(), lists.top(_matrix(q["v"], width), owns, k)):
+                out += [(own, i, s) for s, i in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     found = cands.groupBy("block", "team").cogroup(asked.groupBy("block", "team")).applyInPandas(

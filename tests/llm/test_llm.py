@@ -507,6 +507,21 @@ def test_topk_equals_brute_force(spark, spread):
     assert len(got) == queries.count()
 
 
+@pytest.mark.parametrize("scale", [1, 1 << 12, 1 << 23])
+def test_topk_of_a_block_answers_many_queries_by_one_product_a_depth(scale, monkeypatch):
+    """Before, each query read the lists by itself; sums are exact in single or double precision, else in 64-bit integers."""
+    rng = np.random.default_rng(scale)
+    vectors = rng.integers(-60, 61, (400, 16)) * scale
+    vectors[50:60], vectors[60] = vectors[7], 0
+    ids = rng.permutation(400).astype(np.int64)
+    lists, asked, bounds = topk.SortedLists(ids, vectors), [], topk.SortedLists._bounds
+    monkeypatch.setattr(topk.SortedLists, "_bounds", lambda *a: asked.append(a[3]) or bounds(*a))
+    got = lists.top(vectors[:80], ids[:80], 5)
+    for q, own, best in zip(vectors[:80], ids[:80], got):
+        assert best == [(-s, i) for s, i in sorted((-int(v @ q), int(i)) for v, i in zip(vectors, ids) if i != own)[:5]]
+    assert len(asked) <= len(topk.DEPTHS) and set(asked) == {1: {np.float32}, 1 << 12: {np.float64}}.get(scale, set())
+
+
 def test_integer_vectors_leave_out_broken_rows(spark):
     rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [float("nan")]), (5, [float("inf")]), (None, [1.0]),
             (6, [1.0, 2.0]), (6, [1.0, 2.0]), (6, [0.0, 2.0]), (7, [1e30])]
