@@ -159,10 +159,12 @@ def with_marks(nodes: DataFrame, sets: DataFrame, tokens: int) -> DataFrame:
     """As :func:`with_tokens`, with the last byte of each token as ``marks``, a quarter of the size.
 
     Equal tokens have equal marks, so a comparison by marks finds whatever one
-    by tokens does; what it finds beside that fails on the whole sets.
+    by tokens does; what it finds beside that fails on the whole sets.  ``tried``
+    is kept, if the sets have it.
     """
     marks = F.concat(*[F.substring("tokens", 4 * i + 1, 1) for i in range(tokens)])
-    return sets.select("key", marks.alias("marks")).join(sized(nodes, 96), "key")
+    tried = [c for c in ("tried",) if c in sets.columns]
+    return sets.select("key", marks.alias("marks"), *tried).join(sized(nodes, 96), "key")
 
 
 def may_link(tokens: np.ndarray, sizes: np.ndarray, one: int, percent: int) -> np.ndarray:
@@ -204,10 +206,12 @@ def spanning_links(items: list[np.ndarray], percent: int) -> list[tuple[int, int
 def leaf_groups(small: DataFrame, percent: int) -> DataFrame:
     """(group, key): of each leaf the members that may be similar to one of another label, by connected groups.
 
-    All members of a node are compared with each other, by size and marks.
-    The same group found in several nodes comes once.
+    All members of a node are compared with each other, by size and marks.  Two
+    that share a group of ``tried``, those of earlier rounds, were compared whole
+    there; if their labels still differ they aren't similar.  The same group
+    found in several nodes comes once.
     """
-    member = F.struct("key", "label", "n", "marks")
+    member = F.struct("key", "label", "n", "marks", *(c for c in ("tried",) if c in small.columns))
     nodes = small.groupBy("node").agg(F.collect_list(member).alias("members"))  # LARGE_LEAF at most
 
     def run(batches):
@@ -216,9 +220,10 @@ def leaf_groups(small: DataFrame, percent: int) -> DataFrame:
             for members in batch.column(0).to_pylist():
                 tokens = np.stack([np.frombuffer(m["marks"], np.uint8) for m in members])
                 sizes, up = np.array([m["n"] for m in members]), list(range(len(members)))
+                tried = [set(m.get("tried") or ()) for m in members]
                 for i in range(len(members)):
                     for j in np.flatnonzero(may_link(tokens, sizes, i, percent)).tolist():
-                        if j > i and members[i]["label"] != members[j]["label"]:
+                        if j > i and members[i]["label"] != members[j]["label"] and tried[i].isdisjoint(tried[j]):
                             a, b = i, j
                             while up[a] != a:
                                 a = up[a]
@@ -261,8 +266,8 @@ def set_rows(docs: DataFrame, sets: DataFrame, wanted: DataFrame, id_col: str, t
 
 
 def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v) links among each group's members: a spanning set of all pairs whose whole sets are similar."""
-    rows = groups.join(sets, "key").groupBy("group").agg(F.collect_list(F.struct("key", "items")).alias("members"))
+    """(u, v) links among the members of each of the saved ``groups``: a spanning set of all pairs whose whole sets are similar."""
+    rows = sets.join(sized(groups, 96), "key").groupBy("group").agg(F.collect_list(F.struct("key", "items")).alias("members"))
 
     def run(batches):
         for batch in batches:
@@ -297,8 +302,11 @@ def pivot_groups(large: DataFrame, pivots: DataFrame, percent: int) -> DataFrame
 
 
 def round_links(docs: DataFrame, sets: DataFrame, trees: list[int], percent: int, id_col: str, text_col: str,
-                shingle: int, tokens: int = TOKENS) -> list[DataFrame]:
-    """Tables of (u, v) links that some trees find between sets of different labels."""
+                shingle: int, tokens: int = TOKENS, tried: list[DataFrame] | None = None) -> list[DataFrame]:
+    """Tables of (u, v) links that some trees find between sets of different labels.
+
+    The (group, key) tables of what was compared whole are added to ``tried``, or deleted without it.
+    """
     nodes, out, known, whole = crowded(first_nodes(sets.withColumn("label", F.xxhash64("label")), trees)), [], None, []
     while not nodes.isEmpty():
         groups, crowd = leaf_groups(with_marks(nodes.where("leaf"), sets, tokens), percent), nodes.where("not leaf")
@@ -317,7 +325,10 @@ def round_links(docs: DataFrame, sets: DataFrame, trees: list[int], percent: int
             known = more if known is None else known.union(more)
             links = saved(confirmed(groups, known, percent), "links")
             out.append(links)
-        discard(groups)
+        if tried is None:
+            discard(groups)
+        else:
+            tried.append(groups)
         if large is None:
             break
         rest = large.join(pivots.select("node", "p_key", "p_label"), "node").where(F.col("key") != F.col("p_key"))
@@ -364,10 +375,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = saved(signatures(docs, id_col, text_col, shingle, tokens), "signatures")
     sets = signed.where("key is not null").groupBy("key").agg(F.min("n").alias("n"), F.min("tokens").alias("tokens"),
                                                               F.min(F.struct("doc_id", "text_key")).alias("one"))
-    sets, found, first = saved(sets.withColumn("label", F.col("key")), "distinct-sets"), [], 0
+    sets, found, tried, first = saved(sets.withColumn("label", F.col("key")), "distinct-sets"), [], [], 0
     roots = None
     for n in trees:
-        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle, tokens)
+        found += round_links(docs, sets, list(range(first, first + n)), percent, id_col, text_col, shingle, tokens, tried)
         first += n
         if not found:
             continue
@@ -376,8 +387,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links = links.union(more)
         roots = saved(connected_components(links), "roots")
         if first < sum(trees):
-            labelled = sets.drop("label").join(roots.withColumnRenamed("node", "key"), "key", "left")
-            new = saved(labelled.select("key", "n", "tokens", "one", F.coalesce("root", "key").alias("label")), "distinct-sets")
+            groups = tried[0]
+            for more in tried[1:]:
+                groups = groups.union(more)
+            of_key = saved(groups.groupBy("key").agg(F.collect_set("group").alias("tried")), "tried")
+            labelled = sets.drop("label", "tried").join(sized(roots, 128).withColumnRenamed("node", "key"), "key", "left")
+            labelled = labelled.join(sized(of_key, 128), "key", "left")
+            new = saved(labelled.select("key", "n", "tokens", "one", F.coalesce("root", "key").alias("label"), "tried"), "distinct-sets")
+            discard(of_key)
             discard(sets)
             sets = new
     rows = signed.select("doc_id", "n", "key")

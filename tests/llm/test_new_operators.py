@@ -1,6 +1,7 @@
 """Chosen-path near-duplicates, importance resampling and periodic runs against brute-force versions and edge cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -103,6 +104,22 @@ def test_whole_sets_are_shuffled_to_drop_repeats_only_if_rows_repeat(spark, monk
         assert (["key"] in keyed) == shuffles
 
 
+def test_sets_that_a_round_has_compared_are_not_compared_again(spark, monkeypatch):
+    """Before, unlike sets of near texts were shuffled and compared in every round again."""
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 80, 5000)) for i in range(30)]
+    rows += [(100 + i, edited(rng, t, 3)) for i, t in rows[:25]]  # below the similarity, but not far
+    rows += [(200 + i, t + " more") for i, t in rows[20:30]]
+    rounds, real, confirm = [], chosenpath.round_links, chosenpath.confirmed
+    monkeypatch.setattr(chosenpath, "round_links", lambda *a: rounds.append([]) or real(*a))
+    monkeypatch.setattr(chosenpath, "confirmed", lambda g, *a: rounds[-1].append(
+        g.groupBy("group").agg(F.collect_set("key").alias("keys")).collect()) or confirm(g, *a))
+    got = chosenpath.near_duplicates(docs_of(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == slow_components(rows)
+    first, later = ({frozenset(map(bytes, pair)) for level in r for g in level for pair in itertools.combinations(g["keys"], 2)} for r in rounds)
+    assert len(first) >= 30 and not first & later
+
+
 @pytest.mark.parametrize("tokens", [48, 64, 96])
 def test_marks_are_the_last_bytes_of_all_tokens(spark, tokens):
     docs = docs_of(spark, ["a b c d e f", "one", None])
