@@ -182,6 +182,20 @@ def test_decontamination_only_long_items_only_short_items_and_empty_tables(spark
     assert decontaminate.contamination(docs_of(spark, texts).limit(0), frame).count() == 0
 
 
+def test_rows_of_a_fit_lie_in_blocks_and_score_as_before(monkeypatch):
+    """Before, each row was an array on the driver's heap, of 8 bytes a feature, and the heap kept its size after the fit."""
+    monkeypatch.setattr(linear, "BLOCK", 1000)
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 5000, rng.integers(0, 90))) for _ in range(600)]
+    got = linear.flat(iter(rows), np.int32)
+    assert [x.tolist() for x in got] == [x.tolist() for x in rows] and all(x.dtype == np.int32 for x in got)
+    assert len({id(x.base) for x in got}) <= sum(map(len, rows)) // 1000 + 1 and linear.flat([], np.int32) == []
+    ratio, more = np.where(np.arange(linear.DIM) % 7 > 0, rng.normal(size=linear.DIM), 0.0), rng.normal(size=(600, 2))
+    for x, m, (ids, v) in zip(rows, more, linear.scaled_rows(ratio, got, more)):
+        want = linear.scaled(ratio, x, m)
+        assert ids.tolist() == want[0].tolist() and v.tolist() == want[1].tolist()
+
+
 # passages -----------------------------------------------------------------------------------------
 
 def slow_chain_score(anchors):
@@ -326,6 +340,23 @@ def test_repeats_stay_in_the_smallest_id_only_beside_a_shorter_quote(spark):
     assert all(left[i][:40] == words(texts[(i - 1) // 2])[:40] and len(left[i]) == 70 for i in range(5, 18, 2))
 
 
+def test_unlike_places_of_a_class_take_few_rounds(spark, monkeypatch):
+    """Before, each round aligned the places of a class with one only, so a class of n unlike places took n rounds of jobs."""
+    rng = random.Random(17)
+    kinds = [prose(rng, 60) for _ in range(9)]
+    texts = [f"{prose(rng, 9)} {kinds[i % 9]} {prose(rng, 9)}" + (f" {kinds[(i + 4) % 9]}" if i % 5 == 0 else "") for i in range(30)]
+    places = spark.createDataFrame([(i % 2, i, 5, len(t.split()) - 2) for i, t in enumerate(texts)], "class long, doc_id long, lo long, hi long")
+    cuts, rounds, real = [], [], passages.saved
+    monkeypatch.setattr(passages, "saved", lambda d, name: rounds.append(name) or real(d, name))
+    for heads, block in ((1, 256), (4, 8), (32, 256)):
+        monkeypatch.setattr(passages, "HEADS", heads)
+        monkeypatch.setattr(passages, "BLOCK_PLACES", block)
+        rounds.clear()
+        cuts.append((sorted(map(tuple, passages.class_cuts(docs_of(spark, texts), places).collect())), rounds.count("open")))
+    assert cuts[0][0] == cuts[1][0] == cuts[2][0] and {d for d, _, _ in cuts[0][0]} >= set(range(18, 30))
+    assert cuts[2][1] <= 2 < cuts[1][1] < cuts[0][1]
+
+
 def test_open_places_of_two_passages_in_one_class_are_each_compared(spark):
     rng = random.Random(42)
     one, two = prose(rng, 60, 5000), prose(rng, 60, 5000)
