@@ -133,3 +133,21 @@ def test_training_fits_folds_side_by_side(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id string, season_start int, x double, fantasy_points_per_game double")
     train_and_export(df, gbt_params=dict(maxIter=2, maxDepth=2), k=3)
     assert seen[0][0] > 1 and seen[0][1] == seen[0][2]
+
+
+def test_the_gbt_query_fits_the_librarys_trees(spark, monkeypatch):
+    """The query's fit has the library's number of trees, depth, rate and samples; only this test makes it smaller."""
+    from tessera.plans import queries
+    seen, real = [], mdl.gbt_pipeline
+
+    def spy(*a, **overrides):
+        gbt = real(*a, **overrides).getStages()[-1]
+        seen.append({k: gbt.getOrDefault(k) for k in mdl.GBT_DEFAULTS})
+        return real(*a, **{**overrides, "maxIter": 3, "maxDepth": 2})
+    rows = [(f"p{i}", 2000, float(i % 7), float(i % 7) * 2 + i % 3 if i % 9 else None) for i in range(60)]
+    table = spark.createDataFrame(rows, f"id string, season_start int, x double, {queries.TARGET} double")
+    monkeypatch.setattr(mdl, "gbt_pipeline", spy)
+    monkeypatch.setattr(queries, "modelling_table", lambda *_: table)
+    out = queries.q_gbt_pipeline(spark, "").collect()
+    assert seen == [mdl.GBT_DEFAULTS]
+    assert len(out) == 60 and all(r.predicted and r.better for r in out)
