@@ -376,3 +376,49 @@ def test_runs_of_places_pair_once_in_whatever_blocks(spark, monkeypatch):
     for block in (2048, 8):
         monkeypatch.setattr(passages, "BLOCK", block)
         assert sorted(tuple(r) for r in passages.run_matches(docs, state, 50).collect()) == want
+
+
+def frequent_lines(rng, tail):
+    """Texts that hold two lines of 22 words in unlike surroundings, and the ids of two that share the words that ``tail`` makes of these lines, too."""
+    plain = lambda n: [f"u{rng.randrange(10 ** 9)}" for _ in range(n)]
+    first, second, n = plain(22), plain(22), 3 * passages.FEW
+    texts = [[*plain(40), *second, *plain(30), *first, *plain(40)] for _ in range(n)]
+    common = plain(60)
+    for i in (n // 3, n // 2):
+        texts[i] = [*plain(40), *first, *tail(second, common, plain), *plain(40)]
+    return [" ".join(t) for t in texts], (n // 3, n // 2)
+
+
+@pytest.mark.parametrize("tail, size", [
+    (lambda second, common, plain: [w if k % 6 else plain(1)[0] for k, w in enumerate(common[:36])], 58),
+    (lambda second, common, plain: [*plain(5), *second, *plain(1), *common[:5]], 55)])
+def test_places_of_a_frequent_seed_are_tried_on_all_others(spark, monkeypatch, tail, size):
+    """Before, a place was tried on four others in a turn, and then only on those with a common run of 23 words; chains of two seeds count, too."""
+    texts, pair = frequent_lines(random.Random(35), tail)
+    for block in (2048, 30):
+        monkeypatch.setattr(passages, "NEAR_BLOCK", block)
+        rows = passages.repeated_passages(docs_of(spark, texts)).collect()
+        assert [(r.other_id, r.doc_id) for r in rows] == [pair]
+        assert (rows[0].start_word, rows[0].end_word) == (rows[0].other_start, rows[0].other_end) == (40, 40 + size)
+
+
+def test_partners_leave_out_no_pair_that_aligns():
+    """The bounds by adjacent words and by the next words leave out no pair of surroundings that the alignment takes."""
+    rng, aligned = random.Random(36), 0
+    for vocabulary in (40, 300, 10 ** 4) * 3:
+        line, passage = ([rng.randrange(2, vocabulary) for _ in range(n)] for n in (rng.choice([10, 13, 20, 30, 40, 48]), 60))
+        at, rows = rng.randrange(len(line) - 9), []
+        for _ in range(30):
+            before, after = ([rng.randrange(2, vocabulary) for _ in range(90)] for _ in range(2))
+            for k in sorted(rng.sample(range(60), rng.randrange(14)), reverse=True) if rng.random() < 0.3 else []:
+                after[:60] = passage if len(after) == 90 else after[:60]
+                after[k:k + rng.randrange(2)] = [rng.randrange(2, vocabulary)] * rng.randrange(2)
+            text = np.array([0] * passages.NEAR + before + line + after + [0] * passages.NEAR, np.uint16)
+            rows.append(text[passages.NEAR + 90 + at - passages.NEAR:][:passages.SEED_WORDS + 2 * passages.NEAR])
+        near, docs = np.stack(rows), np.arange(len(rows))
+        found = {(i, j) for i, j, _ in passages.partners(near, near, docs, docs, 0.8, 50, wanted=10 ** 6)}
+        middle = [(passages.NEAR, passages.NEAR)]
+        want = {(i, j) for i in docs.tolist() for j in docs.tolist() if i != j and passages.align(near[i], np.where(near[j] == 0, 1, near[j]), middle)}
+        assert want <= found
+        aligned += len(want)
+    assert aligned > 100
